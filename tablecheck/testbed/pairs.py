@@ -103,3 +103,89 @@ SUPPLIER = DerivedPair(
 )
 
 PAIRS = {p.table: p for p in (CUSTOMER, ORDERS, EVENTS, LINEITEM, SUPPLIER)}
+
+# Names in another case and a narrower key type, for the relaxed match.
+RELAXED = DerivedPair(
+    "supplier",
+    (),
+    ("s_suppkey", "s_name", "s_acctbal"),
+    "select * from {supplier}",
+    """
+    select cast(s_suppkey as int) as S_SUPPKEY, upper(s_name) as S_NAME,
+           case when s_suppkey%9=0 then null else s_acctbal end as s_acctbal, 'x' as load_tag
+    from {supplier}
+    """,
+)
+
+# Nothing in common but the number of rows.
+DISJOINT = DerivedPair(
+    "orders",
+    (),
+    (),
+    "select o_orderkey as a, o_custkey as b from {orders}",
+    "select o_orderkey as c, o_custkey as d from {orders} where o_orderkey<>2",
+)
+
+# Fixed-width text keys on the source side.
+PADDED = DerivedPair(
+    "customer",
+    ("c_name",),
+    ("c_acctbal",),
+    "select rpad(c_name, 25, ' ') as c_name, c_acctbal from {customer}",
+    """
+    select c_name, case when c_custkey%50=0 then c_acctbal+1 else c_acctbal end as c_acctbal
+    from {customer} where c_custkey%97<>0
+    """,
+)
+
+# Queries in place of tables.
+CUSTOM_ROW = DerivedPair(
+    "orders",
+    ("o_custkey",),
+    ("n_orders", "last_day"),
+    """
+    select o_custkey, count(*) as n_orders, max(o_orderdate) as last_day
+    from {orders} group by o_custkey
+    """,
+    """
+    select o_custkey, count(*) as n_orders, max(o_orderdate) as last_day
+    from {orders} where o_orderkey%31<>0 group by o_custkey
+    """,
+)
+CUSTOM_COLUMN = DerivedPair(
+    "lineitem",
+    (),
+    ("l_quantity", "l_discount", "l_linenumber", "l_returnflag"),
+    "select l_quantity, l_discount, l_linenumber, l_returnflag from {lineitem}",
+    """
+    select l_quantity, l_discount, l_linenumber, l_returnflag
+    from {lineitem} where l_orderkey%211<>0
+    """,
+)
+
+# An inventory line per part; one part in so many breaks one of the rules.
+INVENTORY = """
+    select p_partkey + 2 as line,
+           case when p_partkey%50=0 then '  '
+                else ' SRC.T' || cast(p_partkey as string) end as source_table,
+           case when p_partkey%70=0 then '' else 'tgt.t' || cast(p_partkey as string) end
+               as target_table,
+           case when p_partkey%40=1 then 'table' when p_partkey%3=0 then ' Column '
+                when p_partkey%17=0 then 'schema' else 'ROW' end as validation_type,
+           case when p_partkey%3=0 and p_partkey%4<>0 then ''
+                when p_partkey%45=2 then '  '
+                when p_partkey%5=0 then 'order_id, line_num' else ' id ' end as primary_key,
+           case when p_partkey%60=3 then 'a = 1; drop table t'
+                when p_partkey%61=4 then 'a = 1 -- all'
+                when p_partkey%62=5 then 'a /* x */ = 1'
+                when p_partkey%2=0 then 'p_size > ' || cast(p_size as string)
+                else '' end as filter_condition
+    from {part}
+"""
+
+EVENTS_FILTER = "ts >= TIMESTAMP('2024-01-01 12:00:00') and event_type <> 'error'"
+DRILL_GROUPS = ("c_nationkey", "c_mktsegment")
+DRILL_LIMIT = 15
+N_BUCKETS = 64
+SAMPLE_SIZE = 200
+SAMPLE_SEED = 42
