@@ -1,4 +1,8 @@
-"""Row fingerprints."""
+"""Row fingerprints.
+
+The expressions are put together as SQL text and parsed once: a table of several hundred
+columns would otherwise need thousands of calls into the JVM to describe a single hash.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F, types as T
 
-from .names import field
+from .names import literal, quoted
 
 # The separator and the null marker of the compatible row text.
 SEPARATOR = "||"
@@ -23,59 +27,108 @@ def _has_map(dtype: T.DataType) -> bool:
     return False
 
 
-def _ordered_maps(value: Column, dtype: T.DataType) -> Column:
+def _ordered_maps(value: str, dtype: T.DataType, depth: int = 0) -> str:
     """Replace every map inside ``value`` by its entries in key order: maps have no order."""
     if not _has_map(dtype):
         return value
+    item = f"x{depth}"
     if isinstance(dtype, T.ArrayType):
-        return F.transform(value, lambda x: _ordered_maps(x, dtype.elementType))
+        return f"transform({value}, {item} -> {_ordered_maps(item, dtype.elementType, depth + 1)})"
     if isinstance(dtype, T.StructType):
-        parts = [_ordered_maps(value[f.name], f.dataType).alias(f.name) for f in dtype.fields]
-        return F.when(value.isNotNull(), F.struct(*parts))
-    entries = F.transform(
-        F.map_entries(value),
-        lambda e: F.struct(
-            e["key"].alias("key"), _ordered_maps(e["value"], dtype.valueType).alias("value")
-        ),
-    )
-    return F.array_sort(entries)
-
-
-def value_text(value: Column, dtype: T.DataType, max_chars: int | None = None) -> Column:
-    """The text of a value, null for a null."""
+        parts = ", ".join(
+            f"{literal(f.name)}, {_ordered_maps(f'{value}.{quoted(f.name)}', f.dataType, depth)}"
+            for f in dtype.fields
+        )
+        return f"if({value} is null, null, named_struct({parts}))"
+    inner = _ordered_maps(f"{item}.value", dtype.valueType, depth + 1)
+    entries = f"transform(map_entries({value}), {item} -> struct({item}.key as key, {inner} as value))"
+    return f"array_sort({entries})"
+
+
+def value_sql(value: str, dtype: T.DataType, max_chars: int | None = None) -> str:
+    """SQL for the text of a value, null for a null."""
     if isinstance(dtype, T.BinaryType):
-        text = F.hex(value)
+        text = f"hex({value})"
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        text = F.to_json(_ordered_maps(value, dtype), {"ignoreNullFields": "false"})
+        text = f"to_json({_ordered_maps(value, dtype)}, map('ignoreNullFields', 'false'))"
+    elif isinstance(dtype, T.StringType):
+        text = value
     else:
-        text = value.cast("string")
-    return text if max_chars is None else F.substring(text, 1, max_chars)
+        text = f"cast({value} as string)"
+    return text if max_chars is None else f"substring({text}, 1, {max_chars})"
 
 
-def row_text(
+def row_sql(
     schema: T.StructType,
     columns: Sequence[str],
     mode: str = "compat",
     max_chars: int | None = None,
-) -> Column:
-    """One text for the row, columns in the given order.
+) -> str:
+    """SQL for one text of the row, columns in the given order.
 
     ``compat`` joins the value texts with a separator and writes a null as a word, so a null
     equals that word and a value may imitate the separator.  ``strict`` puts a null flag and
     the length before each value and has neither ambiguity.
     """
-    texts = [value_text(field(c), schema[c].dataType, max_chars) for c in columns]
+    texts = [value_sql(quoted(c), schema[c].dataType, max_chars) for c in columns]
     if mode == "compat":
-        return F.concat_ws(SEPARATOR, *[F.coalesce(t, F.lit(NULL_TEXT)) for t in texts])
-    if mode == "strict":
-        parts = [
-            F.when(t.isNull(), F.lit("N")).otherwise(
-                F.concat(F.lit("V"), F.length(t).cast("string"), F.lit(":"), t)
-            )
-            for t in texts
-        ]
-        return F.concat_ws("", *parts)
-    raise ValueError(f"unknown hash mode {mode!r}")
+        separator, parts = SEPARATOR, [f"coalesce({t}, {literal(NULL_TEXT)})" for t in texts]
+    elif mode == "strict":
+        separator = ""
+        parts = [f"coalesce(concat('V', length({t}), ':', {t}), 'N')" for t in texts]
+    else:
+        raise ValueError(f"unknown hash mode {mode!r}")
+    return f"concat_ws({', '.join([literal(separator), *parts])})"
+
+
+def fast_hash_sql(
+    schema: T.StructType, columns: Sequence[str], max_chars: int | None = None, salt: int = 0
+) -> str:
+    """SQL for xxHash64 over the values themselves.
+
+    The hash function skips nulls and takes both zeros for one; a flag beside each value
+    keeps apart what the texts keep apart.
+    """
+    parts = [str(salt)]
+    for c in columns:
+        dtype, value = schema[c].dataType, quoted(c)
+        plain = max_chars is None and not _has_map(dtype)
+        parts.append(value if plain else value_sql(value, dtype, max_chars))
+        if isinstance(dtype, (T.FloatType, T.DoubleType)):
+            negative_zero = f"{value} = 0 and cast({value} as string) = '-0.0'"
+            parts.append(f"if({value} is null, 2, if({negative_zero}, 1, 0))")
+        else:
+            parts.append(f"{value} is null")
+    return f"xxhash64({', '.join(parts)})"
+
+
+def hash_sql(
+    schema: T.StructType,
+    columns: Sequence[str],
+    mode: str = "compat",
+    algo: str = "sha256",
+    max_chars: int | None = None,
+) -> str:
+    if algo == "sha256":
+        return f"sha2({row_sql(schema, columns, mode, max_chars)}, 256)"
+    if algo == "xxhash64":
+        return fast_hash_sql(schema, columns, max_chars)
+    raise ValueError(f"unknown hash algorithm {algo!r}")
+
+
+def value_text(value: str, dtype: T.DataType, max_chars: int | None = None) -> Column:
+    """The text of the column named ``value``, null for a null."""
+    return F.expr(value_sql(quoted(value), dtype, max_chars))
+
+
+def row_text(
+    schema: T.StructType,
+    columns: Sequence[str],
+    mode: str = "compat",
+    max_chars: int | None = None,
+) -> Column:
+    """One text for the row, columns in the given order."""
+    return F.expr(row_sql(schema, columns, mode, max_chars))
 
 
 def row_hash(
@@ -89,17 +142,7 @@ def row_hash(
 
     With no columns it is the hash of the empty text, so a row check compares presence only.
     """
-    if algo == "sha256":
-        return F.sha2(row_text(schema, columns, mode, max_chars), 256)
-    if algo == "xxhash64":
-        # The null flags keep a null apart from a value; xxhash64 itself skips nulls.
-        parts = [F.lit(0)]
-        for c in columns:
-            dtype = schema[c].dataType
-            plain = max_chars is None and not _has_map(dtype)
-            parts += [field(c).isNull(), field(c) if plain else value_text(field(c), dtype, max_chars)]
-        return F.xxhash64(*parts)
-    raise ValueError(f"unknown hash algorithm {algo!r}")
+    return F.expr(hash_sql(schema, columns, mode, algo, max_chars))
 
 
 def key_text(schema: T.StructType, keys: Sequence[str]) -> Column:

@@ -1,4 +1,4 @@
-"""Column references that survive blanks, dots and back-quotes in names."""
+"""Column references and SQL text that survive blanks, dots and quotes in names."""
 
 from __future__ import annotations
 
@@ -11,6 +11,13 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def literal(text: str | None) -> str:
+    """A text as a Spark SQL literal."""
+    if text is None:
+        return "cast(null as string)"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def field(name: str) -> Column:
     return F.col(quoted(name))
 

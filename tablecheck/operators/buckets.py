@@ -6,55 +6,75 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions import fields, key_text, row_hash
+from ..functions import quoted
+from ..functions.hashing import fast_hash_sql, hash_sql, row_sql
+from ..functions.sums import exact_sum_sql
 from .columns import Aligned
 from .rowdiff import IN_SOURCE, both_sides, row_diff
 
 BUCKET = "__tc_bucket"
 
 
-def hex_long(digest: Column, start: int = 1) -> Column:
+def hex_long_sql(digest: str, start: int = 1) -> str:
     """15 hex digits of a digest as a number, 60 bits."""
-    return F.conv(F.substring(digest, start, 15), 16, 10).cast("bigint")
+    return f"cast(conv(substring({digest}, {start}, 15), 16, 10) as bigint)"
+
+
+def bucket_sql(schema: T.StructType, keys: Sequence[str], n: int, algo: str) -> str:
+    """SQL for the bucket of a row, from its key."""
+    if algo == "xxhash64":
+        value = f"xxhash64({', '.join(map(quoted, keys))})"
+    else:
+        value = hex_long_sql(f"sha2({row_sql(schema, keys)}, 256)")
+    return f"cast(pmod({value}, {n}L) as int)"
 
 
 def bucket_of(
     schema: T.StructType, keys: Sequence[str], n: int, algo: str = "xxhash64"
 ) -> Column:
     """The bucket of a row, from its key."""
-    if algo == "xxhash64":
-        return F.pmod(F.xxhash64(*fields(keys)), F.lit(n)).cast("int")
-    return F.pmod(hex_long(F.sha2(key_text(schema, keys), 256)), F.lit(n)).cast("int")
-
-
-def _fingerprint(pair: Aligned, bucket: Column) -> DataFrame:
-    """Keys take part in the fingerprint: rows that swap keys inside a bucket must show."""
-    digest = row_hash(
-        pair.schema, [*pair.keys, *pair.columns], pair.hash_mode, "sha256", pair.max_chars
-    )
-    return both_sides(pair, bucket.alias("bucket"), digest.alias("__tc_digest"))
+    return F.expr(bucket_sql(schema, keys, n, algo))
 
 
 def bucket_fingerprints(pair: Aligned, n: int, algo: str = "sha256") -> DataFrame:
     """Per bucket and side the row count, the xor of the row hashes and their sum.
 
-    The xor alone is blind to pairs of equal rows, the count to changed ones; the sum over
-    other digits of the hash sees both.  Combining before the shuffle leaves at most ``n``
-    rows per task, whatever the size or skew of the tables.
-    """
-    rows = _fingerprint(pair, bucket_of(pair.schema, pair.keys, n, algo))
-    here = F.col(IN_SOURCE)
-    xor, add = hex_long(F.col("__tc_digest")), hex_long(F.col("__tc_digest"), 16)
-    rows = rows.select("bucket", IN_SOURCE, xor.alias("x"), add.cast("decimal(28,0)").alias("a"))
+    Keys take part in the hash: rows that swap keys inside a bucket must show.  The xor alone
+    is blind to pairs of equal rows, the count to changed ones; the sum, over other digits or
+    another hash, sees both.  Combining before the shuffle leaves at most ``n`` rows per
+    task, whatever the size or skew of the tables.
 
-    def side(flag: Column, name: str) -> list[Column]:
+    ``sha256`` gives numbers that other engines reproduce; ``xxhash64`` is for narrowing.
+    """
+    hashed = [*pair.keys, *pair.columns]
+    bucket = F.expr(f"{bucket_sql(pair.schema, pair.keys, n, algo)} as bucket")
+    if algo == "sha256":
+        digest = hash_sql(pair.schema, hashed, pair.hash_mode, algo, pair.max_chars)
+        rows = both_sides(pair, bucket, F.expr(f"{digest} as __tc_digest")).selectExpr(
+            "bucket",
+            IN_SOURCE,
+            f"{hex_long_sql('__tc_digest')} as x",
+            f"{hex_long_sql('__tc_digest', 16)} as a",
+        )
+        bits = 60
+    else:
+        x = fast_hash_sql(pair.schema, hashed, pair.max_chars)
+        a = fast_hash_sql(pair.schema, hashed, pair.max_chars, salt=1)
+        rows = both_sides(pair, bucket, F.expr(f"{x} as x"), F.expr(f"{a} as a"))
+        bits = 64
+
+    def side(flag: str, name: str) -> list[Column]:
         return [
-            F.count_if(flag).alias(f"{name}_rows"),
-            F.coalesce(F.bit_xor(F.when(flag, F.col("x"))), F.lit(0)).alias(f"{name}_xor"),
-            F.coalesce(F.sum(F.when(flag, F.col("a"))), F.lit(0)).alias(f"{name}_sum"),
+            F.expr(f"count_if({flag}) as {name}_rows"),
+            F.expr(f"coalesce(bit_xor(if({flag}, x, null)), 0L) as {name}_xor"),
+            F.expr(
+                f"coalesce({exact_sum_sql(f'if({flag}, a, null)', bits)}, 0) as {name}_sum"
+            ),
         ]
 
-    return rows.groupBy("bucket").agg(*side(here, "source"), *side(~here, "target"))
+    return rows.groupBy("bucket").agg(
+        *side(IN_SOURCE, "source"), *side(f"not {IN_SOURCE}", "target")
+    )
 
 
 def differing_buckets(pair: Aligned, n: int, algo: str = "xxhash64") -> DataFrame:

@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions import field, fields, key_json
+from ..functions import key_json, quoted
 from ..session import materialise
 from ..spec import FAIL, PASS
 from .columns import Aligned
 from .filters import filter_groups
-from .metrics import METRIC_ID, Metric, _unpivot, metrics_of, pair_metrics
+from .metrics import (
+    Metric,
+    group_columns,
+    group_json,
+    group_names,
+    metrics_of,
+    pair_metrics,
+    unpivot,
+)
 from .rowdiff import row_diff
 
 OVERSIZED = "OVERSIZED"
@@ -35,44 +44,39 @@ def _partials(df: DataFrame, metrics: Sequence[Metric], group_by: Sequence[str])
     """One pass over a side: the aggregates of the finest groups, in mergeable form."""
     aggs = []
     for i, m in enumerate(metrics):
-        if m.name == "AVG":
-            aggs.append(F.count(field(m.column)).alias(f"__tc_m{i}"))
-        else:
-            aggs.append(m.value.alias(f"__tc_m{i}"))
-    return df.groupBy(*fields(group_by)).agg(*aggs)
+        value = f"count({quoted(m.column)})" if m.name == "AVG" else m.value
+        aggs.append(F.expr(f"{value} as __tc_m{i}"))
+    return df.groupBy(*group_columns(group_by)).agg(*aggs)
 
 
-def _merged(partials: DataFrame, metrics: Sequence[Metric], group_by: Sequence[str]) -> DataFrame:
+def _merged(partials: DataFrame, metrics: Sequence[Metric], lead: Sequence[str]) -> DataFrame:
     """The metrics of coarser groups from the partials of the finest ones."""
-    merge = {"MIN": F.min, "MAX": F.max}
-    aggs = [
-        merge.get(m.name, F.sum)(f"__tc_m{i}").alias(f"__tc_m{i}") for i, m in enumerate(metrics)
-    ]
-    wide = partials.groupBy(*fields(group_by)).agg(*aggs)
-    final: dict[str, Column] = {}
+    merge = {"MIN": "min", "MAX": "max"}
+    aggs = []
     for i, m in enumerate(metrics):
+        value = f"{merge.get(m.name, 'sum')}(__tc_m{i})"
         if m.name == "AVG":
-            total, count = F.col(f"__tc_m{i - 1}"), F.col(f"__tc_m{i}")
+            # Its partial is the number of values; the sum stands just before it.
+            total = f"sum(__tc_m{i - 1})"
             if isinstance(m.result_type, T.DoubleType):
-                total = total.cast("double")
-            final[f"__tc_m{i}"] = F.when(count > 0, total / count)
-    return _unpivot(wide.withColumns(final), metrics, group_by)
+                total = f"cast({total} as double)"
+            value = f"if({value} > 0, {total} / {value}, null)"
+        aggs.append(F.expr(f"{value} as __tc_m{i}"))
+    return unpivot(partials.groupBy(*lead).agg(*aggs), metrics, lead)
 
 
 def _largest_count() -> Column:
     """Over the metric rows of a group, its row count on the larger side."""
-    counted = (F.col("column_name") == "*") & (F.col("metric") == "COUNT")
-    rows = F.greatest(
-        F.coalesce(F.col("source_value").try_cast("bigint"), F.lit(0)),
-        F.coalesce(F.col("target_value").try_cast("bigint"), F.lit(0)),
+    sides = ", ".join(
+        f"coalesce(try_cast({side}_value as bigint), 0L)" for side in ("source", "target")
     )
-    return F.max(F.when(counted, rows))
+    return F.expr(f"max(if(column_name = '*' and metric = 'COUNT', greatest({sides}), null))")
 
 
-def oversized(checked: DataFrame, group_by: Sequence[str], max_rows: int) -> DataFrame:
+def oversized(checked: DataFrame, lead: Sequence[str], max_rows: int) -> DataFrame:
     """Groups whose row count on either side is over the limit; no count, not oversized."""
-    counts = checked.groupBy(*fields(group_by)).agg(_largest_count().alias("__tc_rows"))
-    return counts.filter(F.col("__tc_rows") > max_rows).select(*fields(group_by))
+    counts = checked.groupBy(*lead).agg(_largest_count().alias("__tc_rows"))
+    return counts.filter(F.col("__tc_rows") > max_rows).select(*lead)
 
 
 def grouped_drilldown(
@@ -90,66 +94,65 @@ def grouped_drilldown(
     reported and not matched; the rows of the others are matched inside their group.
     """
     group_cols = list(group_cols)
-    if not group_cols:
-        raise ValueError("no group columns")
     unknown = [c for c in group_cols if c not in pair.keys + pair.columns]
-    if unknown:
-        raise ValueError(f"group columns are not shared by both sides: {unknown}")
+    if not group_cols or unknown:
+        raise ValueError(f"group columns must be shared by both sides: {unknown or group_cols}")
     columns = [c for c in pair.columns if c not in group_cols]
     metrics = metrics_of(pair.schema, columns, rows=True)
     source = materialise(_partials(pair.source, metrics, group_cols), "groups-source")
     target = materialise(_partials(pair.target, metrics, group_cols), "groups-target")
 
-    groups, reported, failing = None, None, None
-    for level in range(1, len(group_cols) + 1):
-        by = group_cols[:level]
+    names = group_names(group_cols)
+    groups: list[DataFrame] = []
+    reported: list[DataFrame] = []
+    failing = None
+    for level in range(1, len(names) + 1):
+        by, last = names[:level], level == len(names)
         s, t = _merged(source, metrics, by), _merged(target, metrics, by)
         if failing is not None:
             s, t = filter_groups(s, failing, by[:-1]), filter_groups(t, failing, by[:-1])
         checked = materialise(pair_metrics(s, t, by, abs_tol, rel_tol), f"level{level}")
-        last = level == len(group_cols)
         large = _largest_count() > max_rows if last else F.lit(False)
         outcome = (
-            F.when(F.bool_and(F.col("status") == PASS), PASS)
+            F.when(F.expr(f"bool_and(status = '{PASS}')"), PASS)
             .when(large, OVERSIZED)
             .otherwise(FAIL)
         )
-        verdict = checked.groupBy(*fields(by)).agg(outcome.alias("__tc_outcome"))
+        verdict = checked.groupBy(*by).agg(outcome.alias("__tc_outcome"))
         final = verdict.filter(F.col("__tc_outcome") != FAIL)
-        failing = verdict.filter(F.col("__tc_outcome") == FAIL).select(*fields(by))
-        level_groups = final.select(
-            F.lit(level).alias("level"),
-            key_json(by).alias("group_key"),
-            F.col("__tc_outcome").alias("outcome"),
-        )
-        level_metrics = filter_groups(checked, final, by).select(
-            F.lit(level).alias("level"),
-            key_json(by).alias("group_key"),
-            "column_name",
-            "metric",
-            "source_value",
-            "target_value",
-            "difference",
-            "status",
-        )
-        groups = level_groups if groups is None else groups.unionByName(level_groups)
-        reported = level_metrics if reported is None else reported.unionByName(level_metrics)
-
-    rows = None
-    if pair.keys:
-        failing = materialise(failing, "failing-groups")
-        # Group columns that are keys already need no second place in the comparison.
-        within = [c for c in group_cols if c not in pair.keys]
-        limited = pair.with_rows(
-            filter_groups(pair.source, failing, group_cols),
-            filter_groups(pair.target, failing, group_cols),
-        )
-        diff = row_diff(limited, within=within)
-        rows = diff.select(
-            key_json(group_cols).alias("group_key"),
-            key_json(pair.keys).alias("primary_key_value"),
-            "mismatch_type",
-            "source_row_hash",
-            "target_row_hash",
+        failing = verdict.filter(F.col("__tc_outcome") == FAIL).select(*by)
+        own = [F.lit(level).alias("level"), group_json(group_cols[:level]).alias("group_key")]
+        groups.append(final.select(*own, F.col("__tc_outcome").alias("outcome")))
+        reported.append(
+            filter_groups(checked, final, by).select(
+                *own,
+                "column_name",
+                "metric",
+                "source_value",
+                "target_value",
+                "difference",
+                "status",
+            )
         )
-    return GroupedResult(groups, reported, rows)
+    rows = _rows_of(pair, failing, group_cols) if pair.keys else None
+    return GroupedResult(
+        reduce(DataFrame.unionByName, groups), reduce(DataFrame.unionByName, reported), rows
+    )
+
+
+def _rows_of(pair: Aligned, failing: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """The differing rows of the failing groups, each matched inside its group."""
+    failing = materialise(failing, "failing-groups")
+    on = dict(zip(group_names(group_cols), group_cols))
+    limited = pair.with_rows(
+        filter_groups(pair.source, failing, on), filter_groups(pair.target, failing, on)
+    )
+    # Group columns that are keys already need no second place in the comparison.
+    diff = row_diff(limited, within=[c for c in group_cols if c not in pair.keys])
+    return diff.select(
+        key_json(group_cols).alias("group_key"),
+        key_json(pair.keys).alias("primary_key_value"),
+        "mismatch_type",
+        "source_row_hash",
+        "target_row_hash",
+    )

@@ -1,7 +1,7 @@
 """Column metrics and their comparison.
 
-A metric value travels in three typed fields: ``number`` for values compared with a
-tolerance, ``text`` for values compared exactly, and ``exact`` that says which applies.
+A metric value travels as three fields: ``number`` for values compared with a tolerance,
+``text`` for values compared exactly, and ``exact`` that says which applies.
 """
 
 from __future__ import annotations
@@ -11,31 +11,27 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions import field, fields, value_text
+from ..functions import literal, quoted
+from ..functions.hashing import value_sql
+from ..functions.sums import exact_sum_sql
 from ..spec import FAIL, PASS
 from .columns import Aligned
 
-_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# The width of the integer types.
+_INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 _FLOATS = (T.FloatType, T.DoubleType)
-_ORDERED = (
-    T.StringType,
-    T.CharType,
-    T.VarcharType,
-    T.DateType,
-    T.TimestampType,
-    T.TimestampNTZType,
-)
+_ORDERED = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 METRIC_ID = "__tc_metric"
 
 
 @dataclass(frozen=True)
 class Metric:
-    """One aggregate of one column, and how a partial result of it is merged further."""
+    """One aggregate of one column, as SQL."""
 
     column: str
     name: str
-    value: Column
+    value: str
     result_type: T.DataType
 
     @property
@@ -45,98 +41,123 @@ class Metric:
 
 def metrics_of(schema: T.StructType, columns: Sequence[str], rows: bool = False) -> list[Metric]:
     """The metrics in reporting order; which ones follow from the column's type class."""
-    out = [Metric("*", "COUNT", F.count("*"), T.LongType())] if rows else []
+    out = [Metric("*", "COUNT", "count(*)", T.LongType())] if rows else []
     for name in columns:
-        dtype, value = schema[name].dataType, field(name)
-        out.append(Metric(name, "NULL_COUNT", F.count_if(value.isNull()), T.LongType()))
+        dtype, value = schema[name].dataType, quoted(name)
+        out.append(Metric(name, "NULL_COUNT", f"count_if({value} is null)", T.LongType()))
         if isinstance(dtype, T.NumericType):
-            if isinstance(dtype, _INTEGERS):
-                total, total_type = F.sum(value.cast("decimal(28,0)")), T.DecimalType(38, 0)
+            total, total_type, mean_type = f"sum({value})", T.DoubleType(), T.DoubleType()
+            bits = _INTEGER_BITS.get(type(dtype))
+            if bits:
+                total = exact_sum_sql(f"cast({value} as bigint)", bits)
+                total_type = T.DecimalType(38, 0)
             elif isinstance(dtype, T.DecimalType):
-                total, total_type = F.sum(value), dtype
-            else:
-                total, total_type = F.sum(value), T.DoubleType()
-            mean_type = dtype if isinstance(dtype, T.DecimalType) else T.DoubleType()
+                total_type = mean_type = dtype
             out.append(Metric(name, "SUM", total, total_type))
-            out.append(Metric(name, "AVG", F.avg(value), mean_type))
+            out.append(Metric(name, "AVG", f"avg({value})", mean_type))
         if isinstance(dtype, (T.NumericType, *_ORDERED)):
-            out.append(Metric(name, "MIN", F.min(value), dtype))
-            out.append(Metric(name, "MAX", F.max(value), dtype))
+            out.append(Metric(name, "MIN", f"min({value})", dtype))
+            out.append(Metric(name, "MAX", f"max({value})", dtype))
     return out
 
 
-def _unpivot(wide: DataFrame, metrics: Sequence[Metric], group_by: Sequence[str]) -> DataFrame:
-    """One row per metric in place of one column per metric."""
+def group_names(group_by: Sequence[str]) -> list[str]:
+    """Group columns go by number inside, as their names may be those of the result."""
+    return [f"__tc_g{i}" for i in range(len(group_by))]
+
+
+def group_columns(group_by: Sequence[str]) -> list[Column]:
+    return [F.expr(f"{quoted(g)} as {n}") for g, n in zip(group_by, group_names(group_by))]
+
+
+def group_json(group_by: Sequence[str]) -> Column:
+    """The group as a JSON object, nulls kept."""
+    parts = [f"{n} as {quoted(g)}" for g, n in zip(group_by, group_names(group_by))]
+    return F.expr(f"to_json(struct({', '.join(parts)}), map('ignoreNullFields', 'false'))")
+
+
+def unpivot(wide: DataFrame, metrics: Sequence[Metric], lead: Sequence[str]) -> DataFrame:
+    """One row per metric from columns ``__tc_m0``, ``__tc_m1``, ..."""
     rows = []
     for i, m in enumerate(metrics):
-        value = F.col(f"__tc_m{i}")
+        value = f"__tc_m{i}"
+        number = "cast(null as double)" if m.exact else f"cast({value} as double)"
         rows.append(
-            F.struct(
-                F.lit(i).alias(METRIC_ID),
-                F.lit(m.column).alias("column_name"),
-                F.lit(m.name).alias("metric"),
-                F.lit(m.exact).alias("exact"),
-                (F.lit(None) if m.exact else value).cast("double").alias("number"),
-                value_text(value, m.result_type).alias("text"),
-            )
+            f"struct({i} as {METRIC_ID}, {literal(m.column)} as column_name, "
+            f"{literal(m.name)} as metric, {str(m.exact).lower()} as exact, "
+            f"{number} as number, {value_sql(value, m.result_type)} as text)"
         )
-    return wide.select(*fields(group_by), F.explode(F.array(*rows)).alias("__tc_row")).select(
-        *fields(group_by), "__tc_row.*"
-    )
+    return wide.selectExpr(*lead, f"inline(array({', '.join(rows)}))")
 
 
-def column_metrics(
-    df: DataFrame, columns: Sequence[str], group_by: Sequence[str] = (), rows: bool = False
+def _numbered_metrics(
+    df: DataFrame, columns: Sequence[str], group_by: Sequence[str], rows: bool
 ) -> DataFrame:
-    """All metrics of all columns in one pass, one row per group, column and metric."""
     metrics = metrics_of(df.schema, columns, rows)
     if not metrics:
         raise ValueError("no columns to aggregate")
-    named = [m.value.alias(f"__tc_m{i}") for i, m in enumerate(metrics)]
-    wide = df.groupBy(*fields(group_by)).agg(*named)
-    return _unpivot(wide, metrics, group_by)
+    named = [F.expr(f"{m.value} as __tc_m{i}") for i, m in enumerate(metrics)]
+    wide = df.groupBy(*group_columns(group_by)).agg(*named)
+    return unpivot(wide, metrics, group_names(group_by))
 
 
-def metrics_match(
-    source: Column, target: Column, abs_tol: float = 1e-6, rel_tol: float | None = None
-) -> Column:
-    """Whether two metric values agree; both are structs of ``exact``, ``number``, ``text``.
+def column_metrics(
+    df: DataFrame, columns: Sequence[str], group_by: Sequence[str] = (), rows: bool = False
+) -> DataFrame:
+    """All metrics of all columns in one pass, one row per group, column and metric.
+
+    The group is given as a JSON object in ``group_key``.
+    """
+    found = _numbered_metrics(df, columns, group_by, rows)
+    lead = [group_json(group_by).alias("group_key")] if group_by else []
+    return found.select(*lead, METRIC_ID, "column_name", "metric", "exact", "number", "text")
+
+
+def match_sql(s: str, t: str, abs_tol: float = 1e-6, rel_tol: float | None = None) -> str:
+    """SQL for whether two metric values, structs of the three fields, agree.
 
     Two nulls agree and a null agrees with nothing else.  Floating point values agree within
     the tolerance; not-a-number and equal infinities do not, their difference being no number.
     """
-    difference = F.abs(source["number"] - target["number"])
-    close = difference < abs_tol
+    difference = f"abs({s}.number - {t}.number)"
+    close = f"{difference} < {abs_tol!r}D"
     if rel_tol is not None:
-        scale = F.greatest(F.abs(source["number"]), F.abs(target["number"]))
-        close = close | ((difference <= scale * rel_tol) & (difference < float("inf")))
+        scale = f"greatest(abs({s}.number), abs({t}.number))"
+        close = (
+            f"({close} or ({difference} <= {scale} * {rel_tol!r}D"
+            f" and {difference} < double('infinity')))"
+        )
     return (
-        F.when(source["text"].isNull() & target["text"].isNull(), True)
-        .when(source["text"].isNull() | target["text"].isNull(), False)
-        .when(source["exact"], source["text"] == target["text"])
-        .otherwise(close)
+        f"case when {s}.text is null or {t}.text is null "
+        f"then {s}.text is null and {t}.text is null "
+        f"when {s}.exact then {s}.text = {t}.text else {close} end"
     )
 
 
-def _value() -> Column:
-    return F.struct("exact", "number", "text")
+def metrics_match(
+    source: str, target: str, abs_tol: float = 1e-6, rel_tol: float | None = None
+) -> Column:
+    """Whether the metric values in two struct columns agree."""
+    return F.expr(match_sql(quoted(source), quoted(target), abs_tol, rel_tol))
+
+
+_VALUE = "struct(exact, number, text)"
 
 
 def _compared(both: DataFrame, lead: Sequence[str], abs_tol: float, rel_tol: float | None) -> DataFrame:
-    s, t = F.col("__tc_s"), F.col("__tc_t")
-    match = metrics_match(s, t, abs_tol, rel_tol)
-    return both.select(
-        *fields(lead),
+    def number(side: str) -> str:
+        return f"coalesce({side}.number, try_cast({side}.text as double))"
+
+    match = match_sql("__tc_s", "__tc_t", abs_tol, rel_tol)
+    return both.selectExpr(
+        *lead,
         METRIC_ID,
         "column_name",
         "metric",
-        s["text"].alias("source_value"),
-        t["text"].alias("target_value"),
-        (
-            F.coalesce(s["number"], s["text"].try_cast("double"))
-            - F.coalesce(t["number"], t["text"].try_cast("double"))
-        ).alias("difference"),
-        F.when(match, PASS).otherwise(FAIL).alias("status"),
+        "__tc_s.text as source_value",
+        "__tc_t.text as target_value",
+        f"{number('__tc_s')} - {number('__tc_t')} as difference",
+        f"if({match}, '{PASS}', '{FAIL}') as status",
     )
 
 
@@ -150,55 +171,38 @@ def column_comparison(
     """
     source = column_metrics(pair.source, pair.columns, rows=rows)
     target = column_metrics(pair.target, pair.columns, rows=rows)
-    both = source.select(
-        METRIC_ID, "column_name", "metric", _value().alias("__tc_s")
-    ).join(F.broadcast(target.select(METRIC_ID, _value().alias("__tc_t"))), METRIC_ID)
+    both = source.selectExpr(METRIC_ID, "column_name", "metric", f"{_VALUE} as __tc_s").join(
+        F.broadcast(target.selectExpr(METRIC_ID, f"{_VALUE} as __tc_t")), METRIC_ID
+    )
     return _compared(both, [], abs_tol, rel_tol)
 
 
 def column_diff(pair: Aligned, abs_tol: float = 1e-6, rel_tol: float | None = None) -> DataFrame:
     """The metrics that disagree."""
-    failed = column_comparison(pair, abs_tol, rel_tol).filter(F.col("status") == FAIL)
+    failed = column_comparison(pair, abs_tol, rel_tol).filter(f"status = '{FAIL}'")
     return failed.drop("status", METRIC_ID)
 
 
-def grouped_comparison(
-    source: DataFrame,
-    target: DataFrame,
-    columns: Sequence[str],
-    group_by: Sequence[str],
-    abs_tol: float = 1e-6,
-    rel_tol: float | None = None,
-) -> DataFrame:
-    """Every metric of every group with its verdict; a null group equals a null group."""
-    return pair_metrics(
-        column_metrics(source, columns, group_by, rows=True),
-        column_metrics(target, columns, group_by, rows=True),
-        group_by,
-        abs_tol,
-        rel_tol,
-    )
-
-
 def pair_metrics(
     source: DataFrame,
     target: DataFrame,
-    group_by: Sequence[str],
+    lead: Sequence[str],
     abs_tol: float = 1e-6,
     rel_tol: float | None = None,
 ) -> DataFrame:
-    """Put the metric rows of two sides beside one another, group by group."""
-    here = F.col("__tc_in_source")
+    """Put the metric rows of two sides beside one another, group by group.
+
+    A group missing on one side has no values there, and a null group equals a null group.
+    """
+    keys = [*lead, METRIC_ID, "column_name", "metric"]
+    none = "cast(null as struct<exact: boolean, number: double, text: string>)"
     both = (
-        source.withColumn("__tc_in_source", F.lit(True))
-        .unionByName(target.withColumn("__tc_in_source", F.lit(False)))
-        .groupBy(*fields(group_by), METRIC_ID, "column_name", "metric")
-        .agg(
-            F.first(F.when(here, _value()), ignorenulls=True).alias("__tc_s"),
-            F.first(F.when(~here, _value()), ignorenulls=True).alias("__tc_t"),
-        )
+        source.selectExpr(*keys, f"{_VALUE} as __tc_s", f"{none} as __tc_t")
+        .unionAll(target.selectExpr(*keys, f"{none} as __tc_s", f"{_VALUE} as __tc_t"))
+        .groupBy(*keys)
+        .agg(F.expr("first(__tc_s, true) as __tc_s"), F.expr("first(__tc_t, true) as __tc_t"))
     )
-    return _compared(both, group_by, abs_tol, rel_tol)
+    return _compared(both, lead, abs_tol, rel_tol)
 
 
 def grouped_column_diff(
@@ -209,17 +213,28 @@ def grouped_column_diff(
 ) -> DataFrame:
     """The metrics that disagree, per group."""
     columns = [c for c in pair.columns if c not in group_by]
-    checked = grouped_comparison(pair.source, pair.target, columns, group_by, abs_tol, rel_tol)
-    return checked.filter(F.col("status") == FAIL).drop("status", METRIC_ID)
+    checked = pair_metrics(
+        _numbered_metrics(pair.source, columns, group_by, rows=True),
+        _numbered_metrics(pair.target, columns, group_by, rows=True),
+        group_names(group_by),
+        abs_tol,
+        rel_tol,
+    )
+    return checked.filter(f"status = '{FAIL}'").select(
+        group_json(group_by).alias("group_key"),
+        "column_name",
+        "metric",
+        "source_value",
+        "target_value",
+        "difference",
+    )
 
 
 def count_check(source: DataFrame, target: DataFrame) -> DataFrame:
     """Row counts of both sides and their difference, in one row."""
-    counts = source.agg(F.count("*").alias("s"), F.lit(0).cast("bigint").alias("t")).unionAll(
-        target.agg(F.lit(0).cast("bigint"), F.count("*"))
+    counts = source.selectExpr("count(*) as s", "0L as t").unionAll(
+        target.selectExpr("0L as s", "count(*) as t")
     )
-    return counts.agg(
-        F.sum("s").alias("source_count"),
-        F.sum("t").alias("target_count"),
-        (F.sum("s") - F.sum("t")).alias("difference"),
+    return counts.selectExpr(
+        "sum(s) as source_count", "sum(t) as target_count", "sum(s) - sum(t) as difference"
     )

@@ -43,9 +43,9 @@ def _shown_hash(name: str, algo: str) -> Column:
     return F.lower(F.hex(name)) if algo == "sha256" else F.col(name).cast("string")
 
 
-def apart(keys: Sequence[str]) -> Column:
+def _apart(keys: Sequence[str], flag: bool) -> Column:
     any_null = reduce(lambda a, b: a | b, [k.isNull() for k in fields(keys)])
-    return F.when(any_null, F.col(IN_SOURCE)).alias(APART)
+    return F.when(any_null, F.lit(flag)).alias(APART)
 
 
 def both_sides(pair: Aligned, *columns: Column) -> DataFrame:
@@ -55,19 +55,31 @@ def both_sides(pair: Aligned, *columns: Column) -> DataFrame:
     return source.unionAll(target)
 
 
+def _beside(pair: Aligned, value: Column, within: Sequence[str] = ()) -> DataFrame:
+    """Both tables under one another with ``value`` in a column of its own for each side."""
+    lead = [*fields(pair.keys), *fields(within)]
+    none = F.lit(None).cast(pair.source.select(value).schema[0].dataType)
+    source = pair.source.select(
+        *lead, _apart(pair.keys, True), value.alias(SOURCE_HASH), none.alias(TARGET_HASH)
+    )
+    target = pair.target.select(
+        *lead, _apart(pair.keys, False), none.alias(SOURCE_HASH), value.alias(TARGET_HASH)
+    )
+    return source.unionAll(target)
+
+
 def keyed_hashes(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
     """Per key the number of rows and the smallest row hash of each side.
 
     The smallest hash stands for the key where it has several rows on a side.  ``within``
     names further columns that must agree, with null equal to null.
     """
-    rows = both_sides(pair, *fields(pair.keys), *fields(within), _stored_hash(pair).alias(HASH))
-    here = F.col(IN_SOURCE)
-    return rows.groupBy(*fields(pair.keys), *fields(within), apart(pair.keys)).agg(
-        F.count_if(here).alias(N_SOURCE),
-        F.count_if(~here).alias(N_TARGET),
-        F.min(F.when(here, F.col(HASH))).alias(SOURCE_HASH),
-        F.min(F.when(~here, F.col(HASH))).alias(TARGET_HASH),
+    rows = _beside(pair, _stored_hash(pair), within)
+    return rows.groupBy(*fields(pair.keys), *fields(within), APART).agg(
+        F.count(SOURCE_HASH).alias(N_SOURCE),
+        F.count(TARGET_HASH).alias(N_TARGET),
+        F.min(SOURCE_HASH).alias(SOURCE_HASH),
+        F.min(TARGET_HASH).alias(TARGET_HASH),
     )
 
 
@@ -103,11 +115,10 @@ def hash_mismatch(pair: Aligned) -> DataFrame:
 
 def key_presence(pair: Aligned) -> DataFrame:
     """Per key the number of rows of each side; reads the key columns only."""
-    here = F.col(IN_SOURCE)
     return (
-        both_sides(pair, *fields(pair.keys))
-        .groupBy(*fields(pair.keys), apart(pair.keys))
-        .agg(F.count_if(here).alias(N_SOURCE), F.count_if(~here).alias(N_TARGET))
+        _beside(pair, F.lit(True))
+        .groupBy(*fields(pair.keys), APART)
+        .agg(F.count(SOURCE_HASH).alias(N_SOURCE), F.count(TARGET_HASH).alias(N_TARGET))
     )
 
 
@@ -124,11 +135,10 @@ def missing_in_target(pair: Aligned) -> DataFrame:
 
 
 def _hash_counts(pair: Aligned) -> DataFrame:
-    here = F.col(IN_SOURCE)
     return (
-        both_sides(pair, *fields(pair.keys), _stored_hash(pair).alias(HASH))
-        .groupBy(*fields(pair.keys), apart(pair.keys), HASH)
-        .agg(F.count_if(here).alias(N_SOURCE), F.count_if(~here).alias(N_TARGET))
+        _beside(pair, _stored_hash(pair))
+        .groupBy(*fields(pair.keys), APART, F.coalesce(SOURCE_HASH, TARGET_HASH).alias(HASH))
+        .agg(F.count(SOURCE_HASH).alias(N_SOURCE), F.count(TARGET_HASH).alias(N_TARGET))
     )
 
 
@@ -273,7 +283,7 @@ def with_light_details(pair: Aligned, diff: DataFrame) -> DataFrame:
 def cell_diff(pair: Aligned, diff: DataFrame) -> DataFrame:
     """For keys on both sides whose rows differ, the columns that differ with both values."""
     texts = F.array(
-        *[value_text(field(c), pair.schema[c].dataType, pair.max_chars) for c in pair.columns]
+        *[value_text(c, pair.schema[c].dataType, pair.max_chars) for c in pair.columns]
     )
     changed = diff.filter(F.col("mismatch_type") == HASH_MISMATCH)
     cells = F.explode(

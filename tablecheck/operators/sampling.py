@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import fields, key_text
 from ..session import materialise
-from .buckets import hex_long
+from .buckets import hex_long_sql
 from .columns import Aligned
 from .filters import filter_keys
 
@@ -38,7 +38,7 @@ def sample_keys(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> D
     while True:
         below = drawn
         if share < 1.0:
-            below = drawn.filter(hex_long(F.col("__tc_order")) < int(share * _RANGE))
+            below = drawn.filter(f"{hex_long_sql('__tc_order')} < {int(share * _RANGE)}L")
         distinct = below.dropDuplicates([*keys])
         if share >= 1.0 or distinct.limit(n).count() == n:
             break

@@ -6,9 +6,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import key_json
+from ..functions import literal
 from ..operators.columns import Aligned, align, schema_diff
 from ..operators.grouped import GroupedResult, grouped_drilldown
 from ..operators.metrics import column_comparison, count_check
@@ -46,87 +46,61 @@ ROW_CLASSES = (HASH_MISMATCH, MISSING_IN_SOURCE, MISSING_IN_TARGET)
 
 def stamp(df: DataFrame, spec: PairSpec, run: Run) -> DataFrame:
     """Complete check rows to the result schema; columns a check lacks become null."""
-    own = run.columns(spec.name)
-
-    def one(f) -> Column:
-        if f.name in own:
-            value = own[f.name]
-        elif f.name in df.columns:
-            value = F.col(f.name)
-        else:
-            value = F.lit(None)
-        return value.cast(f.dataType).alias(f.name)
-
-    return df.select(*[one(f) for f in RESULT_SCHEMA.fields])
+    own, present = run.columns(spec.name), set(df.columns)
+    out = []
+    for f in RESULT_SCHEMA.fields:
+        value = own.get(f.name, f.name if f.name in present else "null")
+        out.append(f"cast({value} as {f.dataType.simpleString()}) as {f.name}")
+    return df.selectExpr(*out)
 
 
 def note(spark: SparkSession, check: str, status: str, message: str | None = None) -> DataFrame:
     """A single result row without values."""
-    rows = [(check, status, message)]
-    return spark.createDataFrame(rows, "check string, status string, message string")
-
-
-def _metric_row(metric: str, check: str, source: Column, target: Column, ok: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"),
-        F.lit(metric).alias("metric"),
-        source.cast("string").alias("source_value"),
-        target.cast("string").alias("target_value"),
-        (source - target).cast("double").alias("difference"),
-        F.when(ok, PASS).otherwise(FAIL).alias("status"),
+    return spark.range(1).selectExpr(
+        f"{literal(check)} as check", f"{literal(status)} as status", f"{literal(message)} as message"
+    )
+
+
+def _metric_row(metric: str, check: str, source: str, target: str, ok: str) -> str:
+    """SQL for a result row with a value per side."""
+    return (
+        f"struct('{check}' as check, '{metric}' as metric, "
+        f"cast({source} as string) as source_value, cast({target} as string) as target_value, "
+        f"cast({source} - {target} as double) as difference, "
+        f"if({ok}, '{PASS}', '{FAIL}') as status)"
+    )
+
+
+def _class_row(name: str) -> str:
+    """SQL for a result row of a row class: a count without sides, given as the difference."""
+    return (
+        f"struct('row' as check, '{name}' as metric, cast(null as string) as source_value, "
+        f"cast(null as string) as target_value, cast({name} as double) as difference, "
+        f"if({name} = 0, '{PASS}', '{FAIL}') as status)"
     )
 
 
 def _key_rows(keyed: DataFrame, counts: bool) -> DataFrame:
     """Count, duplicate and row results from one aggregate over the keyed hashes."""
-    kind = mismatch_class()
-
-    def extra(name: str) -> Column:
-        return F.sum(F.greatest(F.col(name) - 1, F.lit(0)))
-
-    totals = keyed.agg(
-        *[
-            F.coalesce(value, F.lit(0)).cast("bigint").alias(name)
-            for name, value in {
-                "s": F.sum(N_SOURCE),
-                "t": F.sum(N_TARGET),
-                "ds": extra(N_SOURCE),
-                "dt": extra(N_TARGET),
-                **{c: F.count_if(kind == c) for c in ROW_CLASSES},
-            }.items()
-        ]
+    sums = {
+        "s": f"sum({N_SOURCE})",
+        "t": f"sum({N_TARGET})",
+        "ds": f"sum(greatest({N_SOURCE} - 1, 0L))",
+        "dt": f"sum(greatest({N_TARGET} - 1, 0L))",
+        **{c: f"count_if(kind = '{c}')" for c in ROW_CLASSES},
+    }
+    totals = keyed.select(N_SOURCE, N_TARGET, mismatch_class().alias("kind")).selectExpr(
+        *[f"coalesce({value}, 0L) as {name}" for name, value in sums.items()]
     )
-    c = F.col
-    out = []
-    if counts:
-        out.append(_metric_row("ROW_COUNT", "count", c("s"), c("t"), c("s") == c("t")))
-    clean = (c("ds") == 0) & (c("dt") == 0)
-    out.append(_metric_row("DUPLICATE_ROWS", "duplicates", c("ds"), c("dt"), clean))
-    # A class count has no sides: it stands as the difference.
-    for name in ROW_CLASSES:
-        out.append(
-            F.struct(
-                F.lit("row").alias("check"),
-                F.lit(name).alias("metric"),
-                F.lit(None).cast("string").alias("source_value"),
-                F.lit(None).cast("string").alias("target_value"),
-                c(name).cast("double").alias("difference"),
-                F.when(c(name) == 0, PASS).otherwise(FAIL).alias("status"),
-            )
-        )
-    return totals.select(F.explode(F.array(*out)).alias("r")).select("r.*")
+    rows = [_metric_row("ROW_COUNT", "count", "s", "t", "s = t")] if counts else []
+    rows.append(_metric_row("DUPLICATE_ROWS", "duplicates", "ds", "dt", "ds = 0 and dt = 0"))
+    rows += [_class_row(name) for name in ROW_CLASSES]
+    return totals.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _count_rows(pair: Aligned) -> DataFrame:
-    counted = count_check(pair.source, pair.target)
-    row = _metric_row(
-        "ROW_COUNT",
-        "count",
-        F.col("source_count"),
-        F.col("target_count"),
-        F.col("difference") == 0,
-    )
-    return counted.select(row.alias("r")).select("r.*")
+    row = _metric_row("ROW_COUNT", "count", "source_count", "target_count", "difference = 0")
+    return count_check(pair.source, pair.target).selectExpr(f"inline(array({row}))")
 
 
 def _schema_rows(spec: PairSpec) -> DataFrame:
@@ -170,10 +144,10 @@ def schema_table(spec: PairSpec) -> DataFrame:
 def audit_rows(rows: DataFrame, spec: PairSpec, run: Run) -> DataFrame:
     """Mismatch rows under the run's identity."""
     own = run.columns(spec.name)
-    return rows.select(
-        own["run_id"].alias("run_id"),
-        own["pair"].alias("pair"),
-        own["run_ts"].alias("validation_time"),
+    return rows.selectExpr(
+        f"{own['run_id']} as run_id",
+        f"{own['pair']} as pair",
+        f"{own['run_ts']} as validation_time",
         *AUDIT_SCHEMA.names[3:],
     )
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
+
+from .functions import literal
 
 # The class and status words of the result tables.
 MISSING_IN_SOURCE = "MISSING_IN_SOURCE"
@@ -67,14 +69,15 @@ class Run:
     run_ts: datetime
     labels: dict[str, str] = field(default_factory=dict)
 
-    def columns(self, pair: str) -> dict[str, Column]:
-        pairs = [F.lit(x) for item in sorted(self.labels.items()) for x in item]
-        labels = F.create_map(*pairs) if pairs else F.create_map()
+    def columns(self, pair: str) -> dict[str, str]:
+        """The identity columns as SQL."""
+        ts = self.run_ts if self.run_ts.tzinfo else self.run_ts.replace(tzinfo=timezone.utc)
+        labels = ", ".join(literal(x) for item in sorted(self.labels.items()) for x in item)
         return {
-            "run_id": F.lit(self.run_id),
-            "run_ts": F.lit(self.run_ts).cast("timestamp"),
-            "pair": F.lit(pair),
-            "labels": labels.cast(RESULT_SCHEMA["labels"].dataType),
+            "run_id": literal(self.run_id),
+            "run_ts": f"timestamp'{ts.astimezone(timezone.utc):%Y-%m-%d %H:%M:%S.%f}+00:00'",
+            "pair": literal(pair),
+            "labels": f"map({labels})" if labels else "cast(map() as map<string,string>)",
         }
 
 

@@ -586,7 +586,7 @@ ORACLES: dict[str, str] = {
     "column_drift_empty": f"""select * from ({results_sql(DISJOINT, parts=('count',))})
       union all select 'orders', 'column', null, null, null, null, null, null, 'SKIPPED'""",
     "grouped_column_diff": f"""with {sides(CUSTOMER)}
-      select c_nationkey, column_name, metric, {two_sided()}, status
+      select {json_key(['c_nationkey'])} as group_key, column_name, metric, {two_sided()}, status
       from {comparison('src', 'tgt', [c for c in CUSTOMER.columns if c != 'c_nationkey'],
                        ['c_nationkey'], rows=True)} where status = 'FAIL'""",
     "grouped_drilldown": drilldown_sql(CUSTOMER, DRILL_GROUPS, DRILL_LIMIT),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import key_json, normalise_keys, row_hash
 from ..operators.buckets import bucket_fingerprints, narrowed_row_diff
@@ -89,10 +89,10 @@ def aligned(spark: SparkSession, sf_dir: str, pair: DerivedPair, **options) -> A
     return align(spec_of(spark, sf_dir, pair, **options))
 
 
-def _number(name: str) -> Column:
+def two_digits(value: str) -> str:
     """Two digits, cut at a place where neither sums nor means of cents lie: float results
     depend on the order of the rows, and a value on the edge would fall to either side."""
-    return F.floor(F.col(name).try_cast("double") * 100 + 0.2929) / F.lit(100.0)
+    return f"floor(try_cast({value} as double) * 100 + 0.2929D) / 100.0D"
 
 
 def shown(results: DataFrame, *lead: str) -> DataFrame:
@@ -100,24 +100,17 @@ def shown(results: DataFrame, *lead: str) -> DataFrame:
     sides = []
     for side in ("source", "target"):
         value = f"{side}_value"
-        text = F.when(F.col(value).try_cast("double").isNull(), F.col(value))
-        sides += [_number(value).alias(f"{side}_number"), text.alias(f"{side}_text")]
-    return results.select(*lead, "column_name", "metric", *sides, "status")
+        sides.append(f"{two_digits(value)} as {side}_number")
+        sides.append(f"if(try_cast({value} as double) is null, {value}, null) as {side}_text")
+    return results.selectExpr(*lead, "column_name", "metric", *sides, "status")
 
 
 def results_of(results: DataFrame) -> DataFrame:
-    """Result rows; a row class has no sides, so its count is shown as a number."""
-    rows = shown(
-        results.withColumn(
-            "source_value",
-            F.when(F.col("check") == "row", F.col("difference").cast("string")).otherwise(
-                F.col("source_value")
-            ),
-        ),
-        "pair",
-        "check",
+    """Result rows; a row class has no sides, so its count is shown as the source's number."""
+    value = "if(check = 'row', cast(difference as string), source_value)"
+    return shown(
+        results.withColumn("source_value", F.expr(value)), "pair", "check"
     )
-    return rows
 
 
 # Sources and sinks -------------------------------------------------------------------------
@@ -360,9 +353,11 @@ def duplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair = aligned(spark, sf_dir, LINEITEM)
     rows = column_metrics(pair.target, pair.columns, rows=True)
-    text = F.when(F.col("text").try_cast("double").isNull(), F.col("text"))
-    return rows.select(
-        "column_name", "metric", _number("text").alias("number"), text.alias("text")
+    return rows.selectExpr(
+        "column_name",
+        "metric",
+        f"{two_digits('text')} as number",
+        "if(try_cast(text as double) is null, text, null) as text",
     )
 
 
@@ -377,7 +372,7 @@ def column_drift_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def grouped_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = grouped_column_diff(aligned(spark, sf_dir, CUSTOMER), ["c_nationkey"])
-    return shown(rows.withColumn("status", F.lit("FAIL")), "c_nationkey")
+    return shown(rows.withColumn("status", F.lit("FAIL")), "group_key")
 
 
 def drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
