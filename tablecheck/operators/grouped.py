@@ -22,7 +22,7 @@ from .metrics import (
     pair_metrics,
     unpivot,
 )
-from .rowdiff import row_diff
+from .rowdiff import IN_SOURCE, row_diff
 
 OVERSIZED = "OVERSIZED"
 
@@ -99,8 +99,13 @@ def grouped_drilldown(
         raise ValueError(f"group columns must be shared by both sides: {unknown or group_cols}")
     columns = [c for c in pair.columns if c not in group_cols]
     metrics = metrics_of(pair.schema, columns, rows=True)
-    source = materialise(_partials(pair.source, metrics, group_cols), "groups-source")
-    target = materialise(_partials(pair.target, metrics, group_cols), "groups-target")
+    finest = materialise(
+        _partials(pair.source, metrics, group_cols)
+        .withColumn(IN_SOURCE, F.lit(True))
+        .unionAll(_partials(pair.target, metrics, group_cols).withColumn(IN_SOURCE, F.lit(False))),
+        "groups",
+    )
+    source, target = finest.filter(IN_SOURCE), finest.filter(f"not {IN_SOURCE}")
 
     names = group_names(group_cols)
     groups: list[DataFrame] = []
