@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import key_json, quoted
 from ..session import materialise
@@ -41,27 +41,30 @@ class GroupedResult:
 
 
 def _partials(df: DataFrame, metrics: Sequence[Metric], group_by: Sequence[str]) -> DataFrame:
-    """One pass over a side: the aggregates of the finest groups, in mergeable form."""
+    """One pass over a side: the aggregates of the finest groups, in mergeable form.
+
+    The partial result of a mean is its number of values; the sum is a metric of its own.
+    """
     aggs = []
-    for i, m in enumerate(metrics):
+    for m in metrics:
         value = f"count({quoted(m.column)})" if m.name == "AVG" else m.value
-        aggs.append(F.expr(f"{value} as __tc_m{i}"))
+        aggs.append(F.expr(f"{value} as {m.slot}"))
     return df.groupBy(*group_columns(group_by)).agg(*aggs)
 
 
 def _merged(partials: DataFrame, metrics: Sequence[Metric], lead: Sequence[str]) -> DataFrame:
     """The metrics of coarser groups from the partials of the finest ones."""
     merge = {"MIN": "min", "MAX": "max"}
+    sums = {m.column: m.slot for m in metrics if m.name == "SUM"}
     aggs = []
-    for i, m in enumerate(metrics):
-        value = f"{merge.get(m.name, 'sum')}(__tc_m{i})"
+    for m in metrics:
+        value = f"{merge.get(m.name, 'sum')}({m.slot})"
         if m.name == "AVG":
-            # Its partial is the number of values; the sum stands just before it.
-            total = f"sum(__tc_m{i - 1})"
-            if isinstance(m.result_type, T.DoubleType):
+            total = f"sum({sums[m.column]})"
+            if not m.exact:
                 total = f"cast({total} as double)"
             value = f"if({value} > 0, {total} / {value}, null)"
-        aggs.append(F.expr(f"{value} as __tc_m{i}"))
+        aggs.append(F.expr(f"{value} as {m.slot}"))
     return unpivot(partials.groupBy(*lead).agg(*aggs), metrics, lead)
 
 
@@ -97,8 +100,7 @@ def grouped_drilldown(
     unknown = [c for c in group_cols if c not in pair.keys + pair.columns]
     if not group_cols or unknown:
         raise ValueError(f"group columns must be shared by both sides: {unknown or group_cols}")
-    columns = [c for c in pair.columns if c not in group_cols]
-    metrics = metrics_of(pair.schema, columns, rows=True)
+    metrics = metrics_of(pair.schema, pair.columns, rows=True)
     finest = materialise(
         _partials(pair.source, metrics, group_cols)
         .withColumn(IN_SOURCE, F.lit(True))
@@ -113,7 +115,9 @@ def grouped_drilldown(
     failing = None
     for level in range(1, len(names) + 1):
         by, last = names[:level], level == len(names)
-        s, t = _merged(source, metrics, by), _merged(target, metrics, by)
+        # The columns of later levels are compared like any other until their level comes.
+        own = [m for m in metrics if m.column not in group_cols[:level]]
+        s, t = _merged(source, own, by), _merged(target, own, by)
         if failing is not None:
             s, t = filter_groups(s, failing, by[:-1]), filter_groups(t, failing, by[:-1])
         checked = materialise(pair_metrics(s, t, by, abs_tol, rel_tol), f"level{level}")
@@ -126,11 +130,11 @@ def grouped_drilldown(
         verdict = checked.groupBy(*by).agg(outcome.alias("__tc_outcome"))
         final = verdict.filter(F.col("__tc_outcome") != FAIL)
         failing = verdict.filter(F.col("__tc_outcome") == FAIL).select(*by)
-        own = [F.lit(level).alias("level"), group_json(group_cols[:level]).alias("group_key")]
-        groups.append(final.select(*own, F.col("__tc_outcome").alias("outcome")))
+        place = [F.lit(level).alias("level"), group_json(group_cols[:level]).alias("group_key")]
+        groups.append(final.select(*place, F.col("__tc_outcome").alias("outcome")))
         reported.append(
             filter_groups(checked, final, by).select(
-                *own,
+                *place,
                 "column_name",
                 "metric",
                 "source_value",

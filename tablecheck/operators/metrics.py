@@ -27,8 +27,9 @@ METRIC_ID = "__tc_metric"
 
 @dataclass(frozen=True)
 class Metric:
-    """One aggregate of one column, as SQL."""
+    """One aggregate of one column, as SQL; ``slot`` is the column it is computed into."""
 
+    slot: str
     column: str
     name: str
     value: str
@@ -41,10 +42,10 @@ class Metric:
 
 def metrics_of(schema: T.StructType, columns: Sequence[str], rows: bool = False) -> list[Metric]:
     """The metrics in reporting order; which ones follow from the column's type class."""
-    out = [Metric("*", "COUNT", "count(*)", T.LongType())] if rows else []
+    found = [("*", "COUNT", "count(*)", T.LongType())] if rows else []
     for name in columns:
         dtype, value = schema[name].dataType, quoted(name)
-        out.append(Metric(name, "NULL_COUNT", f"count_if({value} is null)", T.LongType()))
+        found.append((name, "NULL_COUNT", f"count_if({value} is null)", T.LongType()))
         if isinstance(dtype, T.NumericType):
             total, total_type, mean_type = f"sum({value})", T.DoubleType(), T.DoubleType()
             bits = _INTEGER_BITS.get(type(dtype))
@@ -53,12 +54,12 @@ def metrics_of(schema: T.StructType, columns: Sequence[str], rows: bool = False)
                 total_type = T.DecimalType(38, 0)
             elif isinstance(dtype, T.DecimalType):
                 total_type = mean_type = dtype
-            out.append(Metric(name, "SUM", total, total_type))
-            out.append(Metric(name, "AVG", f"avg({value})", mean_type))
+            found.append((name, "SUM", total, total_type))
+            found.append((name, "AVG", f"avg({value})", mean_type))
         if isinstance(dtype, (T.NumericType, *_ORDERED)):
-            out.append(Metric(name, "MIN", f"min({value})", dtype))
-            out.append(Metric(name, "MAX", f"max({value})", dtype))
-    return out
+            found.append((name, "MIN", f"min({value})", dtype))
+            found.append((name, "MAX", f"max({value})", dtype))
+    return [Metric(f"__tc_m{i}", *parts) for i, parts in enumerate(found)]
 
 
 def group_names(group_by: Sequence[str]) -> list[str]:
@@ -77,15 +78,14 @@ def group_json(group_by: Sequence[str]) -> Column:
 
 
 def unpivot(wide: DataFrame, metrics: Sequence[Metric], lead: Sequence[str]) -> DataFrame:
-    """One row per metric from columns ``__tc_m0``, ``__tc_m1``, ..."""
+    """One row per metric from one column per metric."""
     rows = []
     for i, m in enumerate(metrics):
-        value = f"__tc_m{i}"
-        number = "cast(null as double)" if m.exact else f"cast({value} as double)"
+        number = "cast(null as double)" if m.exact else f"cast({m.slot} as double)"
         rows.append(
             f"struct({i} as {METRIC_ID}, {literal(m.column)} as column_name, "
             f"{literal(m.name)} as metric, {str(m.exact).lower()} as exact, "
-            f"{number} as number, {value_sql(value, m.result_type)} as text)"
+            f"{number} as number, {value_sql(m.slot, m.result_type)} as text)"
         )
     return wide.selectExpr(*lead, f"inline(array({', '.join(rows)}))")
 
@@ -96,7 +96,7 @@ def _numbered_metrics(
     metrics = metrics_of(df.schema, columns, rows)
     if not metrics:
         raise ValueError("no columns to aggregate")
-    named = [F.expr(f"{m.value} as __tc_m{i}") for i, m in enumerate(metrics)]
+    named = [F.expr(f"{m.value} as {m.slot}") for m in metrics]
     wide = df.groupBy(*group_columns(group_by)).agg(*named)
     return unpivot(wide, metrics, group_names(group_by))
 

@@ -363,6 +363,7 @@ def drilldown_sql(pair: DerivedPair, groups: Sequence[str], limit: int) -> str:
     """Two levels, then rows inside the failing groups."""
     first, both = groups[:1], list(groups)
     columns = [c for c in pair.columns if c not in groups]
+    early = [c for c in pair.columns if c not in first]
     g1, g2 = first[0], both[1]
     same = " and ".join(f"x.{g} is not distinct from f.{g}" for g in both)
     count = "column_name = '*'"
@@ -375,7 +376,7 @@ def drilldown_sql(pair: DerivedPair, groups: Sequence[str], limit: int) -> str:
     merged = ", ".join(f"case when s.m is null then t.{k} else s.{k} end as {k}" for k in (*pair.keys, *both))
     digest = row_hash(pair.columns)
     return f"""with {sides(pair)},
-    c1 as (select * from {comparison('src', 'tgt', columns, first, rows=True)}),
+    c1 as (select * from {comparison('src', 'tgt', early, first, rows=True)}),
     v1 as (select {g1}, bool_and(status = 'PASS') as ok from c1 group by {g1}),
     c2 as (select * from {comparison('src', 'tgt', columns, both, rows=True)}),
     v2 as (select {g1}, {g2}, bool_and(status = 'PASS') as ok,
