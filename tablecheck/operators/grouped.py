@@ -29,10 +29,11 @@ OVERSIZED = "OVERSIZED"
 
 @dataclass(frozen=True)
 class GroupedResult:
-    """Final groups with their metric rows, and the differing rows of the groups drilled into.
+    """Final groups, their metric rows, and the differing rows of the groups drilled into.
 
-    ``metrics`` has one row per final group, column and metric; ``rows`` one per differing
-    key, or is ``None`` without keys.
+    A final group passes or is too large to be drilled into.  ``metrics`` has one row per
+    final group, column and metric; ``rows`` one per differing key, or is ``None`` without
+    keys.
     """
 
     groups: DataFrame
@@ -132,8 +133,14 @@ def grouped_drilldown(
         failing = verdict.filter(F.col("__tc_outcome") == FAIL).select(*by)
         place = [F.lit(level).alias("level"), group_json(group_cols[:level]).alias("group_key")]
         groups.append(final.select(*place, F.col("__tc_outcome").alias("outcome")))
+        same = reduce(
+            lambda x, y: x & y, [F.col(f"c.{n}").eqNullSafe(F.col(f"f.{n}")) for n in by]
+        )
         reported.append(
-            filter_groups(checked, final, by).select(
+            checked.alias("c")
+            .join(final.alias("f"), same)
+            .select("c.*", "__tc_outcome")
+            .select(
                 *place,
                 "column_name",
                 "metric",
@@ -141,6 +148,7 @@ def grouped_drilldown(
                 "target_value",
                 "difference",
                 "status",
+                F.col("__tc_outcome").alias("outcome"),
             )
         )
     rows = _rows_of(pair, failing, group_cols) if pair.keys else None

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import fields, key_text
 from ..session import materialise
+from ..spec import PairSpec
 from .buckets import hex_long_sql
-from .columns import Aligned
+from .columns import Aligned, align
 from .filters import filter_keys
 
 _RANGE = 1 << 60
@@ -54,3 +56,15 @@ def sampled(pair: Aligned, n: int, seed: int = 42) -> Aligned:
     return pair.with_rows(
         filter_keys(pair.source, chosen, pair.keys), filter_keys(pair.target, chosen, pair.keys)
     )
+
+
+def sampled_spec(spec: PairSpec, n: int, seed: int = 42) -> PairSpec:
+    """The same limit on the tables themselves, for checks that need more than the keys."""
+    pair = align(spec)
+    chosen = materialise(sample_keys(pair.source, pair.keys, n, seed), "sample")
+    if chosen.isEmpty():
+        return spec
+    source = filter_keys(spec.source, chosen, dict(zip(pair.keys, spec.keys)))
+    target_keys = spec.target_keys or spec.keys
+    target = filter_keys(spec.target, chosen, dict(zip(pair.keys, target_keys)))
+    return replace(spec, source=source, target=target)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import literal
 from ..operators.columns import Aligned, align, schema_diff
-from ..operators.grouped import GroupedResult, grouped_drilldown
+from ..operators.grouped import OVERSIZED, grouped_drilldown
 from ..operators.metrics import column_comparison, count_check
 from ..operators.rowdiff import (
     N_SOURCE,
@@ -21,8 +21,8 @@ from ..operators.rowdiff import (
     with_details,
     with_light_details,
 )
-from ..operators.sampling import sampled
-from ..session import materialise
+from ..operators.sampling import sampled, sampled_spec
+from ..session import Scratch
 from ..sinks import write_audit, write_results
 from ..sources import load_query
 from ..spec import (
@@ -220,8 +220,15 @@ def validate_row(
     return ValidationResult(results, audit_rows(with_light_details(pair, diff), spec, run))
 
 
-def validate_column(spec: PairSpec, run: Run) -> ValidationResult:
-    """Row count and column metrics; keys are compared like any other column."""
+def validate_column(
+    spec: PairSpec, run: Run, sample: int | None = None, seed: int = 42
+) -> ValidationResult:
+    """Row count and column metrics; keys are compared like any other column.
+
+    Only a sample needs keys, to draw from.
+    """
+    if sample is not None:
+        spec = sampled_spec(spec, sample, seed)
     pair = align(replace(spec, keys=(), target_keys=None))
     columns = _column_rows(pair, spec)
     results = stamp(_count_rows(pair), spec, run).unionByName(stamp(columns, spec, run))
@@ -241,6 +248,7 @@ def validate_custom(
     kind: str,
     run: Run,
     keys: Sequence[str] = (),
+    sample: int | None = None,
     **views: DataFrame,
 ) -> ValidationResult:
     """Two queries in place of two tables, compared by ``column`` or by ``row``."""
@@ -251,17 +259,35 @@ def validate_custom(
         keys,
     )
     if kind == "row":
-        return validate_row(spec, run)
+        return validate_row(spec, run, sample)
     if kind == "column":
-        return validate_column(spec, run)
+        return validate_column(spec, run, sample)
     raise ValueError(f"unknown kind of custom check {kind!r}")
 
 
-def validate_grouped(spec: PairSpec, group_cols: Sequence[str], max_rows: int) -> GroupedResult:
-    """Drill down by group, then match the rows of the groups that differ."""
+def validate_grouped(
+    spec: PairSpec, run: Run, group_cols: Sequence[str], max_rows: int
+) -> ValidationResult:
+    """Drill down by group, then match the rows of the groups that still differ.
+
+    The metric rows of the final groups are the results; a group too large to be matched
+    says so in ``message``.  The mismatches name their group in ``details``.
+    """
     if not spec.keys and not group_cols:
         raise ValueError("a grouped check needs group columns or a key")
-    return grouped_drilldown(align(spec), group_cols, max_rows, spec.abs_tol, spec.rel_tol)
+    if not group_cols:
+        return validate_row(spec, run)
+    found = grouped_drilldown(align(spec), group_cols, max_rows, spec.abs_tol, spec.rel_tol)
+    results = found.metrics.selectExpr(
+        "'group' as check",
+        "*",
+        f"if(outcome = '{OVERSIZED}', 'group is over the row limit', null) as message",
+    )
+    mismatches = None
+    if found.rows is not None:
+        rows = found.rows.withColumnRenamed("group_key", "details")
+        mismatches = audit_rows(rows, spec, run)
+    return ValidationResult(stamp(results, spec, run), mismatches)
 
 
 def run_pair(
@@ -279,42 +305,51 @@ def run_pair(
     rows all come from that small table, and its known size lets Catalyst choose how to fetch
     the full records.  A check that fails writes an ERROR row and the next one runs.
     """
-    spark = spec.source.sparkSession
+    with Scratch(spec.source.sparkSession) as scratch:
+        parts = _checked_parts(spec, run, audit_target, checks, details, mode, scratch)
+        write_results(_union(parts), results_target, mode)
 
-    def attempt(check: str, build: Callable[[], list[DataFrame]]) -> None:
-        try:
-            rows = _union([stamp(part, spec, run) for part in build()])
-            # Materialised first: a check that breaks half-way leaves no partial rows.
-            finished.append(materialise(rows, "results"))
-        except Exception as problem:  # noqa: BLE001 - any failure is a result row
-            finished.append(stamp(note(spark, check, ERROR, str(problem)), spec, run))
 
-    finished: list[DataFrame] = []
-
-    def row_part() -> list[DataFrame]:
+def _checked_parts(
+    spec: PairSpec,
+    run: Run,
+    audit_target: str | None,
+    checks: Sequence[str],
+    details: str,
+    mode: str,
+    scratch: Scratch,
+) -> list[DataFrame]:
+    def rows() -> DataFrame:
         pair = align(spec)
         if not pair.keys:
-            return [note(spark, "row", SKIPPED, "no key")]
+            return note(scratch.spark, "row", SKIPPED, "no key")
         repeats = (F.col(N_SOURCE) > 1) | (F.col(N_TARGET) > 1)
-        flagged = materialise(
+        flagged = scratch.keep(
             keyed_hashes(pair).filter(mismatch_class().isNotNull() | repeats), "flagged"
         )
         if audit_target is not None:
             diff = classified(pair, flagged)
-            rows = with_details(pair, diff) if details == "full" else with_light_details(pair, diff)
-            write_audit(audit_rows(rows, spec, run), audit_target, mode)
-        return [_key_rows(flagged, counts=False)]
-
-    if "count" in checks:
-        attempt("count", lambda: [_count_rows(align(spec))])
-    if "row" in checks:
-        attempt("row", row_part)
-    if "schema" in checks:
-        attempt("schema", lambda: [_schema_rows(spec)])
-    if "column" in checks:
-        attempt("column", lambda: [_column_rows(align(spec), spec)])
+            found = with_details if details == "full" else with_light_details
+            write_audit(audit_rows(found(pair, diff), spec, run), audit_target, mode)
+        return _key_rows(flagged, counts=False)
+
+    builders: list[tuple[str, Callable[[], DataFrame]]] = [
+        ("count", lambda: _count_rows(align(spec))),
+        ("row", rows),
+        ("schema", lambda: _schema_rows(spec)),
+        ("column", lambda: _column_rows(align(spec), spec)),
+    ]
+    builders = [(name, build) for name, build in builders if name in checks]
     if "custom" in checks:
-        for check in spec.extra_checks:
-            name = getattr(check, "__name__", "custom")
-            attempt(name, lambda check=check: [check(spec)])
-    write_results(_union(finished), results_target, mode)
+        builders += [
+            (getattr(check, "__name__", "custom"), lambda check=check: check(spec))
+            for check in spec.extra_checks
+        ]
+    out = []
+    for name, build in builders:
+        try:
+            # Kept first: a check that breaks half-way leaves no partial rows.
+            out.append(scratch.keep(stamp(build(), spec, run), "results"))
+        except Exception as problem:  # noqa: BLE001 - any failure is a result row
+            out.append(stamp(note(scratch.spark, name, ERROR, str(problem)), spec, run))
+    return out

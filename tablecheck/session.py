@@ -46,7 +46,31 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage in a way that survives lost executors, and lets Catalyst see the true
     size, so that a later join broadcasts the table only when it is under the session's limit.
+    The table stays until the folder is cleaned, as its readers may still be lazy.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Materialised tables of a run that writes its results; dropped when it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *failure: object) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for text in self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(text)
+            path.getFileSystem(conf).delete(path, True)

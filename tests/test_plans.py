@@ -206,6 +206,35 @@ def test_row_check_on_a_sample(derived, run):
     assert rows["count", None, "ROW_COUNT"]["source_value"] == "10"
 
 
+def test_column_check_on_a_sample(derived, run):
+    rows = results(tc.validate_column(derived("customer"), run, sample=10).results)
+    assert rows["count", None, "ROW_COUNT"]["source_value"] == "10"
+    assert ("column", "c_custkey", "SUM") in rows
+
+
+def test_grouped_check(derived, run):
+    found = tc.validate_grouped(derived("customer"), run, ["c_nationkey"], 7)
+    rows = found.results.collect()
+    assert {r["check"] for r in rows} == {"group"} and all(r["group_key"] for r in rows)
+    large = {r["group_key"] for r in rows if r["message"]}
+    passed = {r["group_key"] for r in rows if not r["message"]}
+    assert large and passed and not large & passed
+    assert all(r["status"] == "PASS" for r in rows if r["group_key"] in passed)
+    assert any(r["status"] == "FAIL" for r in rows if r["group_key"] in large)
+    assert all("c_nationkey" in json.loads(r["details"]) for r in found.mismatches.collect())
+    with pytest.raises(ValueError):
+        tc.validate_grouped(tc.PairSpec("x", found.results, found.results), run, [], 5)
+
+
+def test_run_leaves_no_scratch_tables(spark, derived, run, targets):
+    import glob
+
+    root = scratch_root(spark).replace("file:", "")
+    before = set(glob.glob(f"{root}/flagged-*") + glob.glob(f"{root}/results-*"))
+    tc.run_pair(derived("orders"), run, *targets)
+    assert set(glob.glob(f"{root}/flagged-*") + glob.glob(f"{root}/results-*")) == before
+
+
 def test_column_check_takes_keys_as_columns(derived, run):
     rows = results(tc.validate_column(derived("orders"), run).results)
     assert ("column", "o_orderkey", "SUM") in rows
