@@ -47,10 +47,10 @@ def bucket_fingerprints(pair: Aligned, n: int, algo: str = "sha256") -> DataFram
     ``sha256`` gives numbers that other engines reproduce; ``xxhash64`` is for narrowing.
     """
     hashed = [*pair.keys, *pair.columns]
-    bucket = F.expr(f"{bucket_sql(pair.schema, pair.keys, n, algo)} as bucket")
+    bucket = f"{bucket_sql(pair.schema, pair.keys, n, algo)} as bucket"
     if algo == "sha256":
         digest = hash_sql(pair.schema, hashed, pair.hash_mode, algo, pair.max_chars)
-        rows = both_sides(pair, bucket, F.expr(f"{digest} as __tc_digest")).selectExpr(
+        rows = both_sides(pair, bucket, f"{digest} as __tc_digest").selectExpr(
             "bucket",
             IN_SOURCE,
             f"{hex_long_sql('__tc_digest')} as x",
@@ -60,7 +60,7 @@ def bucket_fingerprints(pair: Aligned, n: int, algo: str = "sha256") -> DataFram
     else:
         x = fast_hash_sql(pair.schema, hashed, pair.max_chars)
         a = fast_hash_sql(pair.schema, hashed, pair.max_chars, salt=1)
-        rows = both_sides(pair, bucket, F.expr(f"{x} as x"), F.expr(f"{a} as a"))
+        rows = both_sides(pair, bucket, f"{x} as x", f"{a} as a")
         bits = 64
 
     def side(flag: str, name: str) -> list[Column]:

@@ -6,9 +6,9 @@ from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions import field
+from ..functions import quoted
 from ..sources.tables import CATALOG_SCHEMA, catalog_rows
 from ..spec import (
     SCHEMA_MISSING_IN_SOURCE,
@@ -122,10 +122,12 @@ def align(spec: PairSpec) -> Aligned:
     }
 
     def cut(df: DataFrame) -> DataFrame:
-        def one(c: str) -> Column:
-            return field(c) if df.schema[c].dataType == wanted[c] else field(c).cast(wanted[c]).alias(c)
+        def one(c: str) -> str:
+            name, dtype = quoted(c), wanted[c]
+            same = df.schema[c].dataType == dtype
+            return name if same else f"cast({name} as {dtype.simpleString()}) as {name}"
 
-        return df.select(*[one(c) for c in keys + columns])
+        return df.selectExpr(*[one(c) for c in keys + columns])
 
     return Aligned(
         cut(source), cut(target), keys, columns, spec.hash_mode, spec.hash_algo, spec.max_chars

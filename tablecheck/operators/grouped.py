@@ -15,6 +15,7 @@ from .columns import Aligned
 from .filters import filter_groups
 from .metrics import (
     Metric,
+    aggregated,
     group_columns,
     group_json,
     group_names,
@@ -46,18 +47,17 @@ def _partials(df: DataFrame, metrics: Sequence[Metric], group_by: Sequence[str])
 
     The partial result of a mean is its number of values; the sum is a metric of its own.
     """
-    aggs = []
-    for m in metrics:
-        value = f"count({quoted(m.column)})" if m.name == "AVG" else m.value
-        aggs.append(F.expr(f"{value} as {m.slot}"))
-    return df.groupBy(*group_columns(group_by)).agg(*aggs)
+    named = {
+        m.slot: f"count({quoted(m.column)})" if m.name == "AVG" else m.value for m in metrics
+    }
+    return aggregated(df, group_columns(group_by), named)
 
 
 def _merged(partials: DataFrame, metrics: Sequence[Metric], lead: Sequence[str]) -> DataFrame:
     """The metrics of coarser groups from the partials of the finest ones."""
     merge = {"MIN": "min", "MAX": "max"}
     sums = {m.column: m.slot for m in metrics if m.name == "SUM"}
-    aggs = []
+    named = {}
     for m in metrics:
         value = f"{merge.get(m.name, 'sum')}({m.slot})"
         if m.name == "AVG":
@@ -65,8 +65,8 @@ def _merged(partials: DataFrame, metrics: Sequence[Metric], lead: Sequence[str])
             if not m.exact:
                 total = f"cast({total} as double)"
             value = f"if({value} > 0, {total} / {value}, null)"
-        aggs.append(F.expr(f"{value} as {m.slot}"))
-    return unpivot(partials.groupBy(*lead).agg(*aggs), metrics, lead)
+        named[m.slot] = value
+    return unpivot(aggregated(partials, lead, named), metrics, lead)
 
 
 def _largest_count() -> Column:

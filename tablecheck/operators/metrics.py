@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -27,14 +28,19 @@ METRIC_ID = "__tc_metric"
 
 @dataclass(frozen=True)
 class Metric:
-    """One aggregate of one column, as SQL; ``slot`` is the column it is computed into."""
+    """One aggregate of one column, as SQL."""
 
-    slot: str
+    position: int
     column: str
     name: str
     value: str
     result_type: T.DataType
 
+    @property
+    def slot(self) -> str:
+        """The column it is computed into."""
+        return f"__tc_m{self.position}"
+
     @property
     def exact(self) -> bool:
         return not isinstance(self.result_type, _FLOATS)
@@ -59,7 +65,7 @@ def metrics_of(schema: T.StructType, columns: Sequence[str], rows: bool = False)
         if isinstance(dtype, (T.NumericType, *_ORDERED)):
             found.append((name, "MIN", f"min({value})", dtype))
             found.append((name, "MAX", f"max({value})", dtype))
-    return [Metric(f"__tc_m{i}", *parts) for i, parts in enumerate(found)]
+    return [Metric(i, *parts) for i, parts in enumerate(found)]
 
 
 def group_names(group_by: Sequence[str]) -> list[str]:
@@ -77,38 +83,74 @@ def group_json(group_by: Sequence[str]) -> Column:
     return F.expr(f"to_json(struct({', '.join(parts)}), map('ignoreNullFields', 'false'))")
 
 
+def aggregated(
+    df: DataFrame, group_by: Sequence[Column | str], named: dict[str, str]
+) -> DataFrame:
+    """Grouped aggregates given as SQL by name."""
+    parts = ", ".join(f"{value} as {name}" for name, value in named.items())
+    grouped = df.groupBy(*group_by).agg(F.expr(f"struct({parts}) as __tc_all"))
+    return grouped.select("*", "__tc_all.*").drop("__tc_all")
+
+
 def unpivot(wide: DataFrame, metrics: Sequence[Metric], lead: Sequence[str]) -> DataFrame:
     """One row per metric from one column per metric."""
     rows = []
-    for i, m in enumerate(metrics):
+    for m in metrics:
         number = "cast(null as double)" if m.exact else f"cast({m.slot} as double)"
         rows.append(
-            f"struct({i} as {METRIC_ID}, {literal(m.column)} as column_name, "
+            f"struct({m.position} as {METRIC_ID}, {literal(m.column)} as column_name, "
             f"{literal(m.name)} as metric, {str(m.exact).lower()} as exact, "
             f"{number} as number, {value_sql(m.slot, m.result_type)} as text)"
         )
     return wide.selectExpr(*lead, f"inline(array({', '.join(rows)}))")
 
 
+def _passes(
+    schema: T.StructType, metrics: Sequence[Metric], size: int | None
+) -> list[list[Metric]]:
+    """The metrics by pass: one for all, or passes of ``size`` columns, text kept apart."""
+    if size is None:
+        return [list(metrics)]
+    columns = list(dict.fromkeys(m.column for m in metrics))
+    text = [c for c in columns if c != "*" and isinstance(schema[c].dataType, T.StringType)]
+    rest = [c for c in columns if c not in text]
+    parts = [kind[i : i + size] for kind in (rest, text) for i in range(0, len(kind), size)]
+    return [[m for m in metrics if m.column in part] for part in parts]
+
+
 def _numbered_metrics(
-    df: DataFrame, columns: Sequence[str], group_by: Sequence[str], rows: bool
+    df: DataFrame,
+    columns: Sequence[str],
+    group_by: Sequence[str],
+    rows: bool,
+    columns_per_pass: int | None = None,
 ) -> DataFrame:
     metrics = metrics_of(df.schema, columns, rows)
     if not metrics:
         raise ValueError("no columns to aggregate")
-    named = [F.expr(f"{m.value} as {m.slot}") for m in metrics]
-    wide = df.groupBy(*group_columns(group_by)).agg(*named)
-    return unpivot(wide, metrics, group_names(group_by))
+    out = []
+    for part in _passes(df.schema, metrics, columns_per_pass):
+        named = {m.slot: m.value for m in part}
+        wide = aggregated(df, group_columns(group_by), named)
+        out.append(unpivot(wide, part, group_names(group_by)))
+    return reduce(DataFrame.unionAll, out)
 
 
 def column_metrics(
-    df: DataFrame, columns: Sequence[str], group_by: Sequence[str] = (), rows: bool = False
+    df: DataFrame,
+    columns: Sequence[str],
+    group_by: Sequence[str] = (),
+    rows: bool = False,
+    columns_per_pass: int | None = None,
 ) -> DataFrame:
-    """All metrics of all columns in one pass, one row per group, column and metric.
+    """All metrics of all columns, one row per group, column and metric.
 
-    The group is given as a JSON object in ``group_key``.
+    The group is given as a JSON object in ``group_key``.  By default there is one pass over
+    the table.  A wide table in a columnar format is better read in several, each of its own
+    columns: the bytes read are the same, while several hundred aggregates in one pass make
+    code too large to be compiled well.
     """
-    found = _numbered_metrics(df, columns, group_by, rows)
+    found = _numbered_metrics(df, columns, group_by, rows, columns_per_pass)
     lead = [group_json(group_by).alias("group_key")] if group_by else []
     return found.select(*lead, METRIC_ID, "column_name", "metric", "exact", "number", "text")
 
@@ -162,15 +204,21 @@ def _compared(both: DataFrame, lead: Sequence[str], abs_tol: float, rel_tol: flo
 
 
 def column_comparison(
-    pair: Aligned, abs_tol: float = 1e-6, rel_tol: float | None = None, rows: bool = False
+    pair: Aligned,
+    abs_tol: float = 1e-6,
+    rel_tol: float | None = None,
+    rows: bool = False,
+    columns_per_pass: int | None = None,
 ) -> DataFrame:
     """Every metric of both sides with its verdict.
 
     The metrics of a side are one row per column and metric, a number fixed by the schema, so
     one of the two may always be broadcast.
     """
-    source = column_metrics(pair.source, pair.columns, rows=rows)
-    target = column_metrics(pair.target, pair.columns, rows=rows)
+    source, target = (
+        _numbered_metrics(df, pair.columns, (), rows, columns_per_pass)
+        for df in (pair.source, pair.target)
+    )
     both = source.selectExpr(METRIC_ID, "column_name", "metric", f"{_VALUE} as __tc_s").join(
         F.broadcast(target.selectExpr(METRIC_ID, f"{_VALUE} as __tc_t")), METRIC_ID
     )

@@ -19,9 +19,11 @@ from ..functions import (
     fields,
     key_json,
     light_details,
+    literal,
+    quoted,
     row_hash,
-    value_text,
 )
+from ..functions.hashing import hash_sql, value_sql
 from ..spec import HASH_MISMATCH, MISSING_IN_SOURCE, MISSING_IN_TARGET
 from .columns import Aligned
 
@@ -33,48 +35,58 @@ SOURCE_HASH, TARGET_HASH = "__tc_source_hash", "__tc_target_hash"
 APART = "__tc_apart"
 
 
-def _stored_hash(pair: Aligned) -> Column:
-    """The row hash as it is shuffled: 32 bytes in place of 64 hex digits."""
-    value = row_hash(pair.schema, pair.columns, pair.hash_mode, pair.hash_algo, pair.max_chars)
-    return F.unhex(value) if pair.hash_algo == "sha256" else value
+def _stored_hash(pair: Aligned) -> str:
+    """SQL for the row hash as it is shuffled: 32 bytes in place of 64 hex digits."""
+    value = _hash_sql(pair)
+    return f"unhex({value})" if pair.hash_algo == "sha256" else value
 
 
-def _shown_hash(name: str, algo: str) -> Column:
-    return F.lower(F.hex(name)) if algo == "sha256" else F.col(name).cast("string")
+def _hash_sql(pair: Aligned) -> str:
+    return hash_sql(pair.schema, pair.columns, pair.hash_mode, pair.hash_algo, pair.max_chars)
 
 
-def _apart(keys: Sequence[str], flag: bool) -> Column:
-    any_null = reduce(lambda a, b: a | b, [k.isNull() for k in fields(keys)])
-    return F.when(any_null, F.lit(flag)).alias(APART)
+def _shown_hash(name: str, algo: str) -> Column:
+    return F.lower(F.hex(name)) if algo == "sha256" else F.col(name).cast("string")
 
 
-def both_sides(pair: Aligned, *columns: Column) -> DataFrame:
-    """Both tables under one another, flagged by side."""
-    source = pair.source.select(*columns, F.lit(True).alias(IN_SOURCE))
-    target = pair.target.select(*columns, F.lit(False).alias(IN_SOURCE))
-    return source.unionAll(target)
+def both_sides(pair: Aligned, *columns: str) -> DataFrame:
+    """Both tables under one another, flagged by side; the columns are SQL."""
+    source = pair.source.selectExpr(*columns, f"true as {IN_SOURCE}")
+    return source.unionAll(pair.target.selectExpr(*columns, f"false as {IN_SOURCE}"))
 
 
-def _beside(pair: Aligned, value: Column, within: Sequence[str] = ()) -> DataFrame:
+def _beside(pair: Aligned, value: str, value_type: str, within: Sequence[str] = ()) -> DataFrame:
     """Both tables under one another with ``value`` in a column of its own for each side."""
-    lead = [*fields(pair.keys), *fields(within)]
-    none = F.lit(None).cast(pair.source.select(value).schema[0].dataType)
-    source = pair.source.select(
-        *lead, _apart(pair.keys, True), value.alias(SOURCE_HASH), none.alias(TARGET_HASH)
+    lead = [quoted(c) for c in (*pair.keys, *within)]
+    any_null = " or ".join(f"{quoted(k)} is null" for k in pair.keys)
+    none = f"cast(null as {value_type})"
+    source = pair.source.selectExpr(
+        *lead,
+        f"if({any_null}, true, null) as {APART}",
+        f"{value} as {SOURCE_HASH}",
+        f"{none} as {TARGET_HASH}",
     )
-    target = pair.target.select(
-        *lead, _apart(pair.keys, False), none.alias(SOURCE_HASH), value.alias(TARGET_HASH)
+    target = pair.target.selectExpr(
+        *lead,
+        f"if({any_null}, false, null) as {APART}",
+        f"{none} as {SOURCE_HASH}",
+        f"{value} as {TARGET_HASH}",
     )
     return source.unionAll(target)
 
 
+def _hashes_beside(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
+    value_type = "binary" if pair.hash_algo == "sha256" else "bigint"
+    return _beside(pair, _stored_hash(pair), value_type, within)
+
+
 def keyed_hashes(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
     """Per key the number of rows and the smallest row hash of each side.
 
     The smallest hash stands for the key where it has several rows on a side.  ``within``
     names further columns that must agree, with null equal to null.
     """
-    rows = _beside(pair, _stored_hash(pair), within)
+    rows = _hashes_beside(pair, within)
     return rows.groupBy(*fields(pair.keys), *fields(within), APART).agg(
         F.count(SOURCE_HASH).alias(N_SOURCE),
         F.count(TARGET_HASH).alias(N_TARGET),
@@ -116,7 +128,7 @@ def hash_mismatch(pair: Aligned) -> DataFrame:
 def key_presence(pair: Aligned) -> DataFrame:
     """Per key the number of rows of each side; reads the key columns only."""
     return (
-        _beside(pair, F.lit(True))
+        _beside(pair, "true", "boolean")
         .groupBy(*fields(pair.keys), APART)
         .agg(F.count(SOURCE_HASH).alias(N_SOURCE), F.count(TARGET_HASH).alias(N_TARGET))
     )
@@ -136,7 +148,7 @@ def missing_in_target(pair: Aligned) -> DataFrame:
 
 def _hash_counts(pair: Aligned) -> DataFrame:
     return (
-        _beside(pair, _stored_hash(pair))
+        _hashes_beside(pair)
         .groupBy(*fields(pair.keys), APART, F.coalesce(SOURCE_HASH, TARGET_HASH).alias(HASH))
         .agg(F.count(SOURCE_HASH).alias(N_SOURCE), F.count(TARGET_HASH).alias(N_TARGET))
     )
@@ -197,13 +209,12 @@ def dedupe(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = N
     An aggregate, not a window: copies are dropped before the shuffle already.
     """
     compared = [c for c in df.columns if c not in keys] if columns is None else list(columns)
-    payload = F.struct(*[field(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    named = ", ".join(f"{quoted(c)} as c{i}" for i, c in enumerate(df.columns))
+    payload = F.expr(f"struct({named})")
     kept = df.groupBy(*fields(keys)).agg(
         F.min_by(payload, row_hash(df.schema, compared)).alias("__tc_row")
     )
-    return kept.select(
-        *[F.col(f"__tc_row.c{i}").alias(c) for i, c in enumerate(df.columns)]
-    )
+    return kept.selectExpr(*[f"__tc_row.c{i} as {quoted(c)}" for i, c in enumerate(df.columns)])
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -231,11 +242,9 @@ def _records(pair: Aligned, diff: DataFrame, record: Column) -> DataFrame:
         F.col("source_row_hash").alias("__tc_source"),
         F.col("target_row_hash").alias("__tc_target"),
     )
-    rows = both_sides(pair, *fields(pair.keys), *fields(pair.columns))
+    rows = both_sides(pair, *map(quoted, pair.keys + pair.columns))
     same_key = [field(k).eqNullSafe(F.col(n)) for k, n in zip(pair.keys, names)]
-    actual = row_hash(
-        pair.schema, pair.columns, pair.hash_mode, pair.hash_algo, pair.max_chars
-    ).cast("string")
+    actual = F.expr(_hash_sql(pair)).cast("string")
     here = F.col(IN_SOURCE)
     reported = F.when(here, F.col("__tc_source")).otherwise(F.col("__tc_target"))
     kept = rows.join(wanted, reduce(lambda a, b: a & b, same_key)).filter(actual == reported)
@@ -259,7 +268,7 @@ def _records(pair: Aligned, diff: DataFrame, record: Column) -> DataFrame:
 
 def with_details(pair: Aligned, diff: DataFrame) -> DataFrame:
     """Differing keys as audit rows with the full record of both sides."""
-    record = F.struct(*[field(c).alias(c) for c in pair.columns])
+    record = F.expr(f"struct({', '.join(map(quoted, pair.columns))})")
     return _records(pair, diff, record).select(
         key_json(pair.keys).alias("primary_key_value"),
         "mismatch_type",
@@ -282,27 +291,17 @@ def with_light_details(pair: Aligned, diff: DataFrame) -> DataFrame:
 
 def cell_diff(pair: Aligned, diff: DataFrame) -> DataFrame:
     """For keys on both sides whose rows differ, the columns that differ with both values."""
-    texts = F.array(
-        *[value_text(c, pair.schema[c].dataType, pair.max_chars) for c in pair.columns]
-    )
+    texts = [value_sql(quoted(c), pair.schema[c].dataType, pair.max_chars) for c in pair.columns]
+    cells = [
+        f"struct({literal(c)} as column_name, __tc_source_record[{i}] as source_value, "
+        f"__tc_target_record[{i}] as target_value)"
+        for i, c in enumerate(pair.columns)
+    ]
     changed = diff.filter(F.col("mismatch_type") == HASH_MISMATCH)
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.col("__tc_source_record")[i].alias("source_value"),
-                    F.col("__tc_target_record")[i].alias("target_value"),
-                )
-                for i, c in enumerate(pair.columns)
-            ]
-        )
-    )
     return (
-        _records(pair, changed, texts)
-        .select(*fields(pair.keys), cells.alias("__tc_cell"))
-        .select(*fields(pair.keys), "__tc_cell.*")
-        .filter(~F.col("source_value").eqNullSafe(F.col("target_value")))
+        _records(pair, changed, F.expr(f"array({', '.join(texts)})"))
+        .selectExpr(*map(quoted, pair.keys), f"inline(array({', '.join(cells)}))")
+        .filter("not (source_value <=> target_value)")
     )
 
 

@@ -119,9 +119,10 @@ def _schema_rows(spec: PairSpec) -> DataFrame:
 def _column_rows(pair: Aligned, spec: PairSpec) -> DataFrame:
     if not pair.columns:
         return note(pair.source.sparkSession, "column", SKIPPED, "no shared columns")
-    return column_comparison(pair, spec.abs_tol, spec.rel_tol).withColumn(
-        "check", F.lit("column")
+    found = column_comparison(
+        pair, spec.abs_tol, spec.rel_tol, columns_per_pass=spec.columns_per_pass
     )
+    return found.withColumn("check", F.lit("column"))
 
 
 def _drift(results: DataFrame) -> DataFrame:

@@ -87,6 +87,8 @@ class PairSpec:
 
     ``target_keys`` names the key columns of the target where they differ from the source's.
     ``match`` is ``"strict"`` (same name and type) or ``"name"`` (same name ignoring case).
+    ``columns_per_pass`` splits the column metrics of wide columnar tables, see
+    ``column_metrics``.
     """
 
     name: str
@@ -101,6 +103,7 @@ class PairSpec:
     max_chars: int | None = None
     abs_tol: float = 1e-6
     rel_tol: float | None = None
+    columns_per_pass: int | None = None
     extra_checks: Sequence[Callable[[PairSpec], DataFrame]] = ()
 
 

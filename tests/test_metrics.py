@@ -144,3 +144,11 @@ def test_one_pass_per_side(derived):
     plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 2 and "SortMergeJoin" not in plan
     assert "o_orderkey" not in plan.split("FileScan")[1].split("]")[0]
+
+
+def test_several_passes_give_the_same_metrics(derived):
+    pair = tc.align(derived("events"))
+    one = {tuple(r) for r in tc.column_comparison(pair, rows=True).collect()}
+    for size in (1, 2, 100):
+        found = tc.column_comparison(pair, rows=True, columns_per_pass=size)
+        assert {tuple(r) for r in found.collect()} == one
