@@ -48,10 +48,12 @@ def bucket_fingerprints(pair: Aligned, n: int, algo: str = "sha256") -> DataFram
     """
     hashed = [*pair.keys, *pair.columns]
     bucket = f"{bucket_sql(pair.schema, pair.keys, n, algo)} as bucket"
+    keyless = f"{' or '.join(f'{quoted(k)} is null' for k in pair.keys)} as keyless"
     if algo == "sha256":
         digest = hash_sql(pair.schema, hashed, pair.hash_mode, algo, pair.max_chars)
-        rows = both_sides(pair, bucket, f"{digest} as __tc_digest").selectExpr(
+        rows = both_sides(pair, bucket, keyless, f"{digest} as __tc_digest").selectExpr(
             "bucket",
+            "keyless",
             IN_SOURCE,
             f"{hex_long_sql('__tc_digest')} as x",
             f"{hex_long_sql('__tc_digest', 16)} as a",
@@ -60,7 +62,7 @@ def bucket_fingerprints(pair: Aligned, n: int, algo: str = "sha256") -> DataFram
     else:
         x = fast_hash_sql(pair.schema, hashed, pair.max_chars)
         a = fast_hash_sql(pair.schema, hashed, pair.max_chars, salt=1)
-        rows = both_sides(pair, bucket, f"{x} as x", f"{a} as a")
+        rows = both_sides(pair, bucket, keyless, f"{x} as x", f"{a} as a")
         bits = 64
 
     def side(flag: str, name: str) -> list[Column]:
@@ -73,16 +75,22 @@ def bucket_fingerprints(pair: Aligned, n: int, algo: str = "sha256") -> DataFram
         ]
 
     return rows.groupBy("bucket").agg(
-        *side(IN_SOURCE, "source"), *side(f"not {IN_SOURCE}", "target")
+        *side(IN_SOURCE, "source"),
+        *side(f"not {IN_SOURCE}", "target"),
+        F.expr("count_if(keyless) as keyless_rows"),
     )
 
 
 def differing_buckets(pair: Aligned, n: int, algo: str = "xxhash64") -> DataFrame:
-    """The buckets whose fingerprints differ; at most ``n`` numbers."""
+    """The buckets whose fingerprints differ; at most ``n`` numbers.
+
+    Rows with a null key part match nothing, so a bucket that holds any differs.
+    """
     return (
         bucket_fingerprints(pair, n, algo)
         .filter(
-            "source_rows <> target_rows or source_xor <> target_xor or source_sum <> target_sum"
+            "source_rows <> target_rows or source_xor <> target_xor "
+            "or source_sum <> target_sum or keyless_rows > 0"
         )
         .select("bucket")
     )

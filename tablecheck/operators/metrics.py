@@ -21,7 +21,7 @@ from .columns import Aligned
 # The width of the integer types.
 _INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 _FLOATS = (T.FloatType, T.DoubleType)
-_ORDERED = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_ORDERED = (T.StringType, T.DateType, T.TimeType, T.TimestampType, T.TimestampNTZType)
 
 METRIC_ID = "__tc_metric"
 

@@ -65,7 +65,7 @@ def run_plan(
     not.  ``options`` are passed on to every pair.
     """
     jobs = []
-    for row in plan.dropDuplicates(["plan_key"]).orderBy("plan_key").collect():
+    for row in plan.dropDuplicates(["plan_key"]).orderBy("plan_key").toLocalIterator():
         spec = PairSpec(
             f"{row['source']}={row['target']}#{row['plan_key'][:8]}",
             resolver(row["source"]),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from tablecheck.functions import key_json, normalise_keys, restore_binary_keys, row_hash
 
+# A known row and its hash.
 GOLDEN_ROW = (2, "Chaim", "Batcheldor", "cbatcheldor1@businessweek.com", "Agender", "2024-06-29")
 GOLDEN_SCHEMA = "id int, first_name string, last_name string, email string, gender string, timestamp string"
 GOLDEN_HASH = "0532b97c35b3a7fe894558d615602c21dc99b50ce4152bfcd42b493f9405543e"

@@ -17,18 +17,18 @@ from tablecheck.spec import AUDIT_SCHEMA, RESULT_SCHEMA
 
 HEADER = "source_table,target_table,validation_type,primary_key,filter_condition"
 
-# The lines of an example inventory.
+# Ten pairs: six by row, four by column, eight with a filter, one with a composite key.
 INVENTORY = f"""{HEADER}
-FINANCE.TRANSACTIONS,finance_dataset.transactions,row,transaction_id,transaction_date >= '2026-01-01'
-RETAIL.CUSTOMER_DIM,retail_dataset.customer_dim,column,,
-HR.EMPLOYEES,hr_dataset.employees,row,employee_id,status = 'ACTIVE'
-MARKETING.CAMPAIGNS,marketing_dataset.campaigns,column,,marketing_year = 2026
-LOGISTICS.SHIPMENTS,logistics_dataset.shipments,row,tracking_number,destination_country = 'IN'
-SUPPLY_CHAIN.INVENTORY,supply_chain_dataset.inventory,column,,
-FINANCE.GL_BALANCES,finance_dataset.gl_balances,row,account_id,balance_date = '2026-06-30'
-ECOM.ORDER_ITEMS,ecommerce_dataset.order_items,row,order_item_id,order_created_at >= TIMESTAMP('2026-06-01 00:00:00')
-RETAIL.PRODUCT_CATALOG,retail_dataset.product_catalog,column,,is_discontinued = 0
-LOGISTICS.ORDER_MANIFESTS,logistics_dataset.order_manifests,row,"order_id,line_item_num",manifest_year = 2026
+SALES.ORDERS,dw.orders,row,o_orderkey,o_orderdate >= '2024-01-01'
+SALES.REGION,dw.region,column,,
+SALES.CUSTOMER,dw.customer,row,c_custkey,c_mktsegment = 'BUILDING'
+SALES.PART,dw.part,column,,p_size > 3
+SALES.SUPPLIER,dw.supplier,row,s_suppkey,s_nationkey = 7
+SALES.NATION,dw.nation,column,,
+WEB.PAGES,dw.pages,row,page_id,url like 'https%'
+WEB.EVENTS,dw.events,row,event_id,ts >= TIMESTAMP('2024-01-01 06:00:00')
+WEB.LABELS,dw.labels,column,,toxic = 0
+SALES.LINEITEM,dw.lineitem,row,"l_orderkey,l_linenumber",l_quantity < 40
 """
 
 
@@ -144,6 +144,21 @@ def test_run_pair_gives_the_same_results(spark, derived, run, targets):
         }
 
 
+def test_run_with_odd_names(spark, run, targets):
+    schema = "`my key` int, `a,b;c` string, `x=y (z)` string, `p.q` double"
+    source = spark.createDataFrame([(1, "k", "v", 1.0), (2, "k", "v", 1.0)], schema)
+    target = spark.createDataFrame([(1, "k", "w", 1.0), (3, "k", "v", None)], schema)
+    spec = tc.PairSpec("odd/name = 1", source, target, ["my key", "a,b;c"])
+    tc.run_pair(spec, run, *targets)
+    rows = spark.read.parquet(targets[0])
+    assert rows.filter("status = 'ERROR'").count() == 0
+    assert {r["pair"] for r in rows.collect()} == {"odd/name = 1"}
+    found = tc.read_mismatches(spark, targets[1], run.run_id)
+    assert [r["mismatch_type"] for r in found.collect()] == [
+        "HASH_MISMATCH", "MISSING_IN_TARGET", "MISSING_IN_SOURCE"
+    ]
+
+
 def test_broken_check_is_an_error_row(spark, derived, run, targets):
     spec = derived("customer", filter="no_such_column > 1")
     rows = tc.validate_pair(spec, run).results.collect()
@@ -301,15 +316,15 @@ def test_example_inventory(spark):
     assert [r["line"] for r in found] == list(range(2, 12))
     assert [r["validation_type"] for r in found].count("row") == 6
     assert sum(1 for r in found if r["filter_condition"]) == 8
-    assert found[-1]["primary_key"] == "order_id,line_item_num"
+    assert found[-1]["primary_key"] == "l_orderkey,l_linenumber"
     findings = tc.lint_inventory(rows)
     assert findings.count() == 0
     tc.require_clean(findings)
     plan = {r["source"]: r for r in tc.compile_plan(rows).collect()}
-    assert plan["LOGISTICS.ORDER_MANIFESTS"]["primary_keys"] == ["order_id", "line_item_num"]
-    assert plan["RETAIL.CUSTOMER_DIM"]["primary_keys"] is None
-    assert plan["RETAIL.CUSTOMER_DIM"]["concat"] is None
-    assert plan["RETAIL.CUSTOMER_DIM"]["filters"] is None
+    assert plan["SALES.LINEITEM"]["primary_keys"] == ["l_orderkey", "l_linenumber"]
+    assert plan["SALES.REGION"]["primary_keys"] is None
+    assert plan["SALES.REGION"]["concat"] is None
+    assert plan["SALES.REGION"]["filters"] is None
     assert not {"password", "host", "user"} & set(tc.compile_plan(rows).columns)
 
 

@@ -286,3 +286,53 @@ def test_presence_reads_keys_only(derived):
     n, plan = shuffles(tc.missing_in_source(pair))
     assert n == 1
     assert "o_totalprice" not in plan and "HashAggregate" in plan
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_tables_against_brute_force(pair_of, seed):
+    import hashlib
+    import random
+
+    rng = random.Random(seed)
+
+    def table():
+        rows = rng.randrange(0, 40)
+        keys = (None, 1, 2, 3, 4, 5, 6)
+        return [(rng.choice(keys), rng.choice((1, 2)), rng.choice("abc")) for _ in range(rows)]
+
+    source, target = table(), table()
+    pair = pair_of(source, target, ["k", "l"], "k int, l int, v string")
+
+    def by_key(rows):
+        out = {}
+        for k, l, v in rows:
+            out.setdefault((k, l), []).append(hashlib.sha256(v.encode()).hexdigest())
+        return out
+
+    s, t = by_key(source), by_key(target)
+    expected, every = set(), {}
+    for key in s.keys() | t.keys():
+        sides = [(s.get(key), t.get(key))]
+        if key[0] is None:
+            sides = [(s.get(key), None), (None, t.get(key))]
+        for left, right in sides:
+            if left and right:
+                pairs = sum(a != b for a in left for b in right)
+                if min(left) != min(right):
+                    expected.add((*key, "HASH_MISMATCH", min(left), min(right)))
+                if pairs:
+                    every[(*key, "HASH_MISMATCH")] = pairs
+            elif left:
+                expected.add((*key, "MISSING_IN_TARGET", min(left), None))
+                every[(*key, "MISSING_IN_TARGET")] = len(left)
+            elif right:
+                expected.add((*key, "MISSING_IN_SOURCE", None, min(right)))
+                every[(*key, "MISSING_IN_SOURCE")] = len(right)
+    assert {tuple(r) for r in tc.row_diff(pair).collect()} == expected
+    found = {(r["k"], r["l"], r["mismatch_type"]): int(r["n_pairs"]) for r in tc.row_diff_all(pair).collect()}
+    assert found == every
+    extra = sum(len(v) - 1 for v in s.values())
+    assert tc.duplicate_count(pair.source, ["k", "l"]).first()[0] == extra
+    for buckets in (1, 4, 64):
+        narrowed = {tuple(r) for r in tc.narrowed_row_diff(pair, buckets).collect()}
+        assert narrowed == expected

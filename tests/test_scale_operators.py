@@ -14,10 +14,15 @@ from tablecheck.operators.grouped import OVERSIZED
 def test_narrowed_diff_equals_full_diff(derived, table, algo):
     pair = tc.align(derived(table))
     full = {tuple(r) for r in tc.row_diff(pair).collect()}
-    # A null key equals no other, yet its bucket may agree on both sides.
-    full = {r for r in full if r[0] is not None}
-    narrow = {tuple(r) for r in tc.narrowed_row_diff(pair, 64, algo).collect()}
-    assert {r for r in narrow if r[0] is not None} == full
+    assert {tuple(r) for r in tc.narrowed_row_diff(pair, 64, algo).collect()} == full
+
+
+def test_narrowing_keeps_equal_rows_without_a_key(pair_of):
+    rows = [(None, "a"), (1, "a"), (2, "b")]
+    pair = pair_of(rows, rows, ["k"], "k int, v string")
+    assert tc.row_diff(pair).count() == 2
+    for algo in ("xxhash64", "sha256"):
+        assert tc.narrowed_row_diff(pair, 64, algo).count() == 2
 
 
 def test_equal_tables_have_no_differing_bucket(derived):
