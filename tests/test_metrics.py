@@ -2,7 +2,6 @@ import json
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 import tablecheck as tc
 from tablecheck.functions.sums import exact_sum_sql
