@@ -1,3 +1,52 @@
 """SQL counterparts of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from tablecheck.llm.quality_rules import RULES, STOP_WORDS
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+_STOPS = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
+
+
+def _bound(name: str) -> str:
+    rule = next(r for r in RULES if r.name == name)
+    return str(rule.low if rule.low is not None else rule.high)
+
+
+_QUALITY_RULES = rf"""
+with t as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+w as (select r, doc_id, text, {_WORDS.format("text")} as w,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from t),
+windows as (select r, unnest(range(1, len(w) - 6)) as i, w from w where len(w) >= 8),
+hashed as (select r, i, count(*) over (partition by r, array_to_string(w[i:i + 7], ' ')) as n from windows),
+covered as (select r, count(distinct i + k) as n from hashed, (select unnest(range(0, 8)) as k) where n > 1 group by r),
+m as (select w.r, doc_id, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,
+        cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+        cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines, coalesce(c.n, 0) as n_repeat_words,
+        len(l) as n_lines, length(regexp_replace(text, '\P{{L}}', '', 'g')) as n_letters, length(regexp_replace(text, '\P{{Lu}}', '', 'g')) as n_upper,
+        len(list_filter(w, lambda x: lower(regexp_replace(x, '[.,;:!?]+$', '')) in ({_STOPS}))) as n_stops
+      from w left join covered c on c.r = w.r),
+b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and word_chars / n_words between 1.5 and {_bound("long_words")} and n_symbols / n_words <= {_bound("symbols")}
+  and coalesce(n_upper / nullif(n_letters, 0), 0) <= {_bound("shouting")} and n_stops / n_words >= {_bound("no_stop_words")}
+  and n_dup_lines / n_lines <= {_bound("line_copies")} as kept
+from b
+"""
+
+_NEAR_DUPLICATES = rf"""
+with recursive w as (select doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents),
+s as (select distinct doc_id, unnest(case when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+        when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as x from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+e as (select a, b from l union all select b, a from l),
+reach(node, low) as (select a, a from e union select reach.node, e.b from reach join e on e.a = reach.low),
+low as (select node, min(low) as low from reach group by node)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(low.low, d.doc_id) as component_id, coalesce(low.low, d.doc_id) = d.doc_id as kept
+from documents d left join n on n.doc_id = d.doc_id left join low on low.node = d.doc_id
+"""
+
+ORACLES = {"op9_quality_rules": _QUALITY_RULES, "op10_near_duplicates": _NEAR_DUPLICATES}

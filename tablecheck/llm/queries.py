@@ -5,23 +5,51 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecheck.llm import byte_bpe, packing, quality_rules, sharding, token_counts
+from tablecheck.llm import (
+    byte_bpe,
+    hamming_search,
+    html_text,
+    near_duplicates,
+    packing,
+    passage_quality,
+    personal_data,
+    quality_rules,
+    sharding,
+    token_counts,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.spans(_table(spark, sf_dir, "documents"))
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op4_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_search.nearest(_table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return passage_quality.scores(documents, passage_quality.trained(documents, _table(spark, sf_dir, "labels")))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), 24).selectExpr(
         "doc_id", "size", "text_crc32", "'bytes' as law", "shard", "slot", "cast(null as int) as grown_shard", "virtual_slot"
@@ -39,6 +67,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 QUERIES = {
-    f.__name__: f for f in (op3_token_counts, op5_byte_bpe, op7_sharding, op8_packing, op9_quality_rules)
+    f.__name__: f
+    for f in (
+        op1_personal_data,
+        op2_html_text,
+        op3_token_counts,
+        op4_hamming_search,
+        op5_byte_bpe,
+        op6_passage_quality,
+        op7_sharding,
+        op8_packing,
+        op9_quality_rules,
+        op10_near_duplicates,
+    )
 }
