@@ -18,9 +18,9 @@ _QUALITY_RULES = rf"""
 with t as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
 w as (select r, doc_id, text, {_WORDS.format("text")} as w,
         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from t),
-windows as (select r, unnest(range(1, len(w) - 6)) as i, w from w where len(w) >= 8),
-hashed as (select r, i, count(*) over (partition by r, array_to_string(w[i:i + 7], ' ')) as n from windows),
-covered as (select r, count(distinct i + k) as n from hashed, (select unnest(range(0, 8)) as k) where n > 1 group by r),
+windows as (select r, unnest(list_transform(range(1, len(w) - 6), lambda i: {{'i': i, 'x': array_to_string(w[i:i + 7], ' ')}})) as p from w where len(w) >= 8),
+twice as (select r, unnest(list(i)) as i from (select r, p.i as i, p.x as x from windows) group by r, x having count(*) > 1),
+covered as (select r, count(distinct p) as n from (select r, unnest(range(i, i + 8)) as p from twice) group by r),
 m as (select w.r, doc_id, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,
         cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
         cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines, coalesce(c.n, 0) as n_repeat_words,
@@ -29,7 +29,7 @@ m as (select w.r, doc_id, cast(len(w) as bigint) as n_words, cast(length(array_t
       from w left join covered c on c.r = w.r),
 b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and word_chars / n_words between 1.5 and {_bound("long_words")} and n_symbols / n_words <= {_bound("symbols")}
+  not base_failed and word_chars / n_words between 1.5 and {next(r.high for r in RULES if r.name == "long_words")} and n_symbols / n_words <= {_bound("symbols")}
   and coalesce(n_upper / nullif(n_letters, 0), 0) <= {_bound("shouting")} and n_stops / n_words >= {_bound("no_stop_words")}
   and n_dup_lines / n_lines <= {_bound("line_copies")} as kept
 from b

@@ -157,5 +157,9 @@ def quality_rules(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "do
 def passing(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """The rows that the rules keep, with all their columns."""
     columns = [F.col(f"`{c}`") for c in df.columns]
-    marked, measure = _measured(df, F.col(f"`{text}`"), f"_{uuid.uuid4().hex[:8]}_")
-    return marked.where(_verdict(measure, rules)[1]).select(*columns)
+    tag = f"_{uuid.uuid4().hex[:8]}_"
+    marked, measure = _measured(df, F.col(f"`{text}`"), tag)
+    # A condition is not pushed below a column that is not deterministic.  Pushed down, it would hold
+    # the measures' definitions put into one another and work them out for every element.
+    marked = marked.withColumn(f"{tag}row", F.monotonically_increasing_id())
+    return marked.where(_verdict(measure, rules)[1] & (F.col(f"{tag}row") >= 0)).select(*columns)
