@@ -17,7 +17,7 @@ hashing.
 4. Components of the confirmed links give every document the smallest id it reaches.
 
 With 32 bands of 4 registers two documents of similarity 0.8 share no band once in 20 million pairs;
-the estimate drops a pair of that similarity once in some million.  Elements are 64-bit hashes of
+the estimate drops a pair of that similarity once in 300,000.  Elements are 64-bit hashes of
 the shingles.
 
 Defined results: a document without text or words has an empty set and is linked with nothing; one
@@ -48,7 +48,7 @@ BAND = 4
 BASE = 1.001
 RATE = 20.0
 #: Members of a band that one block holds at most; larger bands are compared block by block.
-BLOCK = 1024
+BLOCK = 512
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -175,12 +175,11 @@ def _estimated(pairs: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
     return map_slices(rows, make, "a long, b long, similarity double", 2048)
 
 
-def _confirmed(pairs: DataFrame, df: DataFrame, shingle: int, percent: int, key: str, text: str) -> DataFrame:
-    """The pairs whose full sets reach the threshold; only texts of documents in pairs move."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    wanted = text_of(df, key, text).join(ids, "doc_id", "left_semi")
+def _sets(ids: DataFrame, df: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
+    """``id`` and ``elements`` of the documents in ``ids``; only their texts move."""
+    wanted = text_of(df, key, text).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
 
-    def make_sets():
+    def make():
         hashes = _hashes()
 
         def step(piece: pa.RecordBatch) -> pa.RecordBatch:
@@ -189,17 +188,28 @@ def _confirmed(pairs: DataFrame, df: DataFrame, shingle: int, percent: int, key:
 
         return step
 
-    sets = materialise(map_slices(wanted, make_sets, "id long, elements binary").distinct())
+    return map_slices(wanted, make, "id long, elements binary")
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _confirmed(pairs: DataFrame, df: DataFrame, shingle: int, percent: int, key: str, text: str) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = materialise(_sets(ids, df, shingle, key, text))
     side = lambda x: sets.select(F.col("id").alias(x), F.col("elements").alias(f"set_{x}"))
     rows = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
 
     def make():
         def step(piece: pa.RecordBatch) -> pa.RecordBatch:
-            keep = []
-            for x, y in zip(piece.column(2).to_pylist(), piece.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            pairs_of_sets = zip(piece.column(2).to_pylist(), piece.column(3).to_pylist())
+            keep = [_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in pairs_of_sets]
             return pa.record_batch([piece.column(0), piece.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return step
@@ -209,11 +219,36 @@ def _confirmed(pairs: DataFrame, df: DataFrame, shingle: int, percent: int, key:
     return found
 
 
-def _remaining(members: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
-    """Candidate pairs of different components within the bands of ``members``, in bounded blocks.
-
-    ``members`` has ``band``, ``key``, ``id`` and ``label``.  A pair is given out in the first band
-    that it shares.  A band of many members is cut into blocks; every two blocks meet in one group.
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each group, whose columns ``key``, ``i``, ``j`` come first and in order."""
+    waiting: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in (0, 1, 2)], axis=1)
+        cuts = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1).tolist(), len(keys)]
+        for start, end in zip(cuts, cuts[1:]):
+            if end == start:
+                continue
+            now = tuple(keys[start])
+            if waiting and now != last:
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            waiting.append(batch.slice(start, end - start))
+            last = now
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def _candidates(members: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
+    """Candidates between different components within the bands of ``members``, in bounded blocks.
+
+    ``members`` has ``band``, ``key``, ``id`` and ``label``.  A pair is taken in the first band that
+    it shares.  A band of many members is cut into blocks; every two blocks meet in one group.  The
+    result has one row for each member of a group with candidates, and the list of its partners.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
     sizes = sizes.where("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
@@ -224,14 +259,13 @@ def _remaining(members: DataFrame, classes: DataFrame, floor: float) -> DataFram
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         "band", "id", "label", "n_shingles", "sketch", "own",
     )
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
-    def pairs_of(group: pa.Table) -> pa.RecordBatch:
+    def pairs_of(group: pa.Table) -> dict[int, list[int]]:
         ids, label, n, own = (group.column(c).to_numpy() for c in ("id", "label", "n_shingles", "own"))
         registers = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
         bands = registers.copy().view(np.uint64)
         band, i, j = (group.column(c)[0].as_py() for c in ("band", "i", "j"))
-        found = []
+        found: dict[int, list[int]] = {}
         for at in range(len(ids) - 1):
             rest = np.arange(at + 1, len(ids))
             rest = rest[(label[rest] != label[at]) & (ids[rest] != ids[at])]
@@ -241,35 +275,78 @@ def _remaining(members: DataFrame, classes: DataFrame, floor: float) -> DataFram
             if len(rest):
                 rest = rest[(bands[rest] == bands[at]).argmax(axis=1) == band]
             if len(rest):
-                near = estimate(registers[rest], np.broadcast_to(registers[at], (len(rest), REGISTERS)), n[rest].astype(float), np.full(len(rest), float(n[at])))
-                found.extend((min(ids[at], ids[k]), max(ids[at], ids[k])) for k in rest[near >= floor])
-        a, b = zip(*found) if found else ((), ())
-        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                own_registers = np.broadcast_to(registers[at], (len(rest), REGISTERS))
+                near = estimate(registers[rest], own_registers, n[rest].astype(float), np.full(len(rest), float(n[at])))
+                partners = ids[rest[near >= floor]].tolist()
+                if partners:
+                    found.setdefault(int(ids[at]), []).extend(partners)
+                    for k in partners:
+                        found.setdefault(k, [])
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _by_group(batches):
+            found = pairs_of(group)
+            if found:
+                key, i, j = (group.column(c)[0].as_py() for c in ("key", "i", "j"))
+                n = len(found)
+                yield pa.record_batch(
+                    [
+                        pa.array([key] * n, pa.int64()), pa.array([i] * n, pa.int32()), pa.array([j] * n, pa.int32()),
+                        pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64())),
+                    ],
+                    names=["key", "i", "j", "id", "partners"],
+                )
+
+    return _grouped(rows).mapInArrow(run, "key long, i int, j int, id long, partners array<long>")
+
+
+def _remaining(members: DataFrame, classes: DataFrame, floor: float, df: DataFrame, shingle: int, percent: int, key: str, text: str) -> DataFrame:
+    """Links between different components, confirmed on full sets.
+
+    The set of a document comes into a group once, however many partners it has there; pairs that
+    links of the same group have joined meanwhile need no check.
+    """
+    rows = materialise(_candidates(members, classes, floor))
+    sets = materialise(_sets(rows.select("id").distinct(), df, shingle, key, text))
+    rows = rows.join(sets, "id").select("key", "i", "j", "id", "partners", "elements")
+
+    def links_of(group: pa.Table) -> tuple[list[int], list[int]]:
+        sets_of: dict[int, list[np.ndarray]] = {}
+        for name, elements in zip(group.column("id").to_pylist(), group.column("elements").to_pylist()):
+            sets_of.setdefault(name, []).append(np.frombuffer(elements, np.uint64))
+        head = {name: name for name in sets_of}
+
+        def top(x: int) -> int:
+            while head[x] != x:
+                head[x] = head[head[x]]
+                x = head[x]
+            return x
+
+        a, b = [], []
+        for name, partners in zip(group.column("id").to_pylist(), group.column("partners").to_pylist()):
+            for other in partners:
+                if top(name) != top(other) and any(_linked(x, y, percent) for x in sets_of[name] for y in sets_of[other]):
+                    head[top(name)] = top(other)
+                    a.append(name)
+                    b.append(other)
+        return a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in (0, 1, 2)], axis=1)
-            cuts = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1).tolist(), len(keys)]
-            for start, end in zip(cuts, cuts[1:]):
-                if end == start:
-                    continue
-                now = tuple(keys[start])
-                if waiting and now != last:
-                    yield pairs_of(pa.Table.from_batches(waiting))
-                    waiting = []
-                waiting.append(batch.slice(start, end - start))
-                last = now
-        if waiting:
-            yield pairs_of(pa.Table.from_batches(waiting))
-
-    return rows.mapInArrow(run, "a long, b long").distinct()
+        for group in _by_group(batches):
+            a, b = links_of(group)
+            if a:
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    found = materialise(_grouped(rows).mapInArrow(run, "a long, b long"))
+    release(rows)
+    release(sets)
+    return found
 
 
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row."""
-    floor = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
+    floor = percent / 100 - 4.5 * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
     documents = materialise(sketches(df, shingle, key, text))
     known = documents.where("doc_id is not null and n_shingles > 0")
     classes = known.groupBy("finger").agg(F.min("doc_id").alias("id"))
@@ -290,9 +367,7 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, key: str
     labelled = members.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
         "band", "key", "id", F.coalesce("label", "id").alias("label")
     )
-    open_pairs = _remaining(labelled, heads, floor)
-    tried = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _confirmed(materialise(open_pairs.join(tried, ["a", "b"], "left_anti")), df, shingle, percent, key, text)
+    more = _remaining(labelled, heads, floor, df, shingle, percent, key, text)
     labels = components(links.union(more))
 
     to = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("finger", F.coalesce("label", "id").alias("found"))
