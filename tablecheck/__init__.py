@@ -4,7 +4,7 @@ from .functions import key_json, normalise_keys, row_hash
 from .operators.buckets import bucket_fingerprints, differing_buckets, narrowed_row_diff
 from .operators.columns import Aligned, align, common_columns, schema_diff
 from .operators.filters import apply_filter, filter_groups, filter_keys
-from .operators.grouped import GroupedResult, grouped_drilldown, oversized
+from .operators.grouped import GroupedResult, grouped_drilldown
 from .operators.metrics import (
     column_comparison,
     column_diff,
@@ -43,7 +43,7 @@ from .plans.validate import (
     validate_schema,
 )
 from .session import configure, materialise
-from .sinks import read_mismatches, run_history, write_audit, write_results
+from .sinks import first_mismatches, read_mismatches, run_history, write_audit, write_results
 from .sources import load_inventory, load_jdbc, load_query, load_table, schema_catalog
 from .spec import PairSpec, Run, ValidationResult
 

@@ -16,6 +16,13 @@ from .names import literal, quoted
 SEPARATOR = "||"
 NULL_TEXT = "NULL"
 
+# Nulls are kept, and times with all their digits.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def _has_map(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.MapType):
@@ -45,24 +52,24 @@ def _ordered_maps(value: str, dtype: T.DataType, depth: int = 0) -> str:
     return f"array_sort({entries})"
 
 
-def value_sql(value: str, dtype: T.DataType, max_chars: int | None = None) -> str:
+def value_sql(value: str, dtype: T.DataType) -> str:
     """SQL for the text of a value, null for a null."""
     if isinstance(dtype, T.BinaryType):
         text = f"hex({value})"
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        text = f"to_json({_ordered_maps(value, dtype)}, map('ignoreNullFields', 'false'))"
+        options = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in JSON_OPTIONS.items())
+        text = f"to_json({_ordered_maps(value, dtype)}, map({options}))"
     elif isinstance(dtype, T.StringType):
         text = value
     else:
         text = f"cast({value} as string)"
-    return text if max_chars is None else f"substring({text}, 1, {max_chars})"
+    return text
 
 
 def row_sql(
     schema: T.StructType,
     columns: Sequence[str],
     mode: str = "compat",
-    max_chars: int | None = None,
 ) -> str:
     """SQL for one text of the row, columns in the given order.
 
@@ -70,7 +77,7 @@ def row_sql(
     equals that word and a value may imitate the separator.  ``strict`` puts a null flag and
     the length before each value and has neither ambiguity.
     """
-    texts = [value_sql(quoted(c), schema[c].dataType, max_chars) for c in columns]
+    texts = [value_sql(quoted(c), schema[c].dataType) for c in columns]
     if mode == "compat":
         separator, parts = SEPARATOR, [f"coalesce({t}, {literal(NULL_TEXT)})" for t in texts]
     elif mode == "strict":
@@ -82,7 +89,7 @@ def row_sql(
 
 
 def fast_hash_sql(
-    schema: T.StructType, columns: Sequence[str], max_chars: int | None = None, salt: int = 0
+    schema: T.StructType, columns: Sequence[str], salt: int = 0
 ) -> str:
     """SQL for xxHash64 over the values themselves.
 
@@ -92,8 +99,9 @@ def fast_hash_sql(
     parts = [str(salt)]
     for c in columns:
         dtype, value = schema[c].dataType, quoted(c)
-        plain = max_chars is None and not _has_map(dtype)
-        parts.append(value if plain else value_sql(value, dtype, max_chars))
+        # Inside arrays and structs the hash function would skip nulls as well.
+        nested = isinstance(dtype, (T.ArrayType, T.MapType, T.StructType))
+        parts.append(value_sql(value, dtype) if nested else value)
         if isinstance(dtype, (T.FloatType, T.DoubleType)):
             negative_zero = f"{value} = 0 and cast({value} as string) = '-0.0'"
             parts.append(f"if({value} is null, 2, if({negative_zero}, 1, 0))")
@@ -107,28 +115,26 @@ def hash_sql(
     columns: Sequence[str],
     mode: str = "compat",
     algo: str = "sha256",
-    max_chars: int | None = None,
 ) -> str:
     if algo == "sha256":
-        return f"sha2({row_sql(schema, columns, mode, max_chars)}, 256)"
+        return f"sha2({row_sql(schema, columns, mode)}, 256)"
     if algo == "xxhash64":
-        return fast_hash_sql(schema, columns, max_chars)
+        return fast_hash_sql(schema, columns)
     raise ValueError(f"unknown hash algorithm {algo!r}")
 
 
-def value_text(value: str, dtype: T.DataType, max_chars: int | None = None) -> Column:
+def value_text(value: str, dtype: T.DataType) -> Column:
     """The text of the column named ``value``, null for a null."""
-    return F.expr(value_sql(quoted(value), dtype, max_chars))
+    return F.expr(value_sql(quoted(value), dtype))
 
 
 def row_text(
     schema: T.StructType,
     columns: Sequence[str],
     mode: str = "compat",
-    max_chars: int | None = None,
 ) -> Column:
     """One text for the row, columns in the given order."""
-    return F.expr(row_sql(schema, columns, mode, max_chars))
+    return F.expr(row_sql(schema, columns, mode))
 
 
 def row_hash(
@@ -136,13 +142,12 @@ def row_hash(
     columns: Sequence[str],
     mode: str = "compat",
     algo: str = "sha256",
-    max_chars: int | None = None,
 ) -> Column:
     """Hash of the listed columns: 64 hex digits for SHA-256, a long for xxHash64.
 
     With no columns it is the hash of the empty text, so a row check compares presence only.
     """
-    return F.expr(hash_sql(schema, columns, mode, algo, max_chars))
+    return F.expr(hash_sql(schema, columns, mode, algo))
 
 
 def key_text(schema: T.StructType, keys: Sequence[str]) -> Column:

@@ -50,7 +50,7 @@ def bucket_fingerprints(pair: Aligned, n: int, algo: str = "sha256") -> DataFram
     bucket = f"{bucket_sql(pair.schema, pair.keys, n, algo)} as bucket"
     keyless = f"{' or '.join(f'{quoted(k)} is null' for k in pair.keys)} as keyless"
     if algo == "sha256":
-        digest = hash_sql(pair.schema, hashed, pair.hash_mode, algo, pair.max_chars)
+        digest = hash_sql(pair.schema, hashed, pair.hash_mode, algo)
         rows = both_sides(pair, bucket, keyless, f"{digest} as __tc_digest").selectExpr(
             "bucket",
             "keyless",
@@ -60,8 +60,8 @@ def bucket_fingerprints(pair: Aligned, n: int, algo: str = "sha256") -> DataFram
         )
         bits = 60
     else:
-        x = fast_hash_sql(pair.schema, hashed, pair.max_chars)
-        a = fast_hash_sql(pair.schema, hashed, pair.max_chars, salt=1)
+        x = fast_hash_sql(pair.schema, hashed)
+        a = fast_hash_sql(pair.schema, hashed, salt=1)
         rows = both_sides(pair, bucket, keyless, f"{x} as x", f"{a} as a")
         bits = 64
 

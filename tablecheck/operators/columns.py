@@ -31,7 +31,6 @@ class Aligned:
     columns: list[str]
     hash_mode: str = "compat"
     hash_algo: str = "sha256"
-    max_chars: int | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -39,7 +38,7 @@ class Aligned:
 
     def with_rows(self, source: DataFrame, target: DataFrame) -> Aligned:
         return Aligned(
-            source, target, self.keys, self.columns, self.hash_mode, self.hash_algo, self.max_chars
+            source, target, self.keys, self.columns, self.hash_mode, self.hash_algo
         )
 
 
@@ -62,11 +61,11 @@ def common_columns(
     """
     if match == "strict":
         skip = set(keys)
-        types = {f.name: f.dataType for f in target.schema.fields}
+        types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
         return [
             f.name
             for f in source.schema.fields
-            if f.name not in skip and types.get(f.name) == f.dataType
+            if f.name not in skip and types.get(f.name) == f.dataType.simpleString()
         ]
     if match == "name":
         skip = {k.lower() for k in keys}
@@ -77,13 +76,17 @@ def common_columns(
 
 def shared_type(spark: SparkSession, left: T.DataType, right: T.DataType) -> T.DataType:
     """The type in which values of two different types are compared; text if nothing fits."""
-    if left == right:
+    if left.simpleString() == right.simpleString():
         return left
     numeric = isinstance(left, T.NumericType) and isinstance(right, T.NumericType)
     dates = (T.DateType, T.TimestampType, T.TimestampNTZType)
     temporal = isinstance(left, dates) and isinstance(right, dates)
     if not (numeric or temporal):
         return T.StringType()
+    floating, whole = (T.FloatType, T.DoubleType), (T.IntegralType, T.DecimalType)
+    if any(isinstance(a, floating) and isinstance(b, whole) for a, b in ((left, right), (right, left))):
+        # No numeric type holds all values of both: a double holds integers up to 2**53 only.
+        return T.DecimalType(38, 18) if not isinstance(left, T.LongType) and not isinstance(right, T.LongType) else T.DecimalType(38, 10)
     widened = spark.range(0).select(
         F.coalesce(F.lit(None).cast(left), F.lit(None).cast(right)).alias("v")
     )
@@ -124,13 +127,13 @@ def align(spec: PairSpec) -> Aligned:
     def cut(df: DataFrame) -> DataFrame:
         def one(c: str) -> str:
             name, dtype = quoted(c), wanted[c]
-            same = df.schema[c].dataType == dtype
+            same = df.schema[c].dataType.simpleString() == dtype.simpleString()
             return name if same else f"cast({name} as {dtype.simpleString()}) as {name}"
 
         return df.selectExpr(*[one(c) for c in keys + columns])
 
     return Aligned(
-        cut(source), cut(target), keys, columns, spec.hash_mode, spec.hash_algo, spec.max_chars
+        cut(source), cut(target), keys, columns, spec.hash_mode, spec.hash_algo
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import key_json, quoted
 from ..session import materialise
@@ -25,16 +25,14 @@ from .metrics import (
 )
 from .rowdiff import IN_SOURCE, row_diff
 
-OVERSIZED = "OVERSIZED"
-
 
 @dataclass(frozen=True)
 class GroupedResult:
     """Final groups, their metric rows, and the differing rows of the groups drilled into.
 
-    A final group passes or is too large to be drilled into.  ``metrics`` has one row per
-    final group, column and metric; ``rows`` one per differing key, or is ``None`` without
-    keys.
+    A final group passes, or fails at the last level.  ``metrics`` has one row per final group,
+    column and metric; ``rows`` one per differing key of the failing groups, or is ``None``
+    without keys.
     """
 
     groups: DataFrame
@@ -69,33 +67,18 @@ def _merged(partials: DataFrame, metrics: Sequence[Metric], lead: Sequence[str])
     return unpivot(aggregated(partials, lead, named), metrics, lead)
 
 
-def _largest_count() -> Column:
-    """Over the metric rows of a group, its row count on the larger side."""
-    sides = ", ".join(
-        f"coalesce(try_cast({side}_value as bigint), 0L)" for side in ("source", "target")
-    )
-    return F.expr(f"max(if(column_name = '*' and metric = 'COUNT', greatest({sides}), null))")
-
-
-def oversized(checked: DataFrame, lead: Sequence[str], max_rows: int) -> DataFrame:
-    """Groups whose row count on either side is over the limit; no count, not oversized."""
-    counts = checked.groupBy(*lead).agg(_largest_count().alias("__tc_rows"))
-    return counts.filter(F.col("__tc_rows") > max_rows).select(*lead)
-
-
 def grouped_drilldown(
     pair: Aligned,
     group_cols: Sequence[str],
-    max_rows: int,
     abs_tol: float = 1e-6,
-    rel_tol: float | None = None,
+    rel_tol: float | None = 1e-10,
 ) -> GroupedResult:
     """Compare level by level and match the rows of the groups that still differ at the end.
 
     Each side is scanned once for the aggregates of the finest groups; coarser levels are
     merged from those, all groups of a level together.  A passing group is final; a failing
-    one is split by the next column.  At the last level a failing group over ``max_rows`` is
-    reported and not matched; the rows of the others are matched inside their group.
+    one is split by the next column.  At the last level failing groups are final as well, and
+    their rows are matched inside their group, whatever its size.
     """
     group_cols = list(group_cols)
     unknown = [c for c in group_cols if c not in pair.keys + pair.columns]
@@ -122,14 +105,9 @@ def grouped_drilldown(
         if failing is not None:
             s, t = filter_groups(s, failing, by[:-1]), filter_groups(t, failing, by[:-1])
         checked = materialise(pair_metrics(s, t, by, abs_tol, rel_tol), f"level{level}")
-        large = _largest_count() > max_rows if last else F.lit(False)
-        outcome = (
-            F.when(F.expr(f"bool_and(status = '{PASS}')"), PASS)
-            .when(large, OVERSIZED)
-            .otherwise(FAIL)
-        )
+        outcome = F.when(F.expr(f"bool_and(status = '{PASS}')"), PASS).otherwise(FAIL)
         verdict = checked.groupBy(*by).agg(outcome.alias("__tc_outcome"))
-        final = verdict.filter(F.col("__tc_outcome") != FAIL)
+        final = verdict if last else verdict.filter(F.col("__tc_outcome") != FAIL)
         failing = verdict.filter(F.col("__tc_outcome") == FAIL).select(*by)
         place = [F.lit(level).alias("level"), group_json(group_cols[:level]).alias("group_key")]
         groups.append(final.select(*place, F.col("__tc_outcome").alias("outcome")))

@@ -155,11 +155,12 @@ def column_metrics(
     return found.select(*lead, METRIC_ID, "column_name", "metric", "exact", "number", "text")
 
 
-def match_sql(s: str, t: str, abs_tol: float = 1e-6, rel_tol: float | None = None) -> str:
+def match_sql(s: str, t: str, abs_tol: float = 1e-6, rel_tol: float | None = 1e-10) -> str:
     """SQL for whether two metric values, structs of the three fields, agree.
 
     Two nulls agree and a null agrees with nothing else.  Floating point values agree within
-    the tolerance; not-a-number and equal infinities do not, their difference being no number.
+    either tolerance, the relative one because sums of many values depend on their order;
+    equal infinities agree, and not-a-number agrees with itself.
     """
     difference = f"abs({s}.number - {t}.number)"
     close = f"{difference} < {abs_tol!r}D"
@@ -172,12 +173,12 @@ def match_sql(s: str, t: str, abs_tol: float = 1e-6, rel_tol: float | None = Non
     return (
         f"case when {s}.text is null or {t}.text is null "
         f"then {s}.text is null and {t}.text is null "
-        f"when {s}.exact then {s}.text = {t}.text else {close} end"
+        f"when {s}.exact or {s}.text = {t}.text then {s}.text = {t}.text else {close} end"
     )
 
 
 def metrics_match(
-    source: str, target: str, abs_tol: float = 1e-6, rel_tol: float | None = None
+    source: str, target: str, abs_tol: float = 1e-6, rel_tol: float | None = 1e-10
 ) -> Column:
     """Whether the metric values in two struct columns agree."""
     return F.expr(match_sql(quoted(source), quoted(target), abs_tol, rel_tol))
@@ -206,7 +207,7 @@ def _compared(both: DataFrame, lead: Sequence[str], abs_tol: float, rel_tol: flo
 def column_comparison(
     pair: Aligned,
     abs_tol: float = 1e-6,
-    rel_tol: float | None = None,
+    rel_tol: float | None = 1e-10,
     rows: bool = False,
     columns_per_pass: int | None = None,
 ) -> DataFrame:
@@ -225,7 +226,7 @@ def column_comparison(
     return _compared(both, [], abs_tol, rel_tol)
 
 
-def column_diff(pair: Aligned, abs_tol: float = 1e-6, rel_tol: float | None = None) -> DataFrame:
+def column_diff(pair: Aligned, abs_tol: float = 1e-6, rel_tol: float | None = 1e-10) -> DataFrame:
     """The metrics that disagree."""
     failed = column_comparison(pair, abs_tol, rel_tol).filter(f"status = '{FAIL}'")
     return failed.drop("status", METRIC_ID)
@@ -236,7 +237,7 @@ def pair_metrics(
     target: DataFrame,
     lead: Sequence[str],
     abs_tol: float = 1e-6,
-    rel_tol: float | None = None,
+    rel_tol: float | None = 1e-10,
 ) -> DataFrame:
     """Put the metric rows of two sides beside one another, group by group.
 
@@ -257,7 +258,7 @@ def grouped_column_diff(
     pair: Aligned,
     group_by: Sequence[str],
     abs_tol: float = 1e-6,
-    rel_tol: float | None = None,
+    rel_tol: float | None = 1e-10,
 ) -> DataFrame:
     """The metrics that disagree, per group."""
     columns = [c for c in pair.columns if c not in group_by]

@@ -42,7 +42,7 @@ def _stored_hash(pair: Aligned) -> str:
 
 
 def _hash_sql(pair: Aligned) -> str:
-    return hash_sql(pair.schema, pair.columns, pair.hash_mode, pair.hash_algo, pair.max_chars)
+    return hash_sql(pair.schema, pair.columns, pair.hash_mode, pair.hash_algo)
 
 
 def _shown_hash(name: str, algo: str) -> Column:
@@ -291,7 +291,7 @@ def with_light_details(pair: Aligned, diff: DataFrame) -> DataFrame:
 
 def cell_diff(pair: Aligned, diff: DataFrame) -> DataFrame:
     """For keys on both sides whose rows differ, the columns that differ with both values."""
-    texts = [value_sql(quoted(c), pair.schema[c].dataType, pair.max_chars) for c in pair.columns]
+    texts = [value_sql(quoted(c), pair.schema[c].dataType) for c in pair.columns]
     cells = [
         f"struct({literal(c)} as column_name, __tc_source_record[{i}] as source_value, "
         f"__tc_target_record[{i}] as target_value)"

@@ -49,10 +49,8 @@ def sample_keys(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> D
 
 
 def sampled(pair: Aligned, n: int, seed: int = 42) -> Aligned:
-    """Both sides limited to ``n`` random source keys; an empty source leaves both whole."""
+    """Both sides limited to ``n`` random source keys; a sample of nothing compares nothing."""
     chosen = materialise(sample_keys(pair.source, pair.keys, n, seed), "sample")
-    if chosen.isEmpty():
-        return pair
     return pair.with_rows(
         filter_keys(pair.source, chosen, pair.keys), filter_keys(pair.target, chosen, pair.keys)
     )
@@ -62,8 +60,6 @@ def sampled_spec(spec: PairSpec, n: int, seed: int = 42) -> PairSpec:
     """The same limit on the tables themselves, for checks that need more than the keys."""
     pair = align(spec)
     chosen = materialise(sample_keys(pair.source, pair.keys, n, seed), "sample")
-    if chosen.isEmpty():
-        return spec
     source = filter_keys(spec.source, chosen, dict(zip(pair.keys, spec.keys)))
     target_keys = spec.target_keys or spec.keys
     target = filter_keys(spec.target, chosen, dict(zip(pair.keys, target_keys)))

@@ -102,7 +102,7 @@ def compile_plan(inventory: DataFrame) -> DataFrame:
     """One plan row per inventory row that names both tables.
 
     Keys and the all-columns mark are for row checks only.  The plan key is made of both
-    tables, the type and the filter, so checks of one table do not replace one another.  Plan
+    tables, the type, the keys and the filter, so checks of one table do not replace one another.  Plan
     rows carry no credentials.
     """
     source, target = field("source_table"), field("target_table")
@@ -110,7 +110,9 @@ def compile_plan(inventory: DataFrame) -> DataFrame:
     is_row = kind == "row"
     keys = F.transform(F.split(field("primary_key"), ","), lambda k: F.trim(k))
     keys = F.filter(keys, lambda k: k != "")
-    identity = F.concat_ws("|", source, target, kind, condition)
+    # Lengths keep apart what separators inside the fields could mix up.
+    fields = (source, target, kind, field("primary_key"), condition)
+    identity = F.concat(*[part for f in fields for part in (F.length(f), F.lit(":"), f)])
     return inventory.filter((source != "") & (target != "")).select(
         F.sha2(identity, 256).alias("plan_key"),
         source.alias("source"),

@@ -64,17 +64,28 @@ def run_plan(
     A plan is configuration, a row per validation, and is read by the driver; table rows are
     not.  ``options`` are passed on to every pair.
     """
-    jobs = []
+    jobs, broken = [], []
     for row in plan.dropDuplicates(["plan_key"]).orderBy("plan_key").toLocalIterator():
-        spec = PairSpec(
-            f"{row['source']}={row['target']}#{row['plan_key'][:8]}",
-            resolver(row["source"]),
-            resolver(row["target"]),
-            keys=tuple(row["primary_keys"] or ()),
-            filter=row["filters"],
-            **options,
-        )
-        if row["type"] not in CHECKS:
-            raise ValueError(f"unknown validation type {row['type']!r}")
-        jobs.append((spec, CHECKS[row["type"]]))
+        name = f"{row['source']}={row['target']}#{row['plan_key']}"
+        try:
+            if row["type"] not in CHECKS:
+                raise ValueError(f"unknown validation type {row['type']!r}")
+            if row["type"] == "row" and not row["primary_keys"]:
+                raise ValueError("a row check needs a key")
+            spec = PairSpec(
+                name,
+                resolver(row["source"]),
+                resolver(row["target"]),
+                keys=tuple(row["primary_keys"] or ()),
+                filter=row["filters"],
+                **options,
+            )
+        except Exception as problem:  # noqa: BLE001 - the other plan rows run all the same
+            broken.append((name, str(problem)))
+        else:
+            jobs.append((spec, CHECKS[row["type"]]))
+    for name, problem in broken:
+        empty = plan.sparkSession.range(0)
+        failed = stamp(note(plan.sparkSession, "setup", ERROR, problem), PairSpec(name, empty, empty), run)
+        write_results(failed, results_target, "replace", (run.run_id, name))
     run_batch(jobs, run, results_target, audit_target, workers)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import literal
 from ..operators.columns import Aligned, align, schema_diff
-from ..operators.grouped import OVERSIZED, grouped_drilldown
+from ..operators.grouped import grouped_drilldown
 from ..operators.metrics import column_comparison, count_check
 from ..operators.rowdiff import (
     N_SOURCE,
@@ -122,7 +122,14 @@ def _column_rows(pair: Aligned, spec: PairSpec) -> DataFrame:
     found = column_comparison(
         pair, spec.abs_tol, spec.rel_tol, columns_per_pass=spec.columns_per_pass
     )
-    return found.withColumn("check", F.lit("column"))
+    found = found.withColumn("check", F.lit("column"))
+    source, target = dict(spec.source.dtypes), dict(spec.target.dtypes)
+    for name in source:
+        if name in target and source[name] != target[name] and spec.match == "strict" and name not in pair.keys:
+            # A column that both sides have but that is not compared must not go unseen.
+            left_out = note(pair.source.sparkSession, "column", SKIPPED, f"types differ: {source[name]}, {target[name]}")
+            found = found.unionByName(left_out.withColumn("column_name", F.lit(name)), allowMissingColumns=True)
+    return found
 
 
 def _drift(results: DataFrame) -> DataFrame:
@@ -267,23 +274,21 @@ def validate_custom(
 
 
 def validate_grouped(
-    spec: PairSpec, run: Run, group_cols: Sequence[str], max_rows: int
+    spec: PairSpec, run: Run, group_cols: Sequence[str]
 ) -> ValidationResult:
     """Drill down by group, then match the rows of the groups that still differ.
 
-    The metric rows of the final groups are the results; a group too large to be matched
-    says so in ``message``.  The mismatches name their group in ``details``.
+    The metric rows of the final groups, failing ones included, are the results, and a row for
+    each group says whether it passes.  The mismatches name their group in ``details``.
     """
     if not spec.keys and not group_cols:
         raise ValueError("a grouped check needs group columns or a key")
     if not group_cols:
         return validate_row(spec, run)
-    found = grouped_drilldown(align(spec), group_cols, max_rows, spec.abs_tol, spec.rel_tol)
-    results = found.metrics.selectExpr(
-        "'group' as check",
-        "*",
-        f"if(outcome = '{OVERSIZED}', 'group is over the row limit', null) as message",
-    )
+    found = grouped_drilldown(align(spec), group_cols, spec.abs_tol, spec.rel_tol)
+    verdicts = found.groups.selectExpr("'group' as check", "'*' as column_name", "'GROUP' as metric", "group_key", "outcome as status")
+    results = found.metrics.selectExpr("'group' as check", "*").drop("level", "outcome")
+    results = results.unionByName(verdicts, allowMissingColumns=True)
     mismatches = None
     if found.rows is not None:
         rows = found.rows.withColumnRenamed("group_key", "details")
@@ -331,7 +336,7 @@ def _checked_parts(
         if audit_target is not None:
             diff = classified(pair, flagged)
             found = with_details if details == "full" else with_light_details
-            write_audit(audit_rows(found(pair, diff), spec, run), audit_target, mode)
+            write_audit(audit_rows(found(pair, diff), spec, run), audit_target, mode, (run.run_id, spec.name))
         return _key_rows(flagged, counts=False)
 
     builders: list[tuple[str, Callable[[], DataFrame]]] = [

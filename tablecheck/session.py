@@ -29,7 +29,7 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if shared:
         return shared.rstrip("/") + "/tablecheck"
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by the whole cluster")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:

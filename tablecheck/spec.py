@@ -100,9 +100,8 @@ class PairSpec:
     match: str = "strict"
     hash_mode: str = "compat"
     hash_algo: str = "sha256"
-    max_chars: int | None = None
     abs_tol: float = 1e-6
-    rel_tol: float | None = None
+    rel_tol: float | None = 1e-10
     columns_per_pass: int | None = None
     extra_checks: Sequence[Callable[[PairSpec], DataFrame]] = ()
 

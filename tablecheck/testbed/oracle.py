@@ -10,7 +10,6 @@ from .pairs import (
     CUSTOMER,
     DISJOINT,
     DRILL_GROUPS,
-    DRILL_LIMIT,
     EVENTS,
     INVENTORY,
     LINEITEM,
@@ -359,15 +358,13 @@ def metrics_sql(pair: DerivedPair) -> str:
            case when try_cast(v as double) is null then v end as text from w"""
 
 
-def drilldown_sql(pair: DerivedPair, groups: Sequence[str], limit: int) -> str:
+def drilldown_sql(pair: DerivedPair, groups: Sequence[str]) -> str:
     """Two levels, then rows inside the failing groups."""
     first, both = groups[:1], list(groups)
     columns = [c for c in pair.columns if c not in groups]
     early = [c for c in pair.columns if c not in first]
     g1, g2 = first[0], both[1]
     same = " and ".join(f"x.{g} is not distinct from f.{g}" for g in both)
-    count = "column_name = '*'"
-    larger = "greatest(coalesce(cast(source_value as bigint), 0), coalesce(cast(target_value as bigint), 0))"
     inside = f"exists (select 1 from failed f where {same})"
     keys = ", ".join((*pair.keys, *both))
     joined = " and ".join(
@@ -379,10 +376,9 @@ def drilldown_sql(pair: DerivedPair, groups: Sequence[str], limit: int) -> str:
     c1 as (select * from {comparison('src', 'tgt', early, first, rows=True)}),
     v1 as (select {g1}, bool_and(status = 'PASS') as ok from c1 group by {g1}),
     c2 as (select * from {comparison('src', 'tgt', columns, both, rows=True)}),
-    v2 as (select {g1}, {g2}, bool_and(status = 'PASS') as ok,
-                  max(case when {count} then {larger} end) as n from c2
+    v2 as (select {g1}, {g2}, bool_and(status = 'PASS') as ok from c2
            where {g1} in (select {g1} from v1 where not ok) group by {g1}, {g2}),
-    failed as (select {g1}, {g2} from v2 where not ok and n <= {limit}),
+    failed as (select {g1}, {g2} from v2 where not ok),
     fs as (select {keys}, min({digest}) as h, 1 as m from src x where {inside} group by {keys}),
     ft as (select {keys}, min({digest}) as h, 1 as m from tgt x where {inside} group by {keys}),
     rd as (select {merged}, case when s.m is null then 'MISSING_IN_SOURCE'
@@ -392,8 +388,7 @@ def drilldown_sql(pair: DerivedPair, groups: Sequence[str], limit: int) -> str:
     select cast(1 as bigint) as level, {json_key(first)} as group_key, 'PASS' as outcome,
            cast(null as varchar) as primary_key_value from v1 where ok
     union all
-    select 2, {json_key(both)}, case when ok then 'PASS' else 'OVERSIZED' end, null
-    from v2 where ok or n > {limit}
+    select 2, {json_key(both)}, case when ok then 'PASS' else 'FAIL' end, null from v2
     union all
     select 3, {json_key(both)}, outcome, {json_key(pair.keys)} from rd"""
 
@@ -457,7 +452,8 @@ def lint_sql() -> str:
 
 
 def plan_sql() -> str:
-    identity = "source_table || '|' || target_table || '|' || validation_type || '|' || filter_condition"
+    fields = ("source_table", "target_table", "validation_type", "primary_key", "filter_condition")
+    identity = " || ".join(f"length({f}) || ':' || {f}" for f in fields)
     return f"""with {inventory_cte()}
     select sha256({identity}) as plan_key, source_table as source, target_table as target,
            validation_type as type,
@@ -590,7 +586,7 @@ ORACLES: dict[str, str] = {
       select {json_key(['c_nationkey'])} as group_key, column_name, metric, {two_sided()}, status
       from {comparison('src', 'tgt', [c for c in CUSTOMER.columns if c != 'c_nationkey'],
                        ['c_nationkey'], rows=True)} where status = 'FAIL'""",
-    "grouped_drilldown": drilldown_sql(CUSTOMER, DRILL_GROUPS, DRILL_LIMIT),
+    "grouped_drilldown": drilldown_sql(CUSTOMER, DRILL_GROUPS),
     "bucket_fingerprint": fingerprint_sql(LINEITEM, N_BUCKETS),
     "bucket_narrowed_diff": diff_sql(LINEITEM),
     "validate_pair": CUSTOMER_RESULTS,

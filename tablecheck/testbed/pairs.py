@@ -185,7 +185,6 @@ INVENTORY = """
 
 EVENTS_FILTER = "ts >= TIMESTAMP('2024-01-01 12:00:00') and event_type <> 'error'"
 DRILL_GROUPS = ("c_nationkey", "c_mktsegment")
-DRILL_LIMIT = 15
 N_BUCKETS = 64
 SAMPLE_SIZE = 200
 SAMPLE_SEED = 42

@@ -50,7 +50,7 @@ from ..plans.validate import (
     validate_schema,
 )
 from ..session import configure, materialise, scratch_path
-from ..sinks import read_mismatches, run_history, write_audit, write_results
+from ..sinks import first_mismatches, read_mismatches, run_history, write_audit, write_results
 from ..sources import INVENTORY_COLUMNS, load_inventory, load_query, load_table
 from ..sources.inventory import clean_inventory
 from ..spec import PairSpec, Run
@@ -60,7 +60,6 @@ from .pairs import (
     CUSTOMER,
     DISJOINT,
     DRILL_GROUPS,
-    DRILL_LIMIT,
     EVENTS,
     EVENTS_FILTER,
     INVENTORY,
@@ -159,12 +158,12 @@ _AUDIT = ("run_id", "pair", "primary_key_value", "mismatch_type", "source_row_ha
 
 
 def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_mismatches(spark, _audited(spark, sf_dir), RUN.run_id, limit=None)
+    rows = read_mismatches(spark, _audited(spark, sf_dir), RUN.run_id)
     return rows.select(*_AUDIT)
 
 
 def top_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_mismatches(spark, _audited(spark, sf_dir), RUN.run_id, limit=10)
+    rows = first_mismatches(spark, _audited(spark, sf_dir), RUN.run_id, 10)
     return rows.select("primary_key_value", "mismatch_type")
 
 
@@ -376,7 +375,7 @@ def grouped_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = grouped_drilldown(aligned(spark, sf_dir, CUSTOMER), DRILL_GROUPS, DRILL_LIMIT)
+    found = grouped_drilldown(aligned(spark, sf_dir, CUSTOMER), DRILL_GROUPS)
     groups = found.groups.select(
         F.col("level").cast("bigint").alias("level"),
         "group_key",

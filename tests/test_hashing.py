@@ -71,9 +71,20 @@ def test_nested_and_binary_values(spark):
     assert hashes(df, ["a", "b", "c"]) == [expected]
 
 
-def test_max_chars_cuts_values(spark):
-    df = spark.createDataFrame([("abcdef",), ("abcxyz",)], "a string")
-    assert len(set(hashes(df, ["a"], max_chars=3))) == 1
+def test_long_values_count_to_their_end(spark):
+    df = spark.createDataFrame([("x" * 5000 + "1",), ("x" * 5000 + "2",)], "a string")
+    assert len(set(hashes(df, ["a"]))) == 2
+
+
+def test_fast_hash_sees_nulls_at_every_depth(spark):
+    df = spark.createDataFrame([((None, 1),), ((1, None),)], "s struct<a:int,b:int>")
+    assert len(set(hashes(df, ["s"], algo="xxhash64"))) == 2
+    df = spark.createDataFrame([([1, None],), ([None, 1],)], "s array<int>")
+    assert len(set(hashes(df, ["s"], algo="xxhash64"))) == 2
+
+
+def test_microseconds_inside_arrays(spark):
+    df = spark.sql("select array(timestamp'2024-01-01 00:00:00.123456') a union all select array(timestamp'2024-01-01 00:00:00.123999')")
     assert len(set(hashes(df, ["a"]))) == 2
 
 

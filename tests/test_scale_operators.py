@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import tablecheck as tc
-from tablecheck.operators.grouped import OVERSIZED
 
 
 @pytest.mark.parametrize("table", ["customer", "events", "lineitem", "orders"])
@@ -91,13 +90,13 @@ def test_sampling_all_keys_equals_the_full_diff_of_source_keys(derived):
     assert part == {r for r in full if r[1] != "MISSING_IN_SOURCE"}
 
 
-def test_empty_sample_sets_no_filter(pair_of):
+def test_empty_sample_compares_nothing(pair_of):
     pair = pair_of([], [(1, "a")], ["k"], "k int, v string")
-    assert tc.row_diff(tc.sampled(pair, 5)).count() == 1
+    assert tc.row_diff(tc.sampled(pair, 5)).count() == 0
 
 
-def drill(pair, groups, limit):
-    found = tc.grouped_drilldown(pair, groups, limit)
+def drill(pair, groups):
+    found = tc.grouped_drilldown(pair, groups)
     outcome = {(r["level"], r["group_key"]): r["outcome"] for r in found.groups.collect()}
     rows = {
         (r["group_key"], r["primary_key_value"]): r["mismatch_type"] for r in found.rows.collect()
@@ -109,8 +108,15 @@ def test_drilldown(pair_of):
     schema = "k int, g string, h string, v int"
     source = [(1, "a", "x", 1), (2, "a", "y", 2), (3, "b", "x", 3), (4, None, "x", 4), (5, "c", "x", 5)]
     target = [(1, "a", "x", 1), (2, "a", "y", 9), (3, "b", "x", 3), (4, None, "x", 8), (6, "d", None, 6)]
-    outcome, rows, found = drill(pair_of(source, target, ["k"], schema), ["g", "h"], 10)
-    assert outcome == {(1, '{"g":"b"}'): "PASS", (2, '{"g":"a","h":"x"}'): "PASS"}
+    outcome, rows, found = drill(pair_of(source, target, ["k"], schema), ["g", "h"])
+    assert outcome == {
+        (1, '{"g":"b"}'): "PASS",
+        (2, '{"g":"a","h":"x"}'): "PASS",
+        (2, '{"g":"a","h":"y"}'): "FAIL",
+        (2, '{"g":null,"h":"x"}'): "FAIL",
+        (2, '{"g":"c","h":"x"}'): "FAIL",
+        (2, '{"g":"d","h":null}'): "FAIL",
+    }
     assert rows == {
         ('{"g":"a","h":"y"}', '{"k":2}'): "HASH_MISMATCH",
         ('{"g":null,"h":"x"}', '{"k":4}'): "HASH_MISMATCH",
@@ -121,36 +127,35 @@ def test_drilldown(pair_of):
     assert {(r["column_name"], r["metric"]) for r in metrics} >= {("*", "COUNT"), ("v", "SUM")}
 
 
-def test_drilldown_reports_large_groups_at_the_last_level_only(pair_of):
+def test_drilldown_matches_failing_groups_of_any_size(pair_of):
+    schema = "k int, g string, v int"
+    source = [(i, "a" if i % 2 else "b", 1) for i in range(100)]
+    target = [(i, g, 2 if i == 40 else v) for i, g, v in source]
+    outcome, rows, _ = drill(pair_of(source, target, ["k"], schema), ["g"])
+    assert outcome == {(1, '{"g":"a"}'): "PASS", (1, '{"g":"b"}'): "FAIL"}
+    assert list(rows) == [('{"g":"b"}', '{"k":40}')]
+
+
+def test_drilldown_without_keys_reports_failing_groups(pair_of):
+    outcome, rows, found = drill(pair_of([("a", 1)], [("a", 2)], [], "g string, v int"), ["g"])
+    assert outcome == {(1, '{"g":"a"}'): "FAIL"} and rows is None
+    assert found.metrics.filter("status = 'FAIL'").count() > 0
+
+
+def test_a_group_that_differs_in_a_repeated_row_only_is_reported(pair_of):
     schema = "k int, g string, v int"
-    source = [(i, "a", 1) for i in range(5)] + [(9, "b", 1)]
-    target = [(i, "a", 2) for i in range(5)] + [(9, "b", 2)]
-    pair = pair_of(source, target, ["k"], schema)
-    outcome, rows, _ = drill(pair, ["g"], 4)
-    assert outcome == {(1, '{"g":"a"}'): OVERSIZED}
-    assert list(rows) == [('{"g":"b"}', '{"k":9}')]
-    outcome, rows, _ = drill(pair, ["g"], 5)
-    assert outcome == {} and len(rows) == 6
-    # The limit does not hold for the first of two levels.
-    outcome, rows, _ = drill(pair, ["g", "v"], 5)
-    assert outcome == {} and len(rows) == 12
-    outcome, rows, _ = drill(pair, ["g", "v"], 4)
-    assert set(outcome) == {(2, '{"g":"a","v":1}'), (2, '{"g":"a","v":2}')} and len(rows) == 2
-
-
-def test_drilldown_without_keys_has_no_rows(pair_of):
-    outcome, rows, _ = drill(pair_of([("a", 1)], [("a", 2)], [], "g string, v int"), ["g"], 5)
-    assert outcome == {} and rows is None
+    pair = pair_of([(1, "a", 1), (1, "a", 2)], [(1, "a", 1), (1, "a", 3)], ["k"], schema)
+    assert drill(pair, ["g"])[0] == {(1, '{"g":"a"}'): "FAIL"}
 
 
 def test_drilldown_finds_what_aggregates_can_show(derived):
-    """With nothing oversized, only a row that returned under another key goes unseen."""
+    """Only a row that returned under another key goes unseen."""
     pair = tc.align(derived("customer"))
-    found = tc.grouped_drilldown(pair, ["c_nationkey", "c_mktsegment"], 10**9)
+    found = tc.grouped_drilldown(pair, ["c_nationkey", "c_mktsegment"])
     keys = {json.loads(r["primary_key_value"])["c_custkey"] for r in found.rows.collect()}
     assert {r["c_custkey"] for r in tc.row_diff(pair).collect()} - keys == {0, 1_000_000}
 
 
 def test_unknown_group_column(derived):
     with pytest.raises(ValueError, match="shared"):
-        tc.grouped_drilldown(tc.align(derived("customer")), ["nope"], 5)
+        tc.grouped_drilldown(tc.align(derived("customer")), ["nope"])
