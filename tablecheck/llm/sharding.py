@@ -48,14 +48,15 @@ def new_map(sizes: DataFrame, shards: int) -> DataFrame:
 def rebalanced(mapped: DataFrame, sizes: DataFrame, shards: int, tolerance: float = 0.01) -> DataFrame:
     """The next version: slots stay where they are unless their shard exceeds its share.
 
-    In each shard slots are kept from the heaviest on while they fit into the even share plus the
-    tolerance; those left over, and those of shards that are gone, are given out anew.
+    In each shard slots are kept from the lightest on while they fit into the even share plus the
+    tolerance, so the few heaviest leave; these, and those of shards that are gone, are given out
+    anew.
     """
     version = mapped.agg(F.max("version")).first()[0]
     now = mapped.where(F.col("version") == version).select("virtual_slot", "shard")
     joined = sizes.join(now, "virtual_slot", "left")
     share = sizes.agg(F.sum("size")).first()[0] / shards * (1 + tolerance)
-    held = Window.partitionBy("shard").orderBy(F.desc("size"), "virtual_slot")
+    held = Window.partitionBy("shard").orderBy("size", "virtual_slot")
     stays = (F.sum("size").over(held) <= share) & (F.col("shard") < shards)
     kept = joined.withColumn("shard", F.when(stays, F.col("shard")))
     return _assign(kept, shards, version + 1)
