@@ -174,20 +174,11 @@ class Encoder:
         words = missing(self.words, (w for found in [*new.values(), *(p for p in pieces if p is not None)] for w in found))
         ids = dict(zip(words, self.encode_words([w.encode() for w in words])))
         for word, found in ids.items():
-            if len(word) <= 64:
-                if len(self.words) >= self.words.most:
-                    self.words.clear()
-                self.words[word] = found
-        of = lambda w: ids[w] if w in ids else self.words[w]
-        fresh = {c: b"".join(map(of, found)) for c, found in new.items()}
-        out = [
-            b"".join([fresh[x] if x in fresh else self.chunks[x] for x in c]) if c is not None else b"".join(map(of, p))
-            for c, p in zip(cut, pieces)
-        ]
-        if len(self.chunks) + len(fresh) > self.chunks.most:
-            self.chunks.clear()
-        self.chunks.update((c, f) for c, f in fresh.items() if len(c) <= 64)
-        return out
+            self.words.keep(word, found)
+        word, chunk = self.words.__getitem__, self.chunks.__getitem__
+        for c, found in new.items():
+            self.chunks.keep(c, b"".join(map(word, found)))
+        return [b"".join(map(chunk, c)) if c is not None else b"".join(map(word, p)) for c, p in zip(cut, pieces)]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -4,23 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-#: Chunks that a task remembers at most; beyond, it starts anew.  Bounds memory, drops nothing.
-REMEMBERED = 400_000
+#: Chunks that a process remembers at most.  Bounds memory, drops nothing.
+REMEMBERED = 600_000
 
 
 class Memory(dict):
-    """What ``work`` gives for a chunk, remembered for up to ``most`` chunks."""
+    """What ``work`` gives for a chunk, remembered for up to ``most`` chunks in two generations.
+
+    When the young one is full it becomes the old one, and the old one goes; what is asked for again
+    returns to the young one, so frequent chunks stay.
+    """
 
     def __init__(self, work: Callable, most: int = REMEMBERED):
         super().__init__()
-        self.work, self.most = work, most
+        self.work, self.most, self.old = work, most, {}
 
-    def __missing__(self, chunk):
-        found = self.work(chunk)
+    def keep(self, chunk, found) -> None:
         if len(chunk) <= 64:
-            if len(self) >= self.most:
+            if len(self) >= self.most // 2:
+                self.old = dict(self)
                 self.clear()
             self[chunk] = found
+
+    def __missing__(self, chunk):
+        found = self.old.get(chunk)
+        if found is None:
+            found = self.work(chunk)
+        self.keep(chunk, found)
         return found
 
 
@@ -40,6 +50,6 @@ def spaced(text: str) -> list[str] | None:
     return [first, *map(" ".__add__, rest)] if first else [*map(" ".__add__, rest)]
 
 
-def missing(memory: dict, chunks: Iterable[str]) -> list[str]:
+def missing(memory: Memory, chunks: Iterable[str]) -> list[str]:
     """The chunks not yet remembered, each once, in a fixed order."""
-    return [x for x in dict.fromkeys(chunks) if x not in memory]
+    return [x for x in dict.fromkeys(chunks) if x not in memory and x not in memory.old]

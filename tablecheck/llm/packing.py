@@ -59,16 +59,11 @@ class WordEncoder:
         cut = [None if "<|" in t or any(c in t for c in _SEPARATORS) else t.split() for t in texts]
         new = missing(self.words, (w for words in cut if words is not None for w in words))
         fresh = dict(zip(new, self._encode(new))) if new else {}
+        for word, ids in fresh.items():
+            self.words.keep(word, ids)
         whole = iter(self._encode([t for t, words in zip(texts, cut) if words is None]))
-        get = self.words.get
-        out = [
-            next(whole) if words is None else b"".join([fresh[w] if w in fresh else get(w) for w in words])
-            for words in cut
-        ]
-        if len(self.words) + len(fresh) > self.words.most:
-            self.words.clear()
-        self.words.update((w, x) for w, x in fresh.items() if len(w) <= 64)
-        return out
+        get = self.words.__getitem__
+        return [next(whole) if words is None else b"".join(map(get, words)) for words in cut]
 
 
 def _encoded(df: DataFrame, path: str, end_id: int, key: str, text: str, source: str) -> DataFrame:
