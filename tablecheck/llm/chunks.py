@@ -26,6 +26,12 @@ class Memory(dict):
                 self.clear()
             self[chunk] = found
 
+    def keep_all(self, found: dict) -> None:
+        if len(self) + len(found) > self.most // 2:
+            self.old = dict(self)
+            self.clear()
+        self.update(found)
+
     def __missing__(self, chunk):
         found = self.old.get(chunk)
         if found is None:
@@ -51,5 +57,5 @@ def spaced(text: str) -> list[str] | None:
 
 
 def missing(memory: Memory, chunks: Iterable[str]) -> list[str]:
-    """The chunks not yet remembered, each once, in a fixed order."""
-    return [x for x in dict.fromkeys(chunks) if x not in memory and x not in memory.old]
+    """The chunks not yet remembered, each once, in any order."""
+    return list(set(chunks).difference(memory, memory.old))

@@ -24,9 +24,11 @@ import math
 import os
 import zlib
 from collections.abc import Iterator, Mapping
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,8 +42,16 @@ from tablecheck.llm.scratch import materialise
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
+#: Fixed value: the vocabulary's pattern of the pieces that are encoded apart, on lower-case text.
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class WordEncoder:
-    """Ids of texts under a vocabulary that drops white space, so that words are encoded apart."""
+    """Ids of texts under a vocabulary that drops white space, so that words are encoded apart.
+
+    Words of Latin letters are cut further, where the vocabulary's pattern cuts them; what is new
+    goes to the library many at once, a special token between each two.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,18 +59,49 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.words = Memory(lambda w: self._encode([w])[0])
+        self.mark, token = next((i, x) for i, x in self.tokenizer.get_added_tokens_decoder().items() if x.special)
+        self.between = token.content
+        self.cut = regex.compile(_PIECES).findall
+        self.pieces = Memory(lambda p: self._encode([p])[0])
+        self.words = Memory(self._word)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.type).tobytes() for x in found]
 
+    def _apart(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece; none holds the text of a special token."""
+        out: list[bytes] = []
+        for start in range(0, len(pieces), 512):
+            joined = self.tokenizer.encode_batch_fast([self.between.join(pieces[start : start + 512])], add_special_tokens=False)
+            ids = np.array(joined[0].ids, self.type)
+            data, width = ids.tobytes(), ids.itemsize
+            marks = (np.flatnonzero(ids == self.mark) * width).tolist()
+            out.extend(data[x:y] for x, y in zip([0, *(m + width for m in marks)], [*marks, len(data)]))
+        return out
+
+    def _pieces_of(self, word: str) -> list[str]:
+        """Beyond Latin-1 letters, normal forms may join characters: such words stay whole."""
+        if not word.isascii() and max(word) >= "\u0100":
+            return [word]
+        return [word.lower()] if word.isalpha() else self.cut(word.lower())
+
+    def _word(self, word: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self._pieces_of(word)))
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of new words; very long ones are encoded where they are asked for."""
+        pieces = [self._pieces_of(w) for w in words]
+        new = [p for p in missing(self.pieces, chain.from_iterable(pieces)) if len(p) <= 64]
+        self.pieces.keep_all(dict(zip(new, self._apart(new))))
+        get = self.pieces.__getitem__
+        ids = [get(own[0]) if len(own) == 1 else b"".join(map(get, own)) for own in pieces]
+        self.words.keep_all(dict(zip(words, ids)))
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         cut = [None if "<|" in t or any(c in t for c in _SEPARATORS) else t.split() for t in texts]
-        new = missing(self.words, (w for words in cut if words is not None for w in words))
-        fresh = dict(zip(new, self._encode(new))) if new else {}
-        for word, ids in fresh.items():
-            self.words.keep(word, ids)
+        new = missing(self.words, chain.from_iterable(words for words in cut if words is not None))
+        self._learn([w for w in new if len(w) <= 64])
         whole = iter(self._encode([t for t, words in zip(texts, cut) if words is None]))
         get = self.words.__getitem__
         return [next(whole) if words is None else b"".join(map(get, words)) for words in cut]

@@ -292,3 +292,13 @@ def test_pipeline_stages(spark):
 def test_queries_are_registered():
     assert [f"op{n}" for n in range(1, 11)] == sorted((k.split("_")[0] for k in registry.queries() if re.match(r"op\d+_", k)), key=lambda x: int(x[2:]))
     assert "pipeline" in registry.queries()
+
+
+def test_words_are_encoded_as_the_library_does():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library = packing.WordEncoder(path), Tokenizer.from_file(path)
+    random.seed(6)
+    parts = ["a", "Th", "'S", "'re", "'", "''", "#", "<", "|", ">", "12", "½", "é", "É", "e\u0301", "ß", "µ", "ª", "İ", "é", "漢", "Σ", "ς", "\xa0", "\x85", "\xad", "\x1f", "\n", " ", " ", "<|endoftext|>", "Hello", "y" * 70]
+    texts = ["".join(random.choices(parts, k=random.randint(0, 12))) for _ in range(6000)]
+    expected = [np.array(library.encode(t, add_special_tokens=False).ids, encoder.type).tobytes() for t in texts]
+    assert encoder.encode_all(texts) == expected and encoder.encode_all(texts[:100]) == expected[:100]
