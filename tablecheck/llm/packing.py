@@ -1,17 +1,18 @@
 """Packing of documents into windows with controlled proportions of their sources.
 
-Each source is a queue of documents.  Deficit round-robin serves them: in every round a source is
-given a quantum in proportion to its weight, it sends documents while its account covers them, and
-what it may not yet send stays on the account.  Queues are full from the start, so the round of a
-document follows from the tokens of its queue up to its end alone: the first round by whose end the
-account has reached them.  That makes the schedule a matter of prefix sums: the tokens before a
-document in its queue give its round, the tokens before it in the order (round, source, place) give
-the window it lies in.  Accounts so carry over windows and partitions without any task seeing more
-than its share, and quanta sum to one window, so every window has the target proportions but for
-documents in progress.  Documents are cut only where a window ends; only the last window is padded.
-
-Prefix sums have two levels (sums of blocks, then rows within a block), so no queue and no round
-comes together in one task.  Texts are encoded once; ids lie in the shared folder until they are cut.
+Each source is a queue of documents.  Weighted round-robin serves the tokens of the queues: in every
+round each source sends its quantum of tokens, in proportion to its weight, from as many documents as
+that takes; long documents go on in the next round.  Quanta of a round sum to one window.  What
+rounding leaves over is carried: up to the end of any round a source has sent its exact share to
+within half a token.  Where a queue ends, its share goes to the queues that still have tokens.  So
+every window has the target proportions to within some tokens a source, whatever the documents'
+lengths.  Only the last window is padded.
+
+The schedule has a closed form in the tokens of each queue: tokens sent by all sources before a round
+are sums over the sources, and the round of a token follows from its place in its queue.  So each
+task places its own documents, no queue and no round comes together anywhere, and ids are read once.
+Driver and tasks hold one number for each source.  The place of a document in its queue are tokens of
+its queue in earlier parts (one row for each source and part) and in its own part before it.
 
 Defined results: a null text is empty and has the end token only; documents without a source form
 one queue; repeated rows are packed one by one; an empty table has no pieces; other columns are
@@ -20,7 +21,6 @@ ignored.
 
 from __future__ import annotations
 
-import math
 import os
 import zlib
 from collections.abc import Iterator, Mapping
@@ -108,7 +108,7 @@ class WordEncoder:
 
 
 def _encoded(df: DataFrame, path: str, end_id: int, key: str, text: str, source: str) -> DataFrame:
-    """Ids of every document with its place in the rows that its task read."""
+    """Ids of every document, with the tokens of its source in the rows that its task read before it."""
     rows = df.select(
         F.col(f"`{key}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"),
@@ -118,7 +118,7 @@ def _encoded(df: DataFrame, path: str, end_id: int, key: str, text: str, source:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("words", path), lambda: WordEncoder(path))
         end = np.array([end_id], encoder.type).tobytes()
-        part, place, sent = TaskContext.get().partitionId(), 0, {}
+        part, sent = TaskContext.get().partitionId(), {}
         for piece in slices(batches):
             ids = [x + end for x in encoder.encode_all(piece.column(2).to_pylist())]
             counts = [len(x) // len(end) for x in ids]
@@ -130,7 +130,6 @@ def _encoded(df: DataFrame, path: str, end_id: int, key: str, text: str, source:
             yield pa.record_batch(
                 [
                     pa.array([part] * n, pa.int32()),
-                    pa.array(range(place, place + n), pa.int64()),
                     piece.column(0),
                     piece.column(1),
                     pa.array(counts, pa.int64()),
@@ -138,55 +137,116 @@ def _encoded(df: DataFrame, path: str, end_id: int, key: str, text: str, source:
                     pa.array([len(end)] * n, pa.int32()),
                     pa.array(ids, pa.binary()),
                 ],
-                names=["part", "place", "doc_id", "source", "n", "before", "width", "ids"],
+                names=["part", "doc_id", "source", "n", "before", "width", "ids"],
             )
-            place += n
 
     return rows.mapInArrow(
-        run, "part int, place long, doc_id long, source string, n long, before long, width int, ids binary"
+        run, "part int, doc_id long, source string, n long, before long, width int, ids binary"
     )
 
 
-def schedule(documents: DataFrame, window: int, mixture: Mapping[str, float] | None = None) -> DataFrame:
-    """First token of every document in the packed stream: ``part``, ``place`` and ``first``.
+class Schedule:
+    """Which tokens of which queue lie where, for queues of ``tokens`` served by ``weights``.
 
-    ``documents`` has ``part``, ``place``, ``source``, ``n`` (tokens) and ``before`` (tokens of the
-    source in this part before it).  ``mixture`` gives the weight of each source; without it, the
-    weights are the sources' shares of all tokens, so that all queues end together.
+    Up to time v a queue has sent min(tokens, weight * v) tokens, rounded.  Round k ends at the time
+    by which all queues together have sent k windows.
     """
-    parts = documents.groupBy("source", "part").agg(F.sum("n").alias("tokens"))
-    parts = materialise(parts)
-    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("source", "part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("offset"))
-    total = parts.agg(F.sum("tokens")).first()[0] or 0
+
+    def __init__(self, tokens: np.ndarray, weights: np.ndarray, window: int):
+        self.tokens, self.window = tokens.astype(np.int64), window
+        self.weights = weights * (window / weights.sum())
+        ends = self.tokens / self.weights
+        self.times = np.concatenate([[0.0], np.sort(ends)])
+        order = np.argsort(ends)
+        # Rates and exhausted queues at each end; between two of them all is linear.
+        rate = np.concatenate([np.cumsum(self.weights[order][::-1])[::-1], [0.0]])
+        done = np.concatenate([[0.0], np.cumsum(self.tokens[order])])
+        self.sent = done + rate * self.times
+        self.sent[-1] = float(self.tokens.sum())
+        self.rounds = -(-int(self.tokens.sum()) // window)
+
+    def _by(self, queue: np.ndarray, rounds: np.ndarray) -> np.ndarray:
+        """Tokens that a queue has sent before a round."""
+        time = np.interp(rounds * float(self.window), self.sent, self.times)
+        sent = np.minimum(self.tokens[queue], np.floor(self.weights[queue] * time + 0.5).astype(np.int64))
+        return np.where(rounds >= self.rounds, self.tokens[queue], sent)
+
+    def _round(self, queue: np.ndarray, token: np.ndarray) -> np.ndarray:
+        time = (token + 0.5) / self.weights[queue]
+        out = np.ceil(np.interp(time, self.times, self.sent) / self.window).astype(np.int64) - 1
+        out = np.clip(out, 0, max(0, self.rounds - 1))
+        while (late := self._by(queue, out) > token).any():
+            out = out - late
+        while (early := self._by(queue, out + 1) <= token).any():
+            out = out + early
+        return out
+
+    def _first(self, queue: np.ndarray, rounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the stream of what a queue sends in a round, and the tokens it sent before."""
+        different, which = np.unique(rounds, return_inverse=True)
+        every = np.arange(len(self.tokens))
+        first, before = np.empty(len(rounds), np.int64), np.empty(len(rounds), np.int64)
+        rows = max(1, (1 << 20) // max(1, len(every)))
+        order = np.argsort(which, kind="stable")
+        cuts = np.searchsorted(which[order], np.arange(0, len(different) + rows, rows))
+        for k, (x, y) in enumerate(zip(cuts, cuts[1:])):
+            now = different[k * rows : (k + 1) * rows, None]
+            sent, after = self._by(every, now), self._by(every, now + 1)
+            start = sent.sum(axis=1, keepdims=True) + np.cumsum(after - sent, axis=1) - (after - sent)
+            at = which[order[x:y]] - k * rows, queue[order[x:y]]
+            first[order[x:y]], before[order[x:y]] = start[at], sent[at]
+        return first, before
+
+    def pieces(self, queue: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Document, first token, length and place in the stream of every piece, none over a window's end.
+
+        Documents are given by their queue, their place there and their tokens, one at least.
+        """
+        first, last = self._round(queue, start), self._round(queue, start + n - 1)
+        # A queue may send nothing in most rounds: then token by token.
+        by_token = last - first + 1 > n
+        count = np.where(by_token, n, last - first + 1)
+        doc = np.repeat(np.arange(len(n)), count)
+        step = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+        own, begin = queue[doc], start[doc]
+        rounds = first[doc] + step
+        single = by_token[doc]
+        rounds[single] = self._round(own[single], begin[single] + step[single])
+        low = np.where(single, begin + step, np.maximum(begin, self._by(own, rounds)))
+        high = np.where(single, low + 1, np.minimum(begin + n[doc], self._by(own, rounds + 1)))
+        some = high > low
+        doc, own, begin, rounds, low, high = (x[some] for x in (doc, own, begin, rounds, low, high))
+        place, before = self._first(own, rounds)
+        place = place + low - before
+        # What follows on without a gap is one piece.
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (place[1:] != place[:-1] + (high - low)[:-1])
+        at = np.flatnonzero(new)
+        doc, low, place, length = doc[at], (low - begin)[at], place[at], np.add.reduceat(high - low, at)
+        over = (place + length - 1) // self.window - place // self.window + 1
+        piece = np.repeat(np.arange(len(doc)), over)
+        step = np.arange(len(piece)) - np.repeat(np.cumsum(over) - over, over)
+        ends = (place + length)[piece]
+        begin = np.where(step == 0, place[piece], (place[piece] // self.window + step) * self.window)
+        ends = np.minimum(ends, (begin // self.window + 1) * self.window)
+        return doc[piece], low[piece] + begin - place[piece], ends - begin, begin
+
+
+def schedule(parts: DataFrame, window: int, mixture: Mapping[str, float] | None = None) -> tuple[dict[str, int], Schedule | None]:
+    """The number of each source, in order of their names, and the schedule of their queues.
+
+    ``parts`` has ``source`` and ``tokens``.  ``mixture`` gives the weight of each source; without
+    it, the weights are the sources' shares of all tokens, so that all queues end together.
+    """
+    totals = sorted(map(tuple, parts.groupBy("source").agg(F.sum("tokens")).collect()))
+    if not totals:
+        return {}, None
+    tokens = np.array([n for _, n in totals], np.int64)
+    weights = tokens.astype(float)
     if mixture:
-        weight = F.lit(None).cast("double")
-        for name, share in mixture.items():
-            weight = F.when(F.col("source") == name, F.lit(float(share))).otherwise(weight)
-        weight = F.coalesce(weight, F.lit(min(mixture.values()) / 1000)) / sum(mixture.values())
-    else:
-        weight = F.sum("tokens") / F.lit(float(max(total, 1)))
-    quanta = parts.groupBy("source").agg((weight * window).alias("quantum"))
-    rows = (
-        documents.select("part", "place", "source", "n", "before")
-        .join(offsets, ["source", "part"])
-        .join(quanta, "source")
-        .select(
-            "part", "place", "source", "n",
-            (F.col("offset") + F.col("before")).alias("start"),
-            F.ceil((F.col("offset") + F.col("before") + F.col("n")) / F.col("quantum")).alias("round"),
-        )
-    )
-    # As many rounds in a block as there are blocks: neither level outgrows the other.
-    per_block = max(1, math.isqrt(max(0, total) // window))
-    rows = rows.withColumn("block", F.floor(F.col("round") / per_block))
-    blocks = rows.groupBy("block").agg(F.sum("n").alias("tokens"))
-    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("block", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    order = Window.partitionBy("block").orderBy("round", "source", "start", "part", "place")
-    within = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    rows = rows.select("part", "place", "block", within.alias("within"))
-    return rows.join(blocks, "block").select("part", "place", (F.col("base") + F.col("within")).alias("first"))
+        least = min(x for x in mixture.values() if x > 0) / 1000
+        weights = np.array([float(mixture.get(name) or least) for name, _ in totals])
+    return {name: i for i, (name, _) in enumerate(totals)}, Schedule(tokens, weights, window)
 
 
 def pack(
@@ -206,30 +266,33 @@ def pack(
     ``offset`` and, unless switched off, ``ids``.  Every id of every document lies in one piece.
     """
     documents = materialise(_encoded(df, path, end_id, key, text, source), "zstd")
-    places = schedule(documents.drop("ids"), window, mixture)
-    rows = documents.select("part", "place", "doc_id", "width", "ids").join(places.hint("shuffle_hash"), ["part", "place"])
+    parts = materialise(documents.groupBy("source", "part").agg(F.sum("n").alias("tokens")))
+    number, queues = schedule(parts, window, mixture)
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("source", "part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("offset"))
+    rows = documents.join(materialise(offsets), ["source", "part"])
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def make():
         def step(piece: pa.RecordBatch) -> pa.RecordBatch:
-            out = {name: [] for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")}
-            for doc, first, width, data in zip(*(piece.column(i).to_pylist() for i in range(4))):
-                ids = np.frombuffer(data, f"<u{width}").astype("<u4")
-                at = 0
-                while at < len(ids):
-                    sequence, offset = divmod(first + at, window)
-                    cut = ids[at : at + window - offset]
-                    row = (doc, at, len(cut), zlib.crc32(cut.tobytes()), len(ids), sequence, offset, cut.astype(np.int32) if with_ids else None)
-                    for values, value in zip(out.values(), row):
-                        values.append(value)
-                    at += len(cut)
-            columns = [pa.array(values, pa.int64()) for name, values in out.items() if name != "ids"]
-            names = [name for name in out if name != "ids"]
+            queue = np.array([number[x] for x in piece.column(1).to_pylist()], np.int64)
+            start, n = (piece.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3))
+            doc, begin, length, place = queues.pieces(queue, start, n)
+            data = piece.column(5).to_pylist()
+            ids = [np.frombuffer(x, f"<u{width}").astype("<u4") for x, width in zip(data, piece.column(4).to_pylist())]
+            cuts = [ids[d][x : x + k] for d, x, k in zip(doc.tolist(), begin.tolist(), length.tolist())]
+            columns = [
+                piece.column(0).take(pa.array(doc)), pa.array(begin), pa.array(length),
+                pa.array([zlib.crc32(cut) for cut in cuts], pa.int64()),
+                pa.array(n[doc]), pa.array(place // window), pa.array(place % window),
+            ]
             if with_ids:
-                return pa.record_batch([*columns, pa.array(out["ids"], pa.list_(pa.int32()))], names=[*names, "ids"])
+                values = [cut.astype(np.int32) for cut in cuts]
+                return pa.record_batch([*columns, pa.array(values, pa.list_(pa.int32()))], names=[*names, "ids"])
             return pa.record_batch(columns, names=names)
 
         return step
 
-    rows = rows.select("doc_id", "first", "width", "ids")
+    rows = rows.select("doc_id", "source", (F.col("offset") + F.col("before")).alias("first"), "n", "width", "ids")
     return map_slices(rows, make, schema + (", ids array<int>" if with_ids else ""))

@@ -114,6 +114,42 @@ def test_packing_keeps_proportions(spark):
     assert all(abs(r.x - 0.25) <= 0.06 for r in share[:-1])
 
 
+def test_packing_mixes_documents_longer_than_a_window(spark):
+    rows = [(i, "word " * (1999 if i % 3 else 9), None, f"s{i % 5}", None, "", 1, "") for i in range(300)]
+    df = spark.createDataFrame(rows, DOCS).repartition(7)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokens = Counter()
+    for i, t, *_ in rows:
+        tokens[i % 5] += len(t.split()) + 1
+    goal = {s: 500 * n / sum(tokens.values()) for s, n in tokens.items()}
+    for mixture, goal in ((None, goal), ({"s0": 0.5, "s1": 0.3, "s2": 0.2}, {0: 250, 1: 150, 2: 100, 3: 0, 4: 0})):
+        pieces = packing.pack(df, path, window=500, mixture=mixture).collect()
+        assert Counter((p.doc_id, p.start + k) for p in pieces for k in range(p.length)) == Counter((i, k) for i, t, *_ in rows for k in range(len(t.split()) + 1))
+        assert {(p.sequence_id, p.offset + k) for p in pieces for k in range(p.length)} == {divmod(k, 500) for k in range(sum(tokens.values()))}
+        held = Counter()
+        for p in pieces:
+            held[p.sequence_id, p.doc_id % 5] += p.length
+        # Until the first queue of the mixture ends, in all windows but the last without one.
+        whole = int(min(tokens[s] / x for s, x in goal.items() if x))
+        assert whole > 10 and all(abs(held[w, s] - x) <= 6 for w in range(whole - 1) for s, x in goal.items())
+
+
+def test_schedule_places_every_token_once():
+    rng = np.random.default_rng(7)
+    for window in (1, 7, 64):
+        for _ in range(40):
+            n = rng.integers(1, 60, rng.integers(1, 30))
+            queue = rng.integers(0, 1 + rng.integers(0, 12), len(n))
+            queue = np.unique(queue, return_inverse=True)[1]
+            tokens = np.bincount(queue, n).astype(np.int64)
+            start = np.array([n[:i][queue[:i] == queue[i]].sum() for i in range(len(n))], np.int64)
+            weights = tokens.astype(float) if rng.random() < 0.5 else rng.choice([1e-5, 0.1, 1.0, 9.0], len(tokens))
+            doc, begin, length, place = packing.Schedule(tokens, weights, window).pieces(queue, start, n)
+            assert sorted((d, b + k) for d, b, x in zip(doc, begin, length) for k in range(x)) == [(d, k) for d in range(len(n)) for k in range(n[d])]
+            assert sorted(p + k for p, x in zip(place, length) for k in range(x)) == list(range(n.sum()))
+            assert (place // window == (place + length - 1) // window).all()
+
+
 def test_sharding(spark, docs, empty):
     rows = sharding.shard(docs, 3).collect()
     assert Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in ODD)
