@@ -7,8 +7,9 @@ labelled spans: texts of a bounded sample of documents with the spans that the r
 sentences with other written forms of the same data (phones without a plus, dotted cards, bracketed
 dots, spaced emails) as well as look-alikes that are none (versions, hexadecimal keys, dates).
 
-Every span holds a digit or an at sign, so only stretches around these are scored; elsewhere the
-decoder could put no span.  A stretch is cut into overlapping windows; the scores of a character are
+Every span that counts holds a digit or an at sign, so stretches around these are scored: some
+characters to each side and on to the ends of words.  A stretch whose first or last character is in a
+span is made wider and decoded again, until none is, so a span may be of any length.  A stretch is cut into overlapping windows; the scores of a character are
 averaged over its windows, weighted towards their middles, and one Viterbi path is decoded over the
 whole stretch, so no span is cut or counted twice where windows meet.  A span of the model is added
 if it overlaps no span of the rules and the digits or parts that its kind demands are there.
@@ -44,6 +45,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _EVIDENCE = re.compile(r"[0-9@]+")
+_SPACE = re.compile(r"\s")
 _DIGIT = re.compile(r"[0-9]")
 
 
@@ -223,8 +225,12 @@ class Tagger:
         start = self.parts["start"] + np.where(np.arange(TAGS) % 2 == 0, _FORBIDDEN, 0) * (np.arange(TAGS) > 0)
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(scores)
         order = sorted(range(len(scores)), key=lambda i: len(scores[i]))
-        for at in range(0, len(order), 256):
+        at = 0
+        while at < len(order):
+            # Long ones in smaller groups: their scores lie side by side.
             some = order[at : at + 256]
+            some = some[: max(1, (1 << 20) // len(scores[some[-1]]))]
+            at += len(some)
             sizes = np.array([len(scores[i]) for i in some])
             most = int(sizes.max())
             emit = np.zeros((most, len(some), TAGS))
@@ -248,29 +254,51 @@ class Tagger:
         return out
 
     def stretches(self, texts: list[str]) -> list[tuple[int, int, int]]:
-        """Text, start and end of every part around digits and at signs; parts do not overlap."""
+        """Text, start and end of every part around digits and at signs; parts do not overlap and cut no word."""
         out = []
         for i, text in enumerate(texts):
             start = end = -1
             for m in _EVIDENCE.finditer(text):
-                if end < 0 or m.start() - CONTEXT > end:
+                if m.end() + CONTEXT <= end:
+                    continue
+                low = _word_start(text, m.start() - CONTEXT, max(0, end))
+                if end < 0 or low > end:
                     if end >= 0:
                         out.append((i, start, end))
-                    start = max(0, m.start() - CONTEXT)
-                end = min(len(text), m.end() + CONTEXT)
+                    start = low
+                end = _word_end(text, m.end() + CONTEXT)
             if end >= 0:
                 out.append((i, start, end))
         return out
 
     def find(self, texts: list[str]) -> list[list[Span]]:
         """Spans of the model in each text."""
+        done: list[list[tuple[int, int, list[Span] | None]]] = [[] for _ in texts]
         parts = self.stretches(texts)
-        found: list[list[Span]] = [[] for _ in texts]
-        for at in range(0, len(parts), 2048):
-            self._find(texts, parts[at : at + 2048], found)
-        return found
-
-    def _find(self, texts: list[str], parts: list[tuple[int, int, int]], found: list[list[Span]]) -> None:
+        while parts:
+            some, held = [], 0
+            for part in parts:
+                some.append(part)
+                held += part[2] - part[1]
+                if len(some) == 2048 or held >= 1 << 20:
+                    self._find(texts, some, done)
+                    some, held = [], 0
+            if some:
+                self._find(texts, some, done)
+            again = []
+            for i in dict.fromkeys(i for i, _, _ in parts):
+                merged: list[tuple[int, int, list[Span] | None]] = []
+                for a, b, spans in sorted((_wider(texts[i], *part) for part in done[i]), key=lambda x: x[:2]):
+                    if merged and a <= merged[-1][1]:
+                        merged[-1] = (merged[-1][0], max(b, merged[-1][1]), None)
+                    else:
+                        merged.append((a, b, spans))
+                done[i] = [part for part in merged if part[2] is not None]
+                again += [(i, a, b) for a, b, spans in merged if spans is None]
+            parts = again
+        return [sorted(s for _, _, spans in of_text for s in spans or ()) for of_text in done]
+
+    def _find(self, texts: list[str], parts: list[tuple[int, int, int]], done: list) -> None:
         windows, places = [], []
         symbols = [characters(texts[i][a:b]) for i, a, b in parts]
         for p, s in enumerate(symbols):
@@ -286,12 +314,35 @@ class Tagger:
                 n = min(WINDOW, len(symbols[p]) - begin)
                 sums[p][begin : begin + n] += scores[:n, k] * middle[:n, None]
                 weights[p][begin : begin + n] += middle[:n]
-        for (i, a, _), tags in zip(parts, self.paths([s / w[:, None] for s, w in zip(sums, weights)])):
+        for (i, a, b), tags in zip(parts, self.paths([s / w[:, None] for s, w in zip(sums, weights)])):
+            spans = []
             for t in np.flatnonzero(tags % 2 == 1).tolist():
                 end = t + 1
                 while end < len(tags) and tags[end] == tags[t] + 1:
                     end += 1
-                found[i].append((a + t, a + end, KINDS[tags[t] // 2]))
+                spans.append((a + t, a + end, KINDS[tags[t] // 2]))
+            done[i].append((a, b, spans))
+
+
+def _word_start(text: str, at: int, least: int) -> int:
+    while at > least and not text[at - 1].isspace():
+        at -= 1
+    return max(0, at)
+
+
+def _word_end(text: str, at: int) -> int:
+    found = _SPACE.search(text, at)
+    return found.start() if found else len(text)
+
+
+def _wider(text: str, start: int, end: int, spans: list[Span]) -> tuple[int, int, list[Span] | None]:
+    """The stretch, or a wider one without spans where a span may go on beyond it."""
+    before = bool(spans) and 0 < start == spans[0][0]
+    after = bool(spans) and spans[-1][1] == end < len(text)
+    if not before and not after:
+        return start, end, spans
+    more = max(WINDOW, end - start)
+    return _word_start(text, start - more, 0) if before else start, _word_end(text, end + more) if after else end, None
 
 
 def _plausible(kind: str, text: str) -> bool:
@@ -339,8 +390,11 @@ def made_examples(rng: np.random.Generator, n: int) -> list[tuple[str, list[Span
         a, b, c = digit(3), digit(3), digit(4)
         return pick(f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+{digit(2)} {a} {b} {c}", f"{a}.{b}.{c}", f"00{digit(2)} {a} {b}{c}")
 
+    def label() -> str:
+        return word() if rng.random() < 0.7 else "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(9, 45)))
+
     def email() -> str:
-        return f"{word()}{pick('.', '_', '')}{pick(word(), digit(2))}{pick('@', '@', ' @ ')}{word()}{pick('', digit(1))}.{pick('com', 'org', 'example.net')}"
+        return f"{label()}{pick('.', '_', '')}{pick(word(), digit(2), '')}{pick('@', '@', ' @ ')}{label()}{pick('', digit(1))}.{pick('com', 'org', 'example.net', 'example.com')}"
 
     def alike() -> str:
         key = "".join("0123456789abcdef"[c] for c in rng.integers(0, 16, 40))

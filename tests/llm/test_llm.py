@@ -289,6 +289,43 @@ def test_tagger_and_spans(docs, empty):
     assert personal_data.spans(empty, tagger).count() == 0
 
 
+class Letters(personal_data.Tagger):
+    """Takes every run of some characters for an email."""
+
+    def emissions(self, symbols):
+        scores = np.zeros((*symbols.shape, personal_data.TAGS), np.float32)
+        inside = np.isin(symbols, [ord(c) for c in "qz@. 7"])
+        scores[..., 0] = np.where(inside, 0, 10)
+        scores[..., 1], scores[..., 2] = np.where(inside, 5, 0), np.where(inside, 10, 0)
+        return scores, ()
+
+
+def test_spans_of_any_length():
+    tagger = Letters({k: np.zeros_like(v) for k, v in personal_data.Tagger.new(np.random.default_rng(1)).parts.items()})
+    texts, expected = [], []
+    for n in (1, 19, 20, 21, 22, 31, 32, 33, 63, 64, 65, 200, 3000):
+        for item in (f"{'q' * n} @ z.z", f"q @ {'z' * n}.z", f"{'q' * n} @ {'z' * n}.q.z", "q q " * n + "@ z.z", "q @" + " z" * n + ".z", f"q 7 {'q ' * n}@ z.z"):
+            for left in ("", "x", "x " * 50 + "x", "x q@z.zx" * 3):
+                text = f"{left}{item}x z.z x" + " x" * 60 + "7x"
+                texts.append(text)
+                runs = [(m.start(), m.end(), "email") for m in re.finditer("[qz@. 7]+", text)]
+                expected.append([s for s in runs if s[1] - s[0] > 1 and "@" in text[s[0] : s[1]]])
+    found = [[s for s in spans if "@" in text[s[0] : s[1]]] for text, spans in zip(texts, tagger.find(texts))]
+    assert found == expected and tagger.find(["x" * 500, ""]) == [[], []]
+
+
+def test_long_spaced_addresses_are_masked_whole():
+    tagger = personal_data.train(personal_data.made_examples(np.random.default_rng(17), 1500))
+    random.seed(8)
+    word = lambda n: "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    right = 0
+    for n in range(40):
+        item = f"{word(5)} @ {word(21 + n % 20)}.example.com" if n % 2 else f"{word(21 + n % 20)} @ {word(6)}.com"
+        text = f"Ask {item}, or come again."
+        right += personal_data.mask(text, personal_data.all_spans([text], tagger)[1][0]) == "Ask [EMAIL], or come again."
+    assert right >= 28
+
+
 def test_page_text(spark):
     body = "".join(f"<p>Sentence {k} &amp; more of the\n story is told here at length.</p>" for k in range(6))
     page = f'<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="ad">Buy now</div><article><h1>Head</h1>{body}<br></article><footer>&copy; site</footer>'
