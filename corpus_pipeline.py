@@ -28,9 +28,16 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of smallest id."""
-    kept = near.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """One row of each group of near copies: the one of smallest id, rows without an id last.
+
+    Rows are told apart by a number of their own, which is written before it is used, so that rows
+    that repeat an id and rows without one are compared like all others.
+    """
+    rows = materialise(docs.withColumn("_row_id", F.monotonically_increasing_id()), "zstd")
+    groups = near.near_duplicates(rows, key="_row_id").select(F.col("doc_id").alias("_row_id"), F.col("component_id").alias("_group"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_row_id"))
+    kept = rows.select("_row_id", "doc_id").join(groups, "_row_id").groupBy("_group").agg(first.alias("first"))
+    return rows.join(kept.select("first._row_id"), "_row_id", "left_semi").select(docs.columns)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

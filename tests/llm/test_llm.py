@@ -362,6 +362,32 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
 
 
+def test_pipeline_leaves_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    random.seed(9)
+    rows = []
+    for group in range(12):
+        base = [f"w{random.randrange(10**6)}" for _ in range(60)]
+        other = list(base)
+        other[30] = f"z{group}"
+        ids = random.sample(range(1000 * group, 1000 * group + 900), 3)
+        rows += [(ids[0], " ".join(base))] * 4 + [(ids[1], " ".join(other))] * 2 + [(None, " ".join(base))] * 3
+        # One id with two texts, of which one is a copy of another row's.
+        rows += [(ids[1], f"own text of this group {group} that nothing else is like"), (ids[2], " ".join(base[:1] + other[1:]))]
+        rows += [(None, f"a text of group {group} twice without any id at all")] * 2
+    random.shuffle(rows)
+    group_of = jaccard_components([(k, t) for k, (_, t) in enumerate(rows)], 5)
+    best = {}
+    for k, (i, t) in enumerate(rows):
+        order = (i is None, i or 0)
+        best[group_of[k]] = min(best.get(group_of[k], (order, i)), (order, i), key=lambda x: x[0])
+    docs = spark.createDataFrame([(i, t, None, None, None, "", 1, "") for i, t in rows], DOCS).repartition(5)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    assert Counter(r.doc_id for r in got.collect()) == Counter(i for _, i in best.values()) and len(best) == 36
+
+
 def test_queries_are_registered():
     assert [f"op{n}" for n in range(1, 11)] == sorted((k.split("_")[0] for k in registry.queries() if re.match(r"op\d+_", k)), key=lambda x: int(x[2:]))
     assert "pipeline" in registry.queries()
