@@ -33,14 +33,18 @@ from tablecheck.llm.chunks import Memory
 #: Elements that stand within a line, have no content, or hold no markup.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br button cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
-    "samp small span strike strong sub sup time tt u var wbr".split()
+    "samp small span strike strong sub sup time tt u var wbr "
+    "annotation annotation-xml math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 #: An open element that a new one of the same kind ends.
 ENDS_ITSELF = frozenset("p li dt dd tr td th option".split())
 #: Raw elements and others whose text is never shown as part of a page.
-HIDDEN = frozenset("script style textarea title iframe noembed noframes xmp head template select option svg math object".split())
+HIDDEN = frozenset("script style textarea title iframe noembed noframes xmp head template select option svg object annotation annotation-xml".split())
+#: Elements that leave an open head open; any other ends it, and so does text.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""",
@@ -74,7 +78,14 @@ def leaf_blocks(page: str) -> list[Block]:
             texts.clear()
             linked[0] = 0
 
+    def end_head() -> None:
+        names = [tag for tag, _ in stack]
+        if "head" in names and not set(names[names.index("head") :]) - {"head", "noscript"}:
+            del stack[names.index("head") :]
+
     def add(raw: str) -> None:
+        if raw.strip(" \t\n\f\r"):
+            end_head()
         if raw and not any(tag in HIDDEN for tag, _ in stack):
             text = entities.unescape(raw) if "&" in raw else raw
             texts.append(text)
@@ -102,6 +113,10 @@ def leaf_blocks(page: str) -> list[Block]:
                 if name in INLINE and stack[i][0] not in INLINE:
                     break
             continue
+        if name == "head" and any(tag != "html" for tag, _ in stack):
+            continue  # a second one, or one within the body, is none
+        if name not in IN_HEAD:
+            end_head()
         if name == "br":
             texts.append(" ")
         if name not in INLINE:

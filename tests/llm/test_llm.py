@@ -338,6 +338,15 @@ def test_page_text(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+def test_pages_that_leave_the_end_of_the_head_out():
+    texts = lambda page: [b.text for b in html_text.leaf_blocks(page)]
+    for head in ("<head><title>T</title><meta charset=x>", "<html><head>\n<script>a</script><head>", "<head><noscript><link></noscript>", "<head><template><p>t</p></template>", "<head><title>T</title></head>"):
+        for body in ("<body><p>Text</p>", "<p>Text</p>", "Text", "<style>s</style>Text", "<body><head><p>Text</p>"):
+            assert texts(head + body) == ["Text"], head + body
+    assert texts("<head><title>T</title><noscript>Text</noscript><p>more") == ["Text", "more"]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> hold.</p>") == ["Let x=2 hold."]
+
+
 def test_passage_quality_on_held_out_labels(spark, docs, empty):
     documents, labels = (spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
     model = passage_quality.trained(documents, labels)
