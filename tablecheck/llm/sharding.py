@@ -1,6 +1,7 @@
 """Shards of near equal size through a fixed number of virtual slots.
 
-A record's slot is a hash of its key and never changes.  The bytes of all slots are summed, and a
+A record's slot is a hash of the whole record (key, size, check sum, and the number of the copy among
+equal ones) and never changes, so rows that share a key spread over all slots.  The bytes of all slots are summed, and a
 table maps slots to shards: the heaviest slot goes first, each to the lightest shard.  The map has a
 version; when data or the number of shards change, an edited copy with the next version is written,
 which moves as few slots as the new balance needs.  Only the map moves records.
@@ -9,7 +10,7 @@ Everything is DataFrame and SQL functions.  The map has as many rows as there ar
 number, so folding over it in one row is bounded whatever the table holds.
 
 Defined results: a null text has no bytes, its check sum is that of no bytes; records without a key
-share a slot; repeated rows are sharded one by one; an empty table has no rows and all slots of its
+are spread like others; repeated rows are sharded one by one; an empty table has no rows and all slots of its
 map are empty; other columns are ignored.
 """
 
@@ -21,9 +22,13 @@ from pyspark.sql import functions as F
 SLOTS = 4096
 
 
-def slot_of(key: Column, slots: int = SLOTS) -> Column:
-    """The virtual slot of a key."""
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+#: Equal records that are written out together.
+COPIES = 4096
+
+
+def slot_of(*record: Column, slots: int = SLOTS) -> Column:
+    """The virtual slot of a record."""
+    return F.pmod(F.xxhash64(*record), F.lit(slots)).cast("int")
 
 
 def slot_sizes(records: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -102,14 +107,24 @@ def read_map(spark: SparkSession, path: str, version: int | None = None) -> Data
 
 
 def records(df: DataFrame, slots: int = SLOTS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key, size in bytes, check sum and virtual slot of every row; texts go no further."""
+    """Key, size in bytes, check sum and virtual slot of every row; texts go no further.
+
+    Equal records are counted and written out again with a number each, in bounded runs that are
+    dealt over the tasks: the number does not depend on how the table is read.
+    """
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    return df.select(
+    own = ["doc_id", "size", "text_crc32"]
+    rows = df.select(
         F.col(f"`{key}`").cast("long").alias("doc_id"),
         (F.octet_length(body) + 8).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
-        slot_of(F.col(f"`{key}`").cast("long"), slots).alias("virtual_slot"),
     )
+    counted = rows.groupBy(*own).agg(F.count("*").alias("n"))
+    runs = counted.select(*own, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES}"))).alias("run"))
+    runs = runs.repartition(*own, "run")
+    low = F.col("run") * COPIES
+    copies = runs.select(*own, F.explode(F.sequence(low, F.least(F.col("n"), low + COPIES) - 1)).alias("copy"))
+    return copies.select(*own, slot_of(F.col("doc_id"), F.col("size"), F.col("text_crc32"), F.col("copy"), slots=slots).alias("virtual_slot"))
 
 
 def place(rows: DataFrame, mapped: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -133,7 +148,7 @@ def shard(df: DataFrame, shards: int, slots: int = SLOTS, key: str = "doc_id", t
     """All records by the law ``bytes``: doc_id, size, text_crc32, shard, slot and virtual_slot."""
     from tablecheck.llm.scratch import materialise
 
-    rows = records(df, slots, key, text)
+    rows = materialise(records(df, slots, key, text))
     sizes = materialise(slot_sizes(rows, slots))
     mapped = materialise(new_map(sizes, shards))
     return place(rows, mapped, sizes)

@@ -167,6 +167,20 @@ def test_sharding(spark, docs, empty):
     assert grown.agg(F.max("version")).first()[0] == 2 and moved < 4096 * 0.1
 
 
+def test_sharding_spreads_rows_that_share_an_id(spark):
+    hot = "case when id % 3 = 0 then 7 when id % 3 = 1 then null else id end as doc_id"
+    many = spark.range(30000).selectExpr(hot, "if(id % 2 = 0, 'same', concat('text', cast(10000 + id as string))) as text")
+    rows = sharding.shard(many, 24).collect()
+    plain = Counter((r.doc_id, len(r.text) + 8, zlib.crc32(r.text.encode())) for r in many.collect())
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == plain
+    load = Counter()
+    for r in rows:
+        load[r.shard] += r["size"]
+    assert len(load) == 24 and max(load.values()) < 1.02 * min(load.values())
+    for shard in load:
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+
+
 def test_quality_rules(docs, empty):
     got = {(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in quality_rules.quality_rules(docs).collect()}
     assert (None, 3, 8, 0, 0, 0, True) in got and (1, 0, 0, 0, 0, 0, True) in got and (6, 3000, 12000, 0, 0, 3000, True) in got
