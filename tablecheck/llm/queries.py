@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablecheck.llm import (
     byte_bpe,
+    divergence,
+    golay_near_duplicates,
     hamming_search,
     html_text,
     near_duplicates,
     packing,
     passage_quality,
     personal_data,
+    phrase_counting,
     quality_rules,
     sharding,
     token_counts,
@@ -71,6 +74,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op11_golay_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golay_near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_counting.collocations(_table(spark, sf_dir, "documents"), max_words=3, threshold=10, limit=2000)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_table(spark, sf_dir, "documents"), min_documents=30, limit=50)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -84,5 +99,8 @@ QUERIES = {
         op8_packing,
         op9_quality_rules,
         op10_near_duplicates,
+        op11_golay_near_duplicates,
+        op12_phrase_counting,
+        op13_source_divergence,
     )
 }

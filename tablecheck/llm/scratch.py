@@ -30,14 +30,15 @@ def drop(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def materialise(df: DataFrame, codec: str = "lz4") -> DataFrame:
+def materialise(df: DataFrame, codec: str = "lz4", partition: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it again, which cuts the lineage: a lost
     executor costs no recomputation of what went before.  Dropped when the driver ends, or
-    earlier with ``release``.
+    earlier with ``release``.  A reader of some values of the column ``partition`` reads their
+    files only.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    df.write.option("compression", codec).partitionBy(*[partition] if partition else []).parquet(path)
     if not _made:
         atexit.register(_clean)
     _made.append((spark, path))
