@@ -3,6 +3,7 @@
 from .functions import key_json, normalise_keys, row_hash
 from .operators.buckets import bucket_fingerprints, differing_buckets, narrowed_row_diff
 from .operators.columns import Aligned, align, common_columns, schema_diff
+from .operators.fingerprint_tree import differing_leaves, stored_tree, tree_row_diff
 from .operators.filters import apply_filter, filter_groups, filter_keys
 from .operators.grouped import GroupedResult, grouped_drilldown
 from .operators.metrics import (
@@ -25,16 +26,16 @@ from .operators.rowdiff import (
     missing_in_target,
     row_diff,
     row_diff_all,
+    row_surplus,
     with_details,
     with_light_details,
 )
 from .operators.sampling import sample_keys, sampled
 from .plans.inventory import compile_plan, lint, lint_inventory, lint_summary, require_clean
-from .plans.run import run_batch, run_plan
+from .plans.run import run_batch, run_plan, validate_batch
 from .plans.validate import (
     run_pair,
     union_results,
-    validate_batch,
     validate_column,
     validate_custom,
     validate_grouped,
@@ -43,7 +44,7 @@ from .plans.validate import (
     validate_schema,
 )
 from .session import configure, materialise
-from .sinks import first_mismatches, read_mismatches, run_history, write_audit, write_results
+from .sinks import first_mismatches, read_mismatches, read_results, run_history, write_audit, write_results
 from .sources import load_inventory, load_jdbc, load_query, load_table, schema_catalog
 from .spec import PairSpec, Run, ValidationResult
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -31,15 +31,15 @@ class Aligned:
     columns: list[str]
     hash_mode: str = "compat"
     hash_algo: str = "sha256"
+    screen: bool = True
+    repeats: str = "smallest"
 
     @property
     def schema(self) -> T.StructType:
         return self.source.schema
 
     def with_rows(self, source: DataFrame, target: DataFrame) -> Aligned:
-        return Aligned(
-            source, target, self.keys, self.columns, self.hash_mode, self.hash_algo
-        )
+        return replace(self, source=source, target=target)
 
 
 def _check_names(df: DataFrame, side: str) -> None:
@@ -85,28 +85,43 @@ def shared_type(spark: SparkSession, left: T.DataType, right: T.DataType) -> T.D
         return T.StringType()
     floating, whole = (T.FloatType, T.DoubleType), (T.IntegralType, T.DecimalType)
     if any(isinstance(a, floating) and isinstance(b, whole) for a, b in ((left, right), (right, left))):
-        # No numeric type holds all values of both: a double holds integers up to 2**53 only.
-        return T.DecimalType(38, 18) if not isinstance(left, T.LongType) and not isinstance(right, T.LongType) else T.DecimalType(38, 10)
+        # No numeric type holds all values of both, so they are compared by ``number_text``.
+        return T.StringType()
     widened = spark.range(0).select(
         F.coalesce(F.lit(None).cast(left), F.lit(None).cast(right)).alias("v")
     )
     return widened.schema["v"].dataType
 
 
+def number_text(value: str, dtype: T.DataType) -> str:
+    """SQL for one text of a number whatever its type: ``100``, ``-0.25``, ``1.0E30``, ``NaN``.
+
+    Whole numbers below 2**63 are written in full, other floating point values in the shortest form
+    that stands for them and for no other; where that fits a decimal it is written without an
+    exponent, as decimals are.  Trailing zeros and the sign of zero are left out.
+    """
+    def plain(text: str) -> str:
+        return f"regexp_replace(regexp_replace({text}, '([.][0-9]*[1-9])0+$|[.]0+$', '$1'), '^-0$', '0')"
+
+    if not isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return plain(f"cast({value} as string)")
+    text = f"cast({value} as string)"
+    whole = f"{value} = floor({value}) and abs({value}) < 9.2E18D"
+    decimals = [f"try_cast({text} as decimal(38,{s}))" for s in (0, 18, 30, 38)]
+    fitting = " ".join(f"when cast({d} as double) = cast({text} as double) then {plain(f'cast({d} as string)')}" for d in decimals)
+    return f"case when {whole} then cast(cast({value} as bigint) as string) {fitting} else {text} end"
+
+
 def align(spec: PairSpec) -> Aligned:
     """Filter both sides, then keep keys and shared columns under one name and type."""
     from .filters import apply_filter
 
     _check_names(spec.source, "source")
     _check_names(spec.target, "target")
-    source, target = apply_filter(spec.source, spec.filter), apply_filter(spec.target, spec.filter)
-    target_keys = list(spec.target_keys or spec.keys)
-    if len(target_keys) != len(spec.keys):
-        raise ValueError("source and target need the same number of key columns")
-    if spec.target_keys:
-        renamed = dict(zip(target_keys, spec.keys))
-        target = target.toDF(*[renamed.get(c, c) for c in target.columns])
-        _check_names(target, "target")
+    spec = spec.named_alike()
+    _check_names(spec.target, "target")
+    target_filter = spec.filter if spec.target_filter is None else spec.target_filter
+    source, target = apply_filter(spec.source, spec.filter), apply_filter(spec.target, target_filter)
     keys = list(spec.keys)
     columns = common_columns(source, target, keys, spec.match)
     if spec.match == "name":
@@ -124,21 +139,28 @@ def align(spec: PairSpec) -> Aligned:
         for c in keys + columns
     }
 
+    numbers = {c for c in wanted if all(isinstance(df.schema[c].dataType, T.NumericType) for df in (source, target))}
+
     def cut(df: DataFrame) -> DataFrame:
         def one(c: str) -> str:
             name, dtype = quoted(c), wanted[c]
+            if isinstance(dtype, T.StringType) and isinstance(df.schema[c].dataType, T.NumericType) and c in numbers:
+                return f"{number_text(name, df.schema[c].dataType)} as {name}"
             same = df.schema[c].dataType.simpleString() == dtype.simpleString()
             return name if same else f"cast({name} as {dtype.simpleString()}) as {name}"
 
         return df.selectExpr(*[one(c) for c in keys + columns])
 
     return Aligned(
-        cut(source), cut(target), keys, columns, spec.hash_mode, spec.hash_algo
+        cut(source), cut(target), keys, columns, spec.hash_mode, spec.hash_algo, spec.screen, spec.repeats
     )
 
 
 def schema_diff(pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
-    """Columns that are missing on one side or differ in type, for all pairs at once."""
+    """Columns that are missing on one side or differ in type, for all pairs at once.
+
+    Names are compared as they are; ``PairSpec.named_alike`` gives both sides the same ones first.
+    """
     spark = pairs[0][1].sparkSession
     s = spark.createDataFrame(
         [row for name, df, _ in pairs for row in catalog_rows(df, name)], CATALOG_SCHEMA

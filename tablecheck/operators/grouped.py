@@ -45,9 +45,10 @@ def _partials(df: DataFrame, metrics: Sequence[Metric], group_by: Sequence[str])
 
     The partial result of a mean is its number of values; the sum is a metric of its own.
     """
-    named = {
-        m.slot: f"count({quoted(m.column)})" if m.name == "AVG" else m.value for m in metrics
-    }
+    named = {}
+    for m in metrics:
+        plain = {"AVG": "count", "SUM": "sum"}.get(m.name if m.name == "AVG" or m.as_text else "")
+        named[m.slot] = f"{plain}({quoted(m.column)})" if plain else m.value
     return aggregated(df, group_columns(group_by), named)
 
 
@@ -63,6 +64,8 @@ def _merged(partials: DataFrame, metrics: Sequence[Metric], lead: Sequence[str])
             if not m.exact:
                 total = f"cast({total} as double)"
             value = f"if({value} > 0, {total} / {value}, null)"
+        elif m.as_text:
+            value = f"cast({value} as string)"
         named[m.slot] = value
     return unpivot(aggregated(partials, lead, named), metrics, lead)
 

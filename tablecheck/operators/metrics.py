@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import literal, quoted
 from ..functions.hashing import value_sql
-from ..functions.sums import exact_sum_sql
+from ..functions.sums import decimal_sum_sql, exact_sum_sql, float_pieces_sql, float_total_sql
 from ..spec import FAIL, PASS
 from .columns import Aligned
 
@@ -41,6 +41,11 @@ class Metric:
         """The column it is computed into."""
         return f"__tc_m{self.position}"
 
+    @property
+    def as_text(self) -> bool:
+        """Whether it is a sum that is written out as text, as it may outgrow any number type."""
+        return self.name == "SUM" and isinstance(self.result_type, T.StringType)
+
     @property
     def exact(self) -> bool:
         return not isinstance(self.result_type, _FLOATS)
@@ -58,10 +63,15 @@ def metrics_of(schema: T.StructType, columns: Sequence[str], rows: bool = False)
             if bits:
                 total = exact_sum_sql(f"cast({value} as bigint)", bits)
                 total_type = T.DecimalType(38, 0)
-            elif isinstance(dtype, T.DecimalType):
-                total_type = mean_type = dtype
+            mean = f"avg({value})"
+            if isinstance(dtype, T.DecimalType):
+                total, total_type = decimal_sum_sql(value, dtype.precision, dtype.scale), T.StringType()
+                mean_type = dtype
+                if dtype.precision > 28:
+                    # A mean of so many digits would overflow on the way.
+                    mean, mean_type = f"avg(cast({value} as double))", T.DoubleType()
             found.append((name, "SUM", total, total_type))
-            found.append((name, "AVG", f"avg({value})", mean_type))
+            found.append((name, "AVG", mean, mean_type))
         if isinstance(dtype, (T.NumericType, *_ORDERED)):
             found.append((name, "MIN", f"min({value})", dtype))
             found.append((name, "MAX", f"max({value})", dtype))
@@ -118,6 +128,43 @@ def _passes(
     return [[m for m in metrics if m.column in part] for part in parts]
 
 
+def _float_sums(df: DataFrame, metrics: Sequence[Metric], group_by: Sequence[str]) -> DataFrame:
+    """Metric rows of the sums and means of floating point columns.
+
+    Each value is cut into integers by its exponent, these are summed as longs, and the sums are put
+    together in a fixed order: the result is the same however the rows lie.  A pass of its own
+    over these columns; a task hands on one row per group, column and exponent.
+    """
+    columns = list(dict.fromkeys(m.column for m in metrics))
+    names = group_names(group_by)
+    listed = ", ".join(f"struct({i} as c, cast({quoted(c)} as double) as v)" for i, c in enumerate(columns))
+    rows = df.select(*group_columns(group_by), F.expr(f"inline(array({listed}))"))
+    if not group_by:
+        # Without groups there is a result without rows as well.
+        none = df.sparkSession.range(len(columns)).selectExpr("cast(id as int) as c", "cast(null as double) as v")
+        rows = rows.unionAll(none)
+    finite = "abs(v) < double('infinity')"
+    pieces = float_pieces_sql("v")
+    cut = rows.selectExpr(*names, "c", "v", *[f"if({finite}, {x}, null) as {n}" for n, x in pieces.items()])
+    sums = cut.groupBy(*names, "c", "e").agg(
+        *[F.sum(p).alias(p) for p in ("hi", "mid", "lo")],
+        F.count("v").alias("n"),
+        F.sum(F.when(~F.expr(f"coalesce({finite}, true)"), F.col("v"))).alias("beyond"),
+    )
+    totals = sums.groupBy(*names, "c").agg(
+        F.expr("collect_list(if(e is null, null, struct(e, hi, mid, lo)))").alias("parts"), F.sum("n").alias("n"), F.sum("beyond").alias("beyond")
+    )
+    totals = totals.selectExpr(*names, "c", "n", f"if(n = 0, null, coalesce(beyond, {float_total_sql('parts')})) as total")
+    values = {"SUM": "total", "AVG": "total / nullif(n, 0L)"}
+    parts = ", ".join(
+        f"struct({columns.index(m.column)} as of, {m.position} as {METRIC_ID}, {literal(m.column)} as column_name, "
+        f"{literal(m.name)} as metric, false as exact, {values[m.name]} as number)"
+        for m in metrics
+    )
+    told = totals.selectExpr(*names, "c", f"inline(array({parts}))").filter("of = c")
+    return told.selectExpr(*names, METRIC_ID, "column_name", "metric", "exact", "number", "cast(number as string) as text")
+
+
 def _numbered_metrics(
     df: DataFrame,
     columns: Sequence[str],
@@ -129,6 +176,10 @@ def _numbered_metrics(
     if not metrics:
         raise ValueError("no columns to aggregate")
     out = []
+    summed = [m for m in metrics if m.name in ("SUM", "AVG") and isinstance(df.schema[m.column].dataType, _FLOATS)]
+    if summed:
+        out.append(_float_sums(df, summed, group_by))
+        metrics = [m for m in metrics if m not in summed]
     for part in _passes(df.schema, metrics, columns_per_pass):
         named = {m.slot: m.value for m in part}
         wide = aggregated(df, group_columns(group_by), named)

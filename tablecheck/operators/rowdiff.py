@@ -1,14 +1,21 @@
 """Row comparison by key.
 
 Both sides are put under one another with a side flag and aggregated by key, in place of a
-full outer join.  One shuffle carries keys and 32-byte hashes only; copies of a key are
-combined before it, so a key that holds a large part of the rows costs one row per task; and
-no side has to be sorted into a join.
+full outer join.  Copies of a key are combined before the shuffle, so a key that holds a large
+part of the rows costs one row per task; and no side has to be sorted into a join.
+
+With SHA-256 the comparison has two steps.  The first, ``screened``, counts the rows of each key and
+adds up two 64-bit hashes of the values themselves, with a plus for the source and a minus for the
+target: sums of zero mean that the key has the same rows on both sides, each as often.  It makes
+no text, no digest and no sort, and its shuffle carries keys and six longs.  The second makes
+texts and digests of the other keys only.  Where nearly all keys differ, the first step is lost;
+``screen=False`` leaves it out, as for sources that are costly to read twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,7 +30,7 @@ from ..functions import (
     quoted,
     row_hash,
 )
-from ..functions.hashing import hash_sql, value_sql
+from ..functions.hashing import fast_hash_sql, hash_sql, value_sql
 from ..spec import HASH_MISMATCH, MISSING_IN_SOURCE, MISSING_IN_TARGET
 from .columns import Aligned
 
@@ -35,49 +42,79 @@ SOURCE_HASH, TARGET_HASH = "__tc_source_hash", "__tc_target_hash"
 APART = "__tc_apart"
 
 
-def _stored_hash(pair: Aligned) -> str:
-    """SQL for the row hash as it is shuffled: 32 bytes in place of 64 hex digits."""
-    value = _hash_sql(pair)
-    return f"unhex({value})" if pair.hash_algo == "sha256" else value
+# The only column beside the keys is the digest of the row, made before.
+STORED = "stored"
+# Whether the rows of a key agree, each as often as on the other side.
+SAME = "__tc_same"
+# Longs that hold a digest, and the SQL that gives their order that of the hex digits.
+_WORDS = 4
+_FLIP = "-9223372036854775808L"
 
 
 def _hash_sql(pair: Aligned) -> str:
+    if pair.hash_algo == STORED:
+        return quoted(pair.columns[0])
     return hash_sql(pair.schema, pair.columns, pair.hash_mode, pair.hash_algo)
 
 
-def _shown_hash(name: str, algo: str) -> Column:
-    return F.lower(F.hex(name)) if algo == "sha256" else F.col(name).cast("string")
-
-
 def both_sides(pair: Aligned, *columns: str) -> DataFrame:
     """Both tables under one another, flagged by side; the columns are SQL."""
     source = pair.source.selectExpr(*columns, f"true as {IN_SOURCE}")
     return source.unionAll(pair.target.selectExpr(*columns, f"false as {IN_SOURCE}"))
 
 
-def _beside(pair: Aligned, value: str, value_type: str, within: Sequence[str] = ()) -> DataFrame:
-    """Both tables under one another with ``value`` in a column of its own for each side."""
+def _flagged(pair: Aligned, within: Sequence[str], source: Sequence[str], target: Sequence[str]) -> DataFrame:
+    """Both tables under one another: keys, the side of rows without a whole key, and what is
+    given for each side as SQL.
+    """
     lead = [quoted(c) for c in (*pair.keys, *within)]
     any_null = " or ".join(f"{quoted(k)} is null" for k in pair.keys)
+    one = pair.source.selectExpr(*lead, f"if({any_null}, true, null) as {APART}", *source)
+    return one.unionAll(pair.target.selectExpr(*lead, f"if({any_null}, false, null) as {APART}", *target))
+
+
+def _beside(pair: Aligned, value: str, value_type: str, within: Sequence[str] = ()) -> DataFrame:
+    """Both tables under one another with ``value`` in a column of its own for each side."""
     none = f"cast(null as {value_type})"
-    source = pair.source.selectExpr(
-        *lead,
-        f"if({any_null}, true, null) as {APART}",
-        f"{value} as {SOURCE_HASH}",
-        f"{none} as {TARGET_HASH}",
-    )
-    target = pair.target.selectExpr(
-        *lead,
-        f"if({any_null}, false, null) as {APART}",
-        f"{none} as {SOURCE_HASH}",
-        f"{value} as {TARGET_HASH}",
+    return _flagged(
+        pair,
+        within,
+        [f"{value} as {SOURCE_HASH}", f"{none} as {TARGET_HASH}"],
+        [f"{none} as {SOURCE_HASH}", f"{value} as {TARGET_HASH}"],
     )
-    return source.unionAll(target)
 
 
 def _hashes_beside(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
-    value_type = "binary" if pair.hash_algo == "sha256" else "bigint"
-    return _beside(pair, _stored_hash(pair), value_type, within)
+    value_type = "bigint" if pair.hash_algo == "xxhash64" else "string"
+    return _beside(pair, _hash_sql(pair), value_type, within)
+
+
+def _group(pair: Aligned, within: Sequence[str] = ()) -> list[Column | str]:
+    return [*fields(pair.keys), *fields(within), APART]
+
+
+def screened(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
+    """Per key the number of rows of each side, and whether these are the same rows.
+
+    Sums are taken over the halves of two hashes, so that they cannot overflow before a key has
+    2**31 rows.  Different rows agree in both with a chance of one in 2**128.
+    """
+    hashes = [fast_hash_sql(pair.schema, pair.columns, salt) for salt in (0, 1)]
+
+    def side(sign: str, counts: str) -> list[str]:
+        halves = [f"{sign}{half.format(h)}" for h in hashes for half in ("shiftright({}, 32)", "(({}) & 4294967295L)")]
+        return [counts, *[f"{x} as __tc_x{i}" for i, x in enumerate(halves)]]
+
+    rows = _flagged(
+        pair,
+        within,
+        side("", f"1L as {N_SOURCE}") + [f"0L as {N_TARGET}"],
+        side("-", f"0L as {N_SOURCE}") + [f"1L as {N_TARGET}"],
+    )
+    sums = [F.sum(f"__tc_x{i}").alias(f"__tc_x{i}") for i in range(2 * len(hashes))]
+    totals = rows.groupBy(*_group(pair, within)).agg(F.sum(N_SOURCE).alias(N_SOURCE), F.sum(N_TARGET).alias(N_TARGET), *sums)
+    zero = " and ".join(f"__tc_x{i} = 0L" for i in range(2 * len(hashes)))
+    return totals.select(*_group(pair, within), N_SOURCE, N_TARGET, F.expr(f"{N_SOURCE} = {N_TARGET} and {zero}").alias(SAME))
 
 
 def keyed_hashes(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
@@ -85,14 +122,61 @@ def keyed_hashes(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
 
     The smallest hash stands for the key where it has several rows on a side.  ``within``
     names further columns that must agree, with null equal to null.
+
+    A digest travels as four longs, since a text or binary buffer would make the aggregate sort
+    its input.  Copies of a key are ordered by the first long; two that agree in it and differ
+    behind it, one in 2**64, are taken in any order.
     """
     rows = _hashes_beside(pair, within)
-    return rows.groupBy(*fields(pair.keys), *fields(within), APART).agg(
-        F.count(SOURCE_HASH).alias(N_SOURCE),
-        F.count(TARGET_HASH).alias(N_TARGET),
-        F.min(SOURCE_HASH).alias(SOURCE_HASH),
-        F.min(TARGET_HASH).alias(TARGET_HASH),
-    )
+    sides = ((SOURCE_HASH, N_SOURCE), (TARGET_HASH, N_TARGET))
+    counts = [F.count(h).alias(n) for h, n in sides]
+    if pair.hash_algo == "xxhash64":
+        return rows.groupBy(*_group(pair, within)).agg(*counts, *[F.min(h).alias(h) for h, _ in sides])
+    words, smallest = [], []
+    for h, _ in sides:
+        parts = [f"{h}{i}" for i in range(_WORDS)]
+        digits = [f"cast(conv(substring({h}, {1 + 16 * i}, 16), 16, -10) as bigint)" for i in range(_WORDS)]
+        words += [f"{digits[0]} ^ {_FLIP} as {parts[0]}", *[f"{d} as {p}" for d, p in zip(digits[1:], parts[1:])]]
+        smallest += [F.min(parts[0]).alias(parts[0]), *[F.min_by(p, parts[0]).alias(p) for p in parts[1:]]]
+    lead = [quoted(c) for c in (*pair.keys, *within)]
+    split = rows.selectExpr(*lead, APART, SOURCE_HASH, TARGET_HASH, *words)
+    found = split.groupBy(*_group(pair, within)).agg(*counts, *smallest)
+
+    def text(h: str) -> str:
+        first = f"lpad(hex({h}0 ^ {_FLIP}), 16, '0')"
+        rest = [f"lpad(hex({h}{i}), 16, '0')" for i in range(1, _WORDS)]
+        return f"lower(concat({', '.join([first, *rest])})) as {h}"
+
+    return found.selectExpr(*lead, APART, N_SOURCE, N_TARGET, *[text(h) for h, _ in sides])
+
+
+def only_keys(pair: Aligned, keys: DataFrame, within: Sequence[str] = ()) -> Aligned:
+    """The pair cut down to the rows of some keys, given as ``screened`` gives them.
+
+    Null equals null; a row without a whole key belongs to the keys of its own side.  No hint is
+    given: Catalyst broadcasts the keys when they are under the session's size limit.
+    """
+    names = [*pair.keys, *within]
+    wanted = keys.select(*[field(c).alias(f"__tc_w{i}") for i, c in enumerate(names)], F.col(APART).alias("__tc_apart_of"))
+
+    def cut(df: DataFrame, own: bool) -> DataFrame:
+        same = [field(c).eqNullSafe(F.col(f"__tc_w{i}")) for i, c in enumerate(names)]
+        here = wanted.filter(F.coalesce("__tc_apart_of", F.lit(own)) == own)
+        return df.join(here, reduce(lambda a, b: a & b, same), "left_semi")
+
+    return pair.with_rows(cut(pair.source, True), cut(pair.target, False))
+
+
+def open_keys(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
+    """The keys of ``screened`` whose rows are not the same."""
+    return screened(pair, within).filter(~F.col(SAME))
+
+
+def differing_hashes(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``keyed_hashes`` for all keys whose rows are not the same, and perhaps more."""
+    if pair.hash_algo != "sha256" or not pair.screen:
+        return keyed_hashes(pair, within)
+    return keyed_hashes(only_keys(pair, open_keys(pair, within), within), within)
 
 
 def mismatch_class() -> Column:
@@ -110,14 +194,14 @@ def classified(pair: Aligned, keyed: DataFrame, within: Sequence[str] = ()) -> D
         *fields(pair.keys),
         *fields(within),
         mismatch_class().alias("mismatch_type"),
-        _shown_hash(SOURCE_HASH, pair.hash_algo).alias("source_row_hash"),
-        _shown_hash(TARGET_HASH, pair.hash_algo).alias("target_row_hash"),
+        F.col(SOURCE_HASH).cast("string").alias("source_row_hash"),
+        F.col(TARGET_HASH).cast("string").alias("target_row_hash"),
     ).filter("mismatch_type is not null")
 
 
 def row_diff(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
     """The keys whose rows are missing on one side or differ, one row per key."""
-    return classified(pair, keyed_hashes(pair, within), within)
+    return classified(pair, differing_hashes(pair, within), within)
 
 
 def hash_mismatch(pair: Aligned) -> DataFrame:
@@ -158,7 +242,7 @@ def hash_groups(pair: Aligned) -> DataFrame:
     """Per key and row hash the number of rows of each side."""
     return _hash_counts(pair).select(
         *fields(pair.keys),
-        _shown_hash(HASH, pair.hash_algo).alias("row_hash"),
+        F.col(HASH).cast("string").alias("row_hash"),
         F.col(N_SOURCE).alias("n_source"),
         F.col(N_TARGET).alias("n_target"),
     )
@@ -198,6 +282,58 @@ def row_diff_all(pair: Aligned) -> DataFrame:
     ).filter("n_pairs > 0")
 
 
+def _surplus(pair: Aligned) -> DataFrame:
+    counts = _hash_counts(pair).filter(F.col(N_SOURCE) != F.col(N_TARGET))
+    more = counts.select(
+        *_group(pair), HASH, *[F.greatest(a - b, F.lit(0)).alias(n) for n, a, b in (
+            (N_SOURCE, F.col(N_SOURCE), F.col(N_TARGET)), (N_TARGET, F.col(N_TARGET), F.col(N_SOURCE)))]
+    )
+    # The sides that a key has rows left on decide its class.
+    names = [*pair.keys, APART]
+    left = more.groupBy(*_group(pair)).agg(F.max(N_SOURCE).alias("__tc_s"), F.max(N_TARGET).alias("__tc_t"))
+    left = left.select(*[field(c).alias(f"__tc_w{i}") for i, c in enumerate(names)], "__tc_s", "__tc_t")
+    same = [field(c).eqNullSafe(F.col(f"__tc_w{i}")) for i, c in enumerate(names)]
+    kind = F.when(F.col("__tc_s") == 0, MISSING_IN_SOURCE).when(F.col("__tc_t") == 0, MISSING_IN_TARGET).otherwise(HASH_MISMATCH)
+    here = F.col(N_SOURCE) > 0
+    return more.join(left, reduce(lambda a, b: a & b, same)).select(
+        *fields(pair.keys),
+        kind.alias("mismatch_type"),
+        F.when(here, F.col(HASH)).cast("string").alias("source_row_hash"),
+        F.when(~here, F.col(HASH)).cast("string").alias("target_row_hash"),
+        (F.col(N_SOURCE) + F.col(N_TARGET)).alias("n_rows"),
+    )
+
+
+def row_surplus(pair: Aligned) -> DataFrame:
+    """The rows of each key that find no equal row on the other side, each row used once.
+
+    One row per key and hash, with the number of rows left over.  A key with rows left over on
+    both sides is a ``HASH_MISMATCH``, and its rows are listed on their own sides; one that has
+    them on one side only lacks them on the other.
+    """
+    return compared(replace(pair, repeats="all"))[1]
+
+
+def compared(pair: Aligned, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """Row counts by key, and the differing keys (or rows, where ``repeats`` is ``"all"``).
+
+    ``keep`` may cut down and materialise the counts; it must leave the keys that are not the
+    same, and what the reader of the counts needs.
+    """
+    if pair.repeats not in ("smallest", "all"):
+        raise ValueError(f"unknown treatment of repeated keys {pair.repeats!r}")
+    every, cut = pair.repeats == "all", pair
+    if pair.screen and pair.hash_algo == "sha256":
+        found = keep(screened(pair))
+        cut = only_keys(pair, found.filter(~F.col(SAME)))
+    elif every:
+        found = keep(key_presence(pair).withColumn(SAME, F.lit(False)))
+    else:
+        found = keep(keyed_hashes(pair).withColumn(SAME, mismatch_class().isNull()))
+        return found, classified(pair, found)
+    return found, _surplus(cut) if every else classified(pair, keyed_hashes(cut))
+
+
 def mismatch_summary(diff: DataFrame) -> DataFrame:
     """Number of differing keys per class."""
     return diff.groupBy("mismatch_type").agg(F.count("*").alias("n_keys"))
@@ -231,24 +367,30 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _records(pair: Aligned, diff: DataFrame, record: Column) -> DataFrame:
     """Per differing key the record of each side whose hash is the one reported.
 
-    The difference table has one row per key, so the join keeps or drops rows of the big side
-    and never multiplies them; hashes and records are made from the kept rows only.  Give a
-    materialised difference: its size then decides between a broadcast and a shuffle.
+    The rows of the listed keys are cut out first and only these are hashed; then they meet the
+    list by key, side and hash, so that a key with very many different rows is spread by hash and
+    never crossed with its own list.  Give a materialised difference: its size then decides
+    between a broadcast and a shuffle.
     """
     names = [f"__tc_k{i}" for i in range(len(pair.keys))]
+    listed = diff.select(*fields(pair.keys), F.lit(None).cast("boolean").alias(APART)).distinct()
+    near = only_keys(pair, listed)
+    rows = both_sides(near, *map(quoted, pair.keys + pair.columns), f"cast({_hash_sql(pair)} as string) as {HASH}")
     wanted = diff.select(
         *[field(k).alias(n) for k, n in zip(pair.keys, names)],
         F.col("mismatch_type").alias("__tc_type"),
         F.col("source_row_hash").alias("__tc_source"),
         F.col("target_row_hash").alias("__tc_target"),
-    )
-    rows = both_sides(pair, *map(quoted, pair.keys + pair.columns))
-    same_key = [field(k).eqNullSafe(F.col(n)) for k, n in zip(pair.keys, names)]
-    actual = F.expr(_hash_sql(pair)).cast("string")
-    here = F.col(IN_SOURCE)
-    reported = F.when(here, F.col("__tc_source")).otherwise(F.col("__tc_target"))
-    kept = rows.join(wanted, reduce(lambda a, b: a & b, same_key)).filter(actual == reported)
+        F.expr(
+            "inline(array(struct(true as __tc_side, source_row_hash as __tc_wanted),"
+            " struct(false as __tc_side, target_row_hash as __tc_wanted)))"
+        ),
+    ).filter("__tc_wanted is not null")
+    same = [field(k).eqNullSafe(F.col(n)) for k, n in zip(pair.keys, names)]
+    same += [F.col(IN_SOURCE) == F.col("__tc_side"), F.col(HASH) == F.col("__tc_wanted")]
+    kept = rows.join(wanted, reduce(lambda a, b: a & b, same))
     # A null key is listed once per side, each time with the hash of that side only.
+    here = F.col(IN_SOURCE)
     return (
         kept.groupBy(*names, "__tc_type", "__tc_source", "__tc_target")
         .agg(

@@ -73,14 +73,14 @@ def lint(df: DataFrame, rules: Sequence[Rule], line: Column, subject: Column) ->
     ).select("line", "subject", "f.*")
 
 
-def lint_inventory(inventory: DataFrame) -> DataFrame:
+def lint_inventory(inventory: DataFrame, subject: str = "source_table") -> DataFrame:
     """Findings of an inventory; a missing column is the only finding of a file that lacks it."""
     absent = missing_columns(inventory.columns)
     if absent:
         spark = inventory.sparkSession
         rows = [(1, c, "R1", LINT_ERROR, "required column is missing") for c in absent]
         return spark.createDataFrame(rows, FINDING_SCHEMA)
-    return lint(inventory, inventory_rules(), field("line"), field("source_table"))
+    return lint(inventory, inventory_rules(), field("line"), field(subject))
 
 
 def lint_summary(findings: DataFrame) -> DataFrame:

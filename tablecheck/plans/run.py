@@ -2,32 +2,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import threading
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sinks import write_results
+from ..session import scratch_path
+from ..sinks import read_results, write_results
 from ..spec import ERROR, PairSpec, Run
-from .validate import note, run_pair, stamp
+from .inventory import LINT_ERROR, lint_inventory
+from .validate import ALL_CHECKS, note, run_pair, stamp
 
 # Which checks of ``run_pair`` a validation type stands for.
 CHECKS = {"row": ("count", "row"), "column": ("count", "column"), "schema": ("schema",)}
 
 
+@contextmanager
+def _own_jobs(spark: SparkSession, name: str, deadline: float | None) -> Iterator[threading.Event]:
+    """The Spark jobs of this thread as a group and a scheduler pool of their own.
+
+    At the deadline the group is cancelled with all jobs that it would still start; the event
+    that is handed out then tells why they failed.
+    """
+    context, group, late = spark.sparkContext, f"tablecheck-{uuid.uuid4().hex}", threading.Event()
+
+    def stop() -> None:
+        late.set()
+        context._jsc.sc().cancelJobGroupAndFutureJobs(group)
+
+    timer = threading.Timer(deadline, stop) if deadline is not None else None
+    context.setLocalProperty("spark.scheduler.pool", name)
+    context.setJobGroup(group, f"validation of {name}")
+    if timer:
+        timer.start()
+    try:
+        yield late
+    finally:
+        if timer:
+            timer.cancel()
+        # What is written about the failure belongs to no cancelled group.
+        context.setJobGroup(f"{group}-after", f"report on {name}")
+
+
 def run_batch(
     jobs: Sequence[tuple[PairSpec, Sequence[str]]],
     run: Run,
     results_target: str,
     audit_target: str | None = None,
     workers: int = 3,
+    deadline: float | None = None,
 ) -> None:
     """Validate pairs side by side, at most ``workers`` at a time.
 
-    Each pair is its own set of Spark jobs, so a slow or failing pair holds up no other; the
-    session's scheduler mode decides how they share the executors.  A pair replaces its own
+    Each pair is its own set of Spark jobs in a pool of its own, so a failing pair takes no other
+    along, and with ``spark.scheduler.mode=FAIR`` a slow one holds up no other.  A pair that takes
+    longer than ``deadline`` seconds is cancelled and is an ERROR row.  A pair replaces its own
     partition of the targets: unlike appends, such writes may run at the same time, and a
     repeated run leaves its rows once.
     """
@@ -37,10 +71,16 @@ def run_batch(
 
     def one(job: tuple[PairSpec, Sequence[str]]) -> None:
         spec, checks = job
-        try:
-            run_pair(spec, run, results_target, audit_target, checks, mode="replace")
-        except Exception as problem:  # noqa: BLE001 - any failure is a result row
-            failed = stamp(note(spark, "run", ERROR, str(problem)), spec, run)
+        problem = None
+        with _own_jobs(spark, spec.name, deadline) as late:
+            try:
+                run_pair(spec, run, results_target, audit_target, checks, mode="replace")
+            except Exception as raised:  # noqa: BLE001 - any failure is a result row
+                problem = str(raised)
+        if late.is_set():
+            problem = f"not done within {deadline} seconds"
+        if problem is not None:
+            failed = stamp(note(spark, "run", ERROR, problem), spec, run)
             write_results(failed, results_target, "replace")
 
     # The first pair runs alone, as it creates the targets where they are catalog tables.
@@ -50,6 +90,39 @@ def run_batch(
         list(pool.map(inheritable_thread_target(spark)(one), rest))
 
 
+def validate_batch(specs: Sequence[PairSpec], run: Run, workers: int = 3, deadline: float | None = None) -> DataFrame:
+    """The results of all checks of several pairs under one run, as a table that is written first.
+
+    Every pair and every check of a pair runs by itself: what fails while it runs is an ERROR row,
+    and the other rows are all there.
+    """
+    if not specs:
+        raise ValueError("no pairs")
+    spark = specs[0].source.sparkSession
+    target = scratch_path(spark, "batch")
+    run_batch([(spec, ALL_CHECKS) for spec in specs], run, target, None, workers, deadline)
+    return read_results(spark, target, run.run_id)
+
+
+def _faults(plan: DataFrame) -> dict[str, str]:
+    """What the rules of an inventory say against rows of a plan, by plan key."""
+    rows = plan.select(
+        F.col("plan_key").alias("line_key"),
+        F.lit(0).alias("line"),
+        F.coalesce("source", F.lit("")).alias("source_table"),
+        F.coalesce("target", F.lit("")).alias("target_table"),
+        F.coalesce("type", F.lit("")).alias("validation_type"),
+        F.coalesce(F.concat_ws(",", "primary_keys"), F.lit("")).alias("primary_key"),
+        F.coalesce("filters", F.lit("")).alias("filter_condition"),
+    )
+    # The subject of a finding is the plan row.
+    found = lint_inventory(rows, subject="line_key").filter(F.col("severity") == LINT_ERROR)
+    told: dict[str, str] = {}
+    for row in found.orderBy("subject", "rule").toLocalIterator():
+        told[row["subject"]] = "; ".join(filter(None, [told.get(row["subject"]), f"{row['rule']}: {row['message']}"]))
+    return told
+
+
 def run_plan(
     plan: DataFrame,
     resolver: Callable[[str], DataFrame],
@@ -57,21 +130,23 @@ def run_plan(
     results_target: str,
     audit_target: str | None = None,
     workers: int = 3,
+    deadline: float | None = None,
     **options: Any,
 ) -> None:
     """Run every row of a compiled plan; ``resolver`` turns a table name into a DataFrame.
 
-    A plan is configuration, a row per validation, and is read by the driver; table rows are
+    Rows that break a rule of the inventory, such as an unsafe filter, are not run: each is an ERROR
+    row that names the rule.  A plan is configuration, a row per validation, and is read by the driver; table rows are
     not.  ``options`` are passed on to every pair.
     """
-    jobs, broken = [], []
+    jobs, broken, faults = [], [], _faults(plan)
     for row in plan.dropDuplicates(["plan_key"]).orderBy("plan_key").toLocalIterator():
         name = f"{row['source']}={row['target']}#{row['plan_key']}"
         try:
+            if row["plan_key"] in faults:
+                raise ValueError(faults[row["plan_key"]])
             if row["type"] not in CHECKS:
                 raise ValueError(f"unknown validation type {row['type']!r}")
-            if row["type"] == "row" and not row["primary_keys"]:
-                raise ValueError("a row check needs a key")
             spec = PairSpec(
                 name,
                 resolver(row["source"]),
@@ -88,4 +163,4 @@ def run_plan(
         empty = plan.sparkSession.range(0)
         failed = stamp(note(plan.sparkSession, "setup", ERROR, problem), PairSpec(name, empty, empty), run)
         write_results(failed, results_target, "replace", (run.run_id, name))
-    run_batch(jobs, run, results_target, audit_target, workers)
+    run_batch(jobs, run, results_target, audit_target, workers, deadline)

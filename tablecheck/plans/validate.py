@@ -15,9 +15,8 @@ from ..operators.metrics import column_comparison, count_check
 from ..operators.rowdiff import (
     N_SOURCE,
     N_TARGET,
-    classified,
-    keyed_hashes,
-    mismatch_class,
+    SAME,
+    compared,
     with_details,
     with_light_details,
 )
@@ -80,18 +79,25 @@ def _class_row(name: str) -> str:
     )
 
 
-def _key_rows(keyed: DataFrame, counts: bool) -> DataFrame:
-    """Count, duplicate and row results from one aggregate over the keyed hashes."""
+def _key_rows(counted: DataFrame, diff: DataFrame, counts: bool) -> DataFrame:
+    """Count, duplicate and row results from the row counts by key and the differences."""
+    names = ["s", "t", "ds", "dt", *ROW_CLASSES]
     sums = {
         "s": f"sum({N_SOURCE})",
         "t": f"sum({N_TARGET})",
         "ds": f"sum(greatest({N_SOURCE} - 1, 0L))",
         "dt": f"sum(greatest({N_TARGET} - 1, 0L))",
-        **{c: f"count_if(kind = '{c}')" for c in ROW_CLASSES},
     }
-    totals = keyed.select(N_SOURCE, N_TARGET, mismatch_class().alias("kind")).selectExpr(
-        *[f"coalesce({value}, 0L) as {name}" for name, value in sums.items()]
+    n_rows = "n_rows" if "n_rows" in diff.columns else "1L"
+    classes = {c: f"sum(if(mismatch_type = '{c}', {n_rows}, 0L))" for c in ROW_CLASSES}
+
+    def one(df: DataFrame, values: dict[str, str]) -> DataFrame:
+        return df.selectExpr(*[f"coalesce({values.get(n, '0L')}, 0L) as {n}" for n in names])
+
+    both = one(counted.agg(*[F.expr(f"{v} as {n}") for n, v in sums.items()]), {n: n for n in sums}).unionAll(
+        one(diff.agg(*[F.expr(f"{v} as {n}") for n, v in classes.items()]), {n: n for n in classes})
     )
+    totals = both.agg(*[F.expr(f"sum({n}) as {n}") for n in names])
     rows = [_metric_row("ROW_COUNT", "count", "s", "t", "s = t")] if counts else []
     rows.append(_metric_row("DUPLICATE_ROWS", "duplicates", "ds", "dt", "ds = 0 and dt = 0"))
     rows += [_class_row(name) for name in ROW_CLASSES]
@@ -103,7 +109,18 @@ def _count_rows(pair: Aligned) -> DataFrame:
     return count_check(pair.source, pair.target).selectExpr(f"inline(array({row}))")
 
 
+def _alike(spec: PairSpec) -> PairSpec:
+    """The pair as its schema is compared: under the source's names, or in lower case where case does
+    not matter."""
+    spec = spec.named_alike()
+    if spec.match != "name":
+        return spec
+    source, target = (df.toDF(*[c.lower() for c in df.columns]) for df in (spec.source, spec.target))
+    return replace(spec, source=source, target=target)
+
+
 def _schema_rows(spec: PairSpec) -> DataFrame:
+    spec = _alike(spec)
     if dict(spec.source.dtypes) == dict(spec.target.dtypes):
         return note(spec.source.sparkSession, "schema", PASS)
     return schema_table(spec).select(
@@ -123,6 +140,7 @@ def _column_rows(pair: Aligned, spec: PairSpec) -> DataFrame:
         pair, spec.abs_tol, spec.rel_tol, columns_per_pass=spec.columns_per_pass
     )
     found = found.withColumn("check", F.lit("column"))
+    spec = spec.named_alike()
     source, target = dict(spec.source.dtypes), dict(spec.target.dtypes)
     for name in source:
         if name in target and source[name] != target[name] and spec.match == "strict" and name not in pair.keys:
@@ -146,6 +164,7 @@ def _guarded(spec: PairSpec, check: str, build: Callable[[], DataFrame]) -> Data
 
 
 def schema_table(spec: PairSpec) -> DataFrame:
+    spec = _alike(spec)
     return schema_diff([(spec.name, spec.source, spec.target)])
 
 
@@ -177,9 +196,10 @@ def validate_pair(
 ) -> ValidationResult:
     """All checks of one pair as lazy tables.
 
-    The whole result table is one Spark job with two passes over each side: one for keys and
-    row hashes (counts, duplicates and row classes), one for the column metrics.  To keep the
-    mismatches as well, use ``run_pair``, which computes the first pass once for both.
+    The whole result table is one Spark job with a pass over each side for keys and hashes of
+    values (counts, duplicates, and which keys differ), one for the digests of the differing
+    keys and one for the column metrics.  To keep the mismatches as well, use ``run_pair``, which
+    computes the first two once for both.
     """
     parts, mismatches, drift = [], None, None
     try:
@@ -190,11 +210,9 @@ def validate_pair(
         parts.append(_guarded(spec, "schema", lambda: _schema_rows(spec)))
     else:
         if pair.keys:
-            keyed = keyed_hashes(pair)
-            parts.append(_key_rows(keyed, counts=True))
-            mismatches = audit_rows(
-                with_light_details(pair, classified(pair, keyed)), spec, run
-            )
+            counted, diff = compared(pair)
+            parts.append(_key_rows(counted, diff, counts=True))
+            mismatches = audit_rows(with_light_details(pair, diff), spec, run)
         else:
             parts.append(_count_rows(pair))
         parts.append(_guarded(spec, "schema", lambda: _schema_rows(spec)))
@@ -208,11 +226,6 @@ def validate_pair(
     return ValidationResult(results, mismatches, drift, schema_table(spec))
 
 
-def validate_batch(specs: Sequence[PairSpec], run: Run) -> DataFrame:
-    """The results of several pairs under one run, in one table."""
-    return _union([validate_pair(spec, run).results for spec in specs])
-
-
 def validate_row(
     spec: PairSpec, run: Run, sample: int | None = None, seed: int = 42
 ) -> ValidationResult:
@@ -222,9 +235,8 @@ def validate_row(
     pair = align(spec)
     if sample is not None:
         pair = sampled(pair, sample, seed)
-    keyed = keyed_hashes(pair)
-    results = stamp(_key_rows(keyed, counts=True), spec, run)
-    diff = classified(pair, keyed)
+    counted, diff = compared(pair)
+    results = stamp(_key_rows(counted, diff, counts=True), spec, run)
     return ValidationResult(results, audit_rows(with_light_details(pair, diff), spec, run))
 
 
@@ -237,7 +249,7 @@ def validate_column(
     """
     if sample is not None:
         spec = sampled_spec(spec, sample, seed)
-    pair = align(replace(spec, keys=(), target_keys=None))
+    pair = align(replace(spec.named_alike(), keys=()))
     columns = _column_rows(pair, spec)
     results = stamp(_count_rows(pair), spec, run).unionByName(stamp(columns, spec, run))
     return ValidationResult(results, drift=_drift(stamp(columns, spec, run)))
@@ -330,14 +342,12 @@ def _checked_parts(
         if not pair.keys:
             return note(scratch.spark, "row", SKIPPED, "no key")
         repeats = (F.col(N_SOURCE) > 1) | (F.col(N_TARGET) > 1)
-        flagged = scratch.keep(
-            keyed_hashes(pair).filter(mismatch_class().isNotNull() | repeats), "flagged"
-        )
+        flagged, diff = compared(pair, lambda df: scratch.keep(df.filter(~F.col(SAME) | repeats), "flagged"))
+        diff = scratch.keep(diff, "differing")
         if audit_target is not None:
-            diff = classified(pair, flagged)
             found = with_details if details == "full" else with_light_details
             write_audit(audit_rows(found(pair, diff), spec, run), audit_target, mode, (run.run_id, spec.name))
-        return _key_rows(flagged, counts=False)
+        return _key_rows(flagged, diff, counts=False)
 
     builders: list[tuple[str, Callable[[], DataFrame]]] = [
         ("count", lambda: _count_rows(align(spec))),

@@ -80,6 +80,12 @@ def _read(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(target) if "/" in target else load_table(spark, target)
 
 
+def read_results(spark: SparkSession, target: str, run_id: str) -> DataFrame:
+    """All result rows of exactly this run."""
+    rows = _read(spark, target, RESULT_SCHEMA).filter(F.col("run_id") == run_id)
+    return rows.select(*RESULT_SCHEMA.names)
+
+
 def read_mismatches(spark: SparkSession, target: str, run_id: str) -> DataFrame:
     """All mismatches of exactly this run."""
     rows = _read(spark, target, AUDIT_SCHEMA).filter(F.col("run_id") == run_id)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, types as T
@@ -85,10 +85,17 @@ class Run:
 class PairSpec:
     """A source and a target to reconcile.
 
-    ``target_keys`` names the key columns of the target where they differ from the source's.
+    ``target_keys`` names the key columns of the target where they differ from the source's;
+    ``column_map`` does the same for other columns, from source name to target name.  The target
+    is renamed before anything else is done with it, so filters, schema, metrics and rows all see
+    the names of the source.  ``filter`` is for both sides, ``target_filter`` replaces it on the target.
     ``match`` is ``"strict"`` (same name and type) or ``"name"`` (same name ignoring case).
+    ``hash_mode="compat"`` joins the values of a row as other tools do, where a null equals the
+    text ``NULL``.
     ``columns_per_pass`` splits the column metrics of wide columnar tables, see
-    ``column_metrics``.
+    ``column_metrics``.  ``screen=False`` compares digests of all rows in one pass, see
+    ``operators.rowdiff``.  ``repeats`` says what a key with several rows is compared by:
+    ``"smallest"``, the row of smallest hash, or ``"all"``, every row as often as it is there.
     """
 
     name: str
@@ -97,14 +104,35 @@ class PairSpec:
     keys: Sequence[str] = ()
     target_keys: Sequence[str] | None = None
     filter: str | None = None
+    target_filter: str | None = None
+    column_map: Mapping[str, str] = field(default_factory=dict)
     match: str = "strict"
-    hash_mode: str = "compat"
+    hash_mode: str = "strict"
     hash_algo: str = "sha256"
     abs_tol: float = 1e-6
     rel_tol: float | None = 1e-10
     columns_per_pass: int | None = None
+    screen: bool = True
+    repeats: str = "smallest"
     extra_checks: Sequence[Callable[[PairSpec], DataFrame]] = ()
 
+    def named_alike(self) -> PairSpec:
+        """The same pair with the target under the names of the source."""
+        target_keys = list(self.target_keys or self.keys)
+        if len(target_keys) != len(self.keys):
+            raise ValueError("source and target need the same number of key columns")
+        names = {**{t: s for s, t in self.column_map.items()}, **dict(zip(target_keys, self.keys))}
+        if self.match == "name":
+            names = {t.lower(): s for t, s in names.items()}
+            new = [names.get(c.lower(), c) for c in self.target.columns]
+        else:
+            new = [names.get(c, c) for c in self.target.columns]
+        absent = [c for c in self.column_map.values() if c not in self.target.columns and self.match != "name"]
+        if absent:
+            raise ValueError(f"target has no column {absent}")
+        target = self.target if new == self.target.columns else self.target.toDF(*new)
+        return replace(self, target=target, target_keys=None, column_map={})
+
 
 @dataclass(frozen=True)
 class ValidationResult:

@@ -11,9 +11,11 @@ from .pairs import (
     DISJOINT,
     DRILL_GROUPS,
     EVENTS,
+    FILTERED,
     INVENTORY,
     LINEITEM,
     N_BUCKETS,
+    MIXED_NUMBERS,
     ORDERS,
     PADDED,
     RELAXED,
@@ -104,8 +106,8 @@ def metric_list(columns: Sequence[str], rows: bool = False) -> list[tuple[str, s
     for c in columns:
         out.append((c, "NULL_COUNT", f"count(*) filter (where {c} is null)", False))
         if c in NUMBERS:
-            out.append((c, "SUM", f"sum({c})", c in FLOATS))
-            out.append((c, "AVG", f"avg({c})", True))
+            out.append((c, "SUM", f"{'fsum' if c in FLOATS else 'sum'}({c})", c in FLOATS))
+            out.append((c, "AVG", f"{'favg' if c in FLOATS else 'avg'}({c})", True))
         out.append((c, "MIN", f"min({c})", c in FLOATS))
         out.append((c, "MAX", f"max({c})", c in FLOATS))
     return out
@@ -119,18 +121,14 @@ def matching(s: str, t: str, is_float: bool) -> str:
     )
 
 
-def two_digits(value: str) -> str:
-    return f"floor(try_cast({value} as double) * 100 + 0.2929) / 100.0"
+def shown_value(value: str) -> str:
+    rounded = f"printf('%.8e', try_cast({value} as double) * 1.0000000002929)"
+    return f"case when metric in ('SUM', 'AVG') and not regexp_matches({value}, '^-?[0-9]+$') then {rounded} else {value} end"
 
 
 def two_sided() -> str:
-    """Both values of a metric row, as number and as text."""
-    out = []
-    for side in ("source", "target"):
-        v = f"{side}_value"
-        out.append(f"{two_digits(v)} as {side}_number")
-        out.append(f"case when try_cast({v} as double) is null then {v} end as {side}_text")
-    return ", ".join(out)
+    """Both values of a metric row."""
+    return ", ".join(f"{shown_value(f'{side}_value')} as {side}_value" for side in ("source", "target"))
 
 
 def comparison(
@@ -168,8 +166,9 @@ def results_sql(
     parts: Sequence[str] = ("count", "row", "schema", "column"),
     columns: Sequence[str] | None = None,
     extra: str = "",
+    every: bool = False,
 ) -> str:
-    """All result rows of a pair with equal schemas."""
+    """All result rows of a pair with equal schemas; ``every`` compares repeated keys row by row."""
     name = name or pair.table
     columns = pair.columns if columns is None else columns
     base = "'{}' as pair, '{}' as check, {} as column_name, '{}' as metric, "
@@ -196,11 +195,12 @@ def results_sql(
             "case when n = 0 and m = 0 then 'PASS' else 'FAIL' end "
             f"from (select {extra_rows('src')} as n, {extra_rows('tgt')} as m)"
         )
+        n_rows = "cast(coalesce(sum(n_rows), 0) as bigint)" if every else "count(*)"
         for kind in ("HASH_MISMATCH", "MISSING_IN_SOURCE", "MISSING_IN_TARGET"):
             rows.append(
                 f"select {base.format(name, 'row', 'null', kind)}"
                 "cast(n as varchar), null, case when n = 0 then 'PASS' else 'FAIL' end "
-                f"from (select count(*) as n from diff where mismatch_type = '{kind}')"
+                f"from (select {n_rows} as n from diff where mismatch_type = '{kind}')"
             )
     if "schema" in parts:
         rows.append(f"select '{name}', 'schema', null, null, null, null, 'PASS'")
@@ -211,7 +211,9 @@ def results_sql(
         )
     if extra:
         rows.append(extra)
-    ctes = diff_ctes(pair, where) if "row" in parts else sides(pair, where)
+    ctes = sides(pair, where)
+    if "row" in parts:
+        ctes = surplus_ctes(pair) if every else diff_ctes(pair, where)
     return f"""with {ctes}, res as ({' union all '.join(rows)})
     select pair, "check", column_name, metric, {two_sided()}, status from res""".replace(
         " as check,", ' as "check",'
@@ -292,6 +294,42 @@ def nodedupe_sql(pair: DerivedPair) -> str:
     from d group by {keys}, mismatch_type"""
 
 
+def surplus_ctes(pair: DerivedPair) -> str:
+    """``diff``: the rows of each key that find no equal row on the other side.  Ends a WITH list."""
+    keys = ", ".join(pair.keys)
+    digest = row_hash(pair.columns)
+    return f"""{sides(pair)},
+    b as (select {keys}, {digest} as h, 1 as s, 0 as t from src union all select {keys}, {digest}, 0, 1 from tgt),
+    g as (select {keys}, h, sum(s) - sum(t) as n from b group by {keys}, h having sum(s) <> sum(t)),
+    diff as (select {keys}, case when max(n) over (partition by {keys}) < 0 then 'MISSING_IN_SOURCE'
+               when min(n) over (partition by {keys}) > 0 then 'MISSING_IN_TARGET' else 'HASH_MISMATCH' end as mismatch_type,
+             case when n > 0 then h end as source_row_hash, case when n < 0 then h end as target_row_hash,
+             cast(abs(n) as bigint) as n_rows from g)"""
+
+
+def relaxed_numbers_sql(pair: DerivedPair) -> str:
+    """Both sides as doubles, which hold all the values of this pair; texts of those that differ."""
+    def text(value: str) -> str:
+        plain = f"regexp_replace(regexp_replace(cast({value} as varchar), '([.][0-9]*[1-9])0+$|[.]0+$', '\\1'), '^-0$', '0')"
+        return f"case when isnan(cast({value} as double)) then 'NaN' when cast({value} as double) = 1e-11 then '0.00000000001' else {plain} end"
+
+    branches = [
+        f"select s.s_suppkey, '{c}' as column_name, {text(f's.{c}')} as source_value, {text(f't.{c}')} as target_value "
+        f"from src s join tgt t on s.s_suppkey = t.s_suppkey where cast(s.{c} as double) is distinct from cast(t.{c} as double)"
+        for c in pair.columns
+    ]
+    return f"with {sides(pair)} {' union all '.join(branches)}"
+
+
+def isolated_sql() -> str:
+    """Checks that fail while they run are one ERROR row each; all others have their rows."""
+    whole = " union all ".join(f'select pair, "check", status from ({results_sql(p)})' for p in (CUSTOMER, ORDERS))
+    broken = """select * from (values ('bad cast', 'count', 'PASS'), ('bad cast', 'row', 'ERROR'), ('bad cast', 'column', 'ERROR'),
+      ('bad cast', 'schema', 'PASS'), ('no key', 'count', 'ERROR'), ('no key', 'row', 'ERROR'), ('no key', 'column', 'ERROR'),
+      ('no key', 'schema', 'PASS')) v(pair, "check", status)"""
+    return f'select pair, "check", status, count(*) as n from ({whole} union all {broken}) group by pair, "check", status'
+
+
 def hash_groups_sql(pair: DerivedPair) -> str:
     keys = ", ".join(pair.keys)
     digest = row_hash(pair.columns)
@@ -354,12 +392,37 @@ def metrics_sql(pair: DerivedPair) -> str:
         for c, m, e, _ in metric_list(pair.columns, rows=True)
     ]
     return f"""with {sides(pair)}, w as ({' union all '.join(rows)})
-    select column_name, metric, {two_digits('v')} as number,
-           case when try_cast(v as double) is null then v end as text from w"""
+    select column_name, metric, {shown_value('v')} as value from w"""
+
+
+def grouped_check_sql(pair: DerivedPair, groups: Sequence[str]) -> str:
+    """The metric rows of the final groups and a verdict for each."""
+    first, both = groups[:1], list(groups)
+    g1 = first[0]
+    shown = f"column_name, metric, {two_sided()}, status"
+    return f"""with {drilldown_ctes(pair, groups)}
+    select {json_key(first)} as group_key, {shown} from c1 where {g1} in (select {g1} from v1 where ok)
+    union all
+    select {json_key(both)}, {shown} from c2 where {g1} in (select {g1} from v1 where not ok)
+    union all
+    select {json_key(first)}, '*', 'GROUP', null, null, 'PASS' from v1 where ok
+    union all
+    select {json_key(both)}, '*', 'GROUP', null, null, case when ok then 'PASS' else 'FAIL' end from v2"""
 
 
 def drilldown_sql(pair: DerivedPair, groups: Sequence[str]) -> str:
     """Two levels, then rows inside the failing groups."""
+    first, both = groups[:1], list(groups)
+    return f"""with {drilldown_ctes(pair, groups)}
+    select cast(1 as bigint) as level, {json_key(first)} as group_key, 'PASS' as outcome,
+           cast(null as varchar) as primary_key_value from v1 where ok
+    union all
+    select 2, {json_key(both)}, case when ok then 'PASS' else 'FAIL' end, null from v2
+    union all
+    select 3, {json_key(both)}, outcome, {json_key(pair.keys)} from rd"""
+
+
+def drilldown_ctes(pair: DerivedPair, groups: Sequence[str]) -> str:
     first, both = groups[:1], list(groups)
     columns = [c for c in pair.columns if c not in groups]
     early = [c for c in pair.columns if c not in first]
@@ -372,7 +435,7 @@ def drilldown_sql(pair: DerivedPair, groups: Sequence[str]) -> str:
     )
     merged = ", ".join(f"case when s.m is null then t.{k} else s.{k} end as {k}" for k in (*pair.keys, *both))
     digest = row_hash(pair.columns)
-    return f"""with {sides(pair)},
+    return f"""{sides(pair)},
     c1 as (select * from {comparison('src', 'tgt', early, first, rows=True)}),
     v1 as (select {g1}, bool_and(status = 'PASS') as ok from c1 group by {g1}),
     c2 as (select * from {comparison('src', 'tgt', columns, both, rows=True)}),
@@ -384,13 +447,7 @@ def drilldown_sql(pair: DerivedPair, groups: Sequence[str]) -> str:
     rd as (select {merged}, case when s.m is null then 'MISSING_IN_SOURCE'
                   when t.m is null then 'MISSING_IN_TARGET' else 'HASH_MISMATCH' end as outcome
            from fs s full outer join ft t on {joined}
-           where s.m is null or t.m is null or s.h <> t.h)
-    select cast(1 as bigint) as level, {json_key(first)} as group_key, 'PASS' as outcome,
-           cast(null as varchar) as primary_key_value from v1 where ok
-    union all
-    select 2, {json_key(both)}, case when ok then 'PASS' else 'FAIL' end, null from v2
-    union all
-    select 3, {json_key(both)}, outcome, {json_key(pair.keys)} from rd"""
+           where s.m is null or t.m is null or s.h <> t.h)"""
 
 
 def fingerprint_sql(pair: DerivedPair, n: int) -> str:
@@ -557,6 +614,9 @@ ORACLES: dict[str, str] = {
     "row_diff_one_missing": diff_sql(ORDERS),
     "row_diff_nodedupe": nodedupe_sql(LINEITEM),
     "row_hash_groups": hash_groups_sql(LINEITEM),
+    "row_surplus": f"""with {surplus_ctes(LINEITEM)}
+      select l_orderkey, l_linenumber, mismatch_type, source_row_hash, target_row_hash, n_rows from diff""",
+    "relaxed_numbers": relaxed_numbers_sql(MIXED_NUMBERS),
     "missing_in_source": missing_sql(LINEITEM, "tgt", "src"),
     "missing_in_target": missing_sql(LINEITEM, "src", "tgt"),
     "hash_mismatch": f"select * from ({diff_sql(LINEITEM)}) where mismatch_type = 'HASH_MISMATCH'",
@@ -581,7 +641,7 @@ ORACLES: dict[str, str] = {
       select column_name, metric, {two_sided()}, status
       from {comparison('src', 'tgt', CUSTOMER.columns)} where status = 'FAIL'""",
     "column_drift_empty": f"""select * from ({results_sql(DISJOINT, parts=('count',))})
-      union all select 'orders', 'column', null, null, null, null, null, null, 'SKIPPED'""",
+      union all select 'orders', 'column', null, null, null, null, 'SKIPPED'""",
     "grouped_column_diff": f"""with {sides(CUSTOMER)}
       select {json_key(['c_nationkey'])} as group_key, column_name, metric, {two_sided()}, status
       from {comparison('src', 'tgt', [c for c in CUSTOMER.columns if c != 'c_nationkey'],
@@ -589,8 +649,13 @@ ORACLES: dict[str, str] = {
     "grouped_drilldown": drilldown_sql(CUSTOMER, DRILL_GROUPS),
     "bucket_fingerprint": fingerprint_sql(LINEITEM, N_BUCKETS),
     "bucket_narrowed_diff": diff_sql(LINEITEM),
+    "fingerprint_tree_diff": diff_sql(LINEITEM),
     "validate_pair": CUSTOMER_RESULTS,
     "validate_pair_composite": results_sql(LINEITEM),
+    "validate_pair_all_rows": results_sql(LINEITEM, every=True),
+    "validate_pair_mapped": results_sql(FILTERED),
+    "validate_grouped": grouped_check_sql(CUSTOMER, DRILL_GROUPS),
+    "batch_isolated": isolated_sql(),
     "batch_validate": union(*[results_sql(p) for p in (CUSTOMER, ORDERS, EVENTS, LINEITEM)]),
     "plan_row_check": results_sql(EVENTS, where=EVENTS_FILTER_SQL, parts=("count", "row")),
     "plan_column_check": results_sql(

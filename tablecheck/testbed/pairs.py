@@ -163,6 +163,44 @@ CUSTOM_COLUMN = DerivedPair(
     """,
 )
 
+# Numbers of one value under several types, beside values that no common type holds.
+MIXED_NUMBERS = DerivedPair(
+    "supplier",
+    ("s_suppkey",),
+    ("amount", "large", "whole"),
+    """
+    select s_suppkey,
+           case when s_suppkey%10=0 then 1e-11 when s_suppkey%10=1 then cast('NaN' as double)
+                else s_acctbal end as amount,
+           case when s_suppkey%7=0 then 1e30 else s_acctbal end as large,
+           cast(s_suppkey as double) as whole
+    from {supplier}
+    """,
+    """
+    select s_suppkey,
+           case when s_suppkey%10=0 then cast(0 as decimal(20,11))
+                when s_suppkey%10=1 then cast(null as decimal(20,11))
+                else cast(s_acctbal as decimal(20,11)) end as amount,
+           case when s_suppkey%7=0 then cast('1000000000000000000000000000000' as decimal(38,4))
+                else cast(s_acctbal as decimal(38,4)) end as large,
+           s_suppkey + case when s_suppkey%13=0 then 1 else 0 end as whole
+    from {supplier}
+    """,
+)
+
+# The customer pair with another predicate on each side, and its target under names of its own.
+FILTERED = DerivedPair(
+    "customer",
+    CUSTOMER.keys,
+    CUSTOMER.columns,
+    "select * from {customer} where c_acctbal >= 0",
+    f"select * from ({CUSTOMER.target}) x where c_acctbal >= 1",
+)
+OTHER_NAMES = {"c_custkey": "id", "c_name": "full name", "c_nationkey": "nation", "c_acctbal": "balance", "c_mktsegment": "segment"}
+
+# Text where a number is asked for: fails in the rows, not before.
+BROKEN = "select c_custkey, c_name, cast(c_name as int) as c_nationkey, c_acctbal, c_mktsegment from {customer}"
+
 # An inventory line per part; one part in so many breaks one of the rules.
 INVENTORY = """
     select p_partkey + 2 as line,

@@ -12,6 +12,7 @@ from ..functions import key_json, normalise_keys, row_hash
 from ..operators.buckets import bucket_fingerprints, narrowed_row_diff
 from ..operators.columns import Aligned, align
 from ..operators.filters import filter_keys
+from ..operators.fingerprint_tree import stored_tree, tree_row_diff
 from ..operators.grouped import grouped_drilldown
 from ..operators.metrics import (
     column_comparison,
@@ -31,20 +32,21 @@ from ..operators.rowdiff import (
     missing_in_target,
     row_diff,
     row_diff_all,
+    row_surplus,
     with_details,
     with_light_details,
 )
 from ..operators.sampling import sample_keys, sampled
 from ..plans.inventory import compile_plan, lint_inventory
-from ..plans.run import run_plan
+from ..plans.run import run_plan, validate_batch
 from ..plans.validate import (
     audit_rows,
     run_pair,
     stamp,
     union_results,
-    validate_batch,
     validate_column,
     validate_custom,
+    validate_grouped,
     validate_pair,
     validate_row,
     validate_schema,
@@ -55,6 +57,7 @@ from ..sources import INVENTORY_COLUMNS, load_inventory, load_query, load_table
 from ..sources.inventory import clean_inventory
 from ..spec import PairSpec, Run
 from .pairs import (
+    BROKEN,
     CUSTOM_COLUMN,
     CUSTOM_ROW,
     CUSTOMER,
@@ -62,10 +65,13 @@ from .pairs import (
     DRILL_GROUPS,
     EVENTS,
     EVENTS_FILTER,
+    FILTERED,
     INVENTORY,
     LINEITEM,
     N_BUCKETS,
+    MIXED_NUMBERS,
     ORDERS,
+    OTHER_NAMES,
     PADDED,
     PAIRS,
     RELAXED,
@@ -79,34 +85,32 @@ RUN = Run("run-1", datetime(2026, 1, 1, tzinfo=timezone.utc), {"suite": "testbed
 
 
 def spec_of(spark: SparkSession, sf_dir: str, pair: DerivedPair, **options) -> PairSpec:
+    """The pair with the row hash of the golden record, which SQL writes down as it is."""
     configure(spark)
     source, target = pair.load(spark, sf_dir)
-    return PairSpec(pair.table, source, target, pair.keys, **options)
+    return PairSpec(pair.table, source, target, pair.keys, **{"hash_mode": "compat", **options})
 
 
 def aligned(spark: SparkSession, sf_dir: str, pair: DerivedPair, **options) -> Aligned:
     return align(spec_of(spark, sf_dir, pair, **options))
 
 
-def two_digits(value: str) -> str:
-    """Two digits, cut at a place where neither sums nor means of cents lie: float results
-    depend on the order of the rows, and a value on the edge would fall to either side."""
-    return f"floor(try_cast({value} as double) * 100 + 0.2929D) / 100.0D"
+def shown_value(metric: str, value: str) -> str:
+    """A metric value as text, whole; sums and means of floating point numbers, which depend on the
+    engine's order of adding up, to nine digits, shifted a little so that none lies between two."""
+    rounded = f"format_string('%.8e', try_cast({value} as double) * 1.0000000002929D)"
+    return f"if({metric} in ('SUM', 'AVG') and not rlike({value}, '^-?[0-9]+$'), {rounded}, {value})"
 
 
 def shown(results: DataFrame, *lead: str) -> DataFrame:
-    """Metric rows with two-digit numbers; other values as text."""
-    sides = []
-    for side in ("source", "target"):
-        value = f"{side}_value"
-        sides.append(f"{two_digits(value)} as {side}_number")
-        sides.append(f"if(try_cast({value} as double) is null, {value}, null) as {side}_text")
+    """Metric rows with the values of both sides."""
+    sides = [f"{shown_value('metric', f'{side}_value')} as {side}_value" for side in ("source", "target")]
     return results.selectExpr(*lead, "column_name", "metric", *sides, "status")
 
 
 def results_of(results: DataFrame) -> DataFrame:
-    """Result rows; a row class has no sides, so its count is shown as the source's number."""
-    value = "if(check = 'row', cast(difference as string), source_value)"
+    """Result rows; a row class has no sides, so its count is shown as the source's value."""
+    value = "if(check = 'row', cast(cast(difference as bigint) as string), source_value)"
     return shown(
         results.withColumn("source_value", F.expr(value)), "pair", "check"
     )
@@ -288,6 +292,17 @@ def row_diff_nodedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("n_pairs", F.col("n_pairs").cast("string"))
 
 
+def rows_left_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = row_surplus(aligned(spark, sf_dir, LINEITEM))
+    return rows.select(*LINEITEM.keys, "mismatch_type", "source_row_hash", "target_row_hash", "n_rows")
+
+
+def relaxed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubles against decimals and integers; the columns that differ, with both texts."""
+    pair = aligned(spark, sf_dir, MIXED_NUMBERS, match="name", hash_mode="strict")
+    return cell_diff(pair, materialise(row_diff(pair), "diff"))
+
+
 def row_hash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_groups(aligned(spark, sf_dir, LINEITEM))
 
@@ -355,8 +370,7 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr(
         "column_name",
         "metric",
-        f"{two_digits('text')} as number",
-        "if(try_cast(text as double) is null, text, null) as text",
+        f"{shown_value('metric', 'text')} as value",
     )
 
 
@@ -391,6 +405,12 @@ def drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_results(groups, rows)
 
 
+def grouped_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All metric rows of the final groups, and the verdict of each group."""
+    found = validate_grouped(spec_of(spark, sf_dir, CUSTOMER), RUN, DRILL_GROUPS).results
+    return shown(found, "group_key")
+
+
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bucket_fingerprints(aligned(spark, sf_dir, LINEITEM), N_BUCKETS, "sha256")
     return rows.select(
@@ -408,6 +428,17 @@ def bucket_narrowed_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _diff_columns(LINEITEM, narrowed_row_diff(aligned(spark, sf_dir, LINEITEM)))
 
 
+def tree_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees of both sides, stored and compared from the top down."""
+    pair = aligned(spark, sf_dir, LINEITEM)
+    folder = scratch_path(spark, "trees")
+    trees = [
+        stored_tree(df, pair.keys, pair.columns, folder, version, hash_mode=pair.hash_mode)
+        for df, version in ((pair.source, "source-1"), (pair.target, "target-1"))
+    ]
+    return _diff_columns(LINEITEM, tree_row_diff(*trees))
+
+
 # Schema ------------------------------------------------------------------------------------
 
 
@@ -436,6 +467,29 @@ def whole_pair_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results_of(validate_pair(spec_of(spark, sf_dir, LINEITEM), RUN).results)
 
 
+def whole_pair_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated keys compared row by row, in place of one row for each key."""
+    return results_of(validate_pair(spec_of(spark, sf_dir, LINEITEM, repeats="all"), RUN).results)
+
+
+def mapped_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target has its own column names and its own predicate."""
+    spec = spec_of(spark, sf_dir, CUSTOMER, filter="c_acctbal >= 0", target_filter="c_acctbal >= 1")
+    target = spec.target.toDF(*[OTHER_NAMES[c] for c in spec.target.columns])
+    names = {k: v for k, v in OTHER_NAMES.items() if k not in spec.keys}
+    keys = [OTHER_NAMES[k] for k in spec.keys]
+    return results_of(validate_pair(replace(spec, target=target, target_keys=keys, column_map=names), RUN).results)
+
+
+def batch_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch in which pairs fail while they run, and one that has no such key: rows by status."""
+    good = spec_of(spark, sf_dir, CUSTOMER)
+    bad_cast = replace(good, name="bad cast", target=spark.sql(BROKEN, customer=load_table(spark, f"{sf_dir}/customer.parquet")))
+    no_key = replace(good, name="no key", keys=["c_nokey"])
+    rows = validate_batch([bad_cast, good, no_key, spec_of(spark, sf_dir, ORDERS)], RUN)
+    return rows.groupBy("pair", "check", "status").agg(F.count("*").alias("n"))
+
+
 def batch_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = [spec_of(spark, sf_dir, p) for p in (CUSTOMER, ORDERS, EVENTS, LINEITEM)]
     return results_of(validate_batch(specs, RUN))
@@ -548,6 +602,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_diff_one_missing": _row_diff(ORDERS),
     "row_diff_nodedupe": row_diff_nodedupe,
     "row_hash_groups": row_hash_groups,
+    "row_surplus": rows_left_over,
+    "relaxed_numbers": relaxed_numbers,
     "missing_in_source": absent_in_source,
     "missing_in_target": absent_in_target,
     "hash_mismatch": changed_rows,
@@ -564,9 +620,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "grouped_drilldown": drilldown,
     "bucket_fingerprint": fingerprints,
     "bucket_narrowed_diff": bucket_narrowed_diff,
+    "fingerprint_tree_diff": tree_diff,
     "validate_pair": whole_pair,
     "validate_pair_composite": whole_pair_composite,
+    "validate_pair_all_rows": whole_pair_all_rows,
+    "validate_pair_mapped": mapped_pair,
+    "validate_grouped": grouped_check,
     "batch_validate": batch_validate,
+    "batch_isolated": batch_isolated,
     "plan_row_check": plan_row_check,
     "plan_column_check": plan_column_check,
     "inventory_lint": inventory_lint,

@@ -38,7 +38,7 @@ def pair_of(spark):
     def build(source, target, keys, schema, target_schema=None, **options):
         s = spark.createDataFrame(source, schema)
         t = spark.createDataFrame(target, target_schema or schema)
-        return tc.align(tc.PairSpec("pair", s, t, keys, **options))
+        return tc.align(tc.PairSpec("pair", s, t, keys, **{"hash_mode": "compat", **options}))
 
     return build
 
@@ -51,7 +51,7 @@ def derived(spark):
     def build(table, **options):
         pair = PAIRS[table]
         source, target = pair.load(spark, SF_DIR)
-        return tc.PairSpec(table, source, target, pair.keys, **options)
+        return tc.PairSpec(table, source, target, pair.keys, **{"hash_mode": "compat", **options})
 
     return build
 

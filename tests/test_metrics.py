@@ -1,5 +1,7 @@
 import json
-from decimal import Decimal
+import math
+import random
+from decimal import Decimal, getcontext
 
 import pytest
 
@@ -64,7 +66,7 @@ def test_metrics_by_type_class(spark):
     schema = "i int, d decimal(5,2), f float, t string, ts timestamp_ntz, b boolean, y binary, a array<int>"
     df = spark.createDataFrame([], schema)
     found = {}
-    for r in tc.column_metrics(df, df.columns).collect():
+    for r in tc.column_metrics(df, df.columns).orderBy("__tc_metric").collect():
         found.setdefault(r["column_name"], []).append(r["metric"])
     numeric = ["NULL_COUNT", "SUM", "AVG", "MIN", "MAX"]
     ordered = ["NULL_COUNT", "MIN", "MAX"]
@@ -90,6 +92,44 @@ def test_integer_sums_do_not_overflow(spark):
             assert one.selectExpr(exact_sum_sql("v", bits)).first()[0] == 3 * value
 
 
+def metric(df, name="x", which="SUM"):
+    return next(r["text"] for r in tc.column_metrics(df, [name]).collect() if r["metric"] == which)
+
+
+def test_floating_point_sums_do_not_depend_on_the_order_of_rows(spark):
+    random.seed(3)
+    kinds = [lambda: random.gauss(0, 1), lambda: random.uniform(-1e300, 1e300), lambda: 5e-324 * random.randint(1, 99),
+             lambda: -1e-260 * random.random(), lambda: 0.0, lambda: -0.0, lambda: 2.0 ** random.randint(-1070, 1000)]
+    values = [random.choice(kinds)() for _ in range(300)] + [2.0**k for k in range(-1074, 1000, 3)]
+
+    def total(rows, parts):
+        df = spark.createDataFrame([(v,) for v in rows], "x double").repartition(parts)
+        return metric(df), metric(df, which="AVG")
+
+    random.shuffle(values)
+    one = total(values, 3)
+    assert one == total(sorted(values), 1) and float(one[0]) == pytest.approx(math.fsum(values), rel=1e-15)
+    cents = [random.randint(-(10**9), 10**9) / 100 for _ in range(2000)]
+    assert float(total(cents, 2)[0]) == math.fsum(cents)
+    inf, nan = float("inf"), float("nan")
+    assert [total(v, 1)[0] for v in ([inf, 1.0], [inf, -inf], [nan, 1.0], [-inf], [None, None])] == ["Infinity", "NaN", "NaN", "-Infinity", None]
+    grouped = spark.createDataFrame([("a", 0.1)] * 10 + [("b", None), (None, 2.5)], "g string, x double")
+    found = {r["group_key"]: r["text"] for r in tc.column_metrics(grouped, ["x"], ["g"]).collect() if r["metric"] == "SUM"}
+    assert found == {'{"g":"a"}': "1.0", '{"g":"b"}': None, '{"g":null}': "2.5"}
+
+
+@pytest.mark.parametrize("precision, scale", [(38, 0), (38, 10), (38, 38), (30, 2), (29, 29), (28, 5), (18, 2)])
+def test_decimal_sums_of_any_width_are_exact(spark, precision, scale):
+    random.seed(precision + scale)
+    getcontext().prec = 90
+    unit = Decimal(10) ** -scale
+    top = (10**precision - 1) * unit
+    for values in ([top, top], [-top, -top, -top], [top, -top], [random.randrange(10**precision) * unit * random.choice([1, -1]) for _ in range(9)]):
+        df = spark.createDataFrame([(v,) for v in values], f"x decimal({precision},{scale})").repartition(2)
+        expected = sum(values, Decimal(0))
+        assert metric(df) == f"{abs(expected) if not expected else expected:.{scale}f}"
+
+
 def test_sum_of_nulls_is_null(spark):
     df = spark.createDataFrame([(None,)], "i int")
     rows = {r["metric"]: r["text"] for r in tc.column_metrics(df, ["i"]).collect()}
@@ -145,12 +185,13 @@ def test_metrics_match_on_columns(spark):
     assert [r[0] for r in df.select(tc.metrics_match("s", "t")).collect()] == [True, False]
 
 
-def test_one_pass_per_side(derived):
+def test_one_pass_per_side_and_one_for_floating_point_sums(derived):
     found = tc.column_comparison(tc.align(derived("orders")))
     found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("FileScan") == 2 and "SortMergeJoin" not in plan
+    assert plan.count("FileScan") == 4 and "SortMergeJoin" not in plan
     assert "o_orderkey" not in plan.split("FileScan")[1].split("]")[0]
+    assert sum("ReadSchema: struct<o_totalprice:double>" in x for x in plan.splitlines()) == 1
 
 
 def test_several_passes_give_the_same_metrics(derived):

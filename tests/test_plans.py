@@ -2,6 +2,9 @@
 
 import json
 import uuid
+from collections import Counter
+from dataclasses import replace
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -502,3 +505,51 @@ def test_columns_of_other_nullability_are_compared(spark, run):
     left = spark.sql("select 1 as k, array(1, 2) as v")
     right = spark.sql("select 1 as k, array(3, cast(null as int)) as v")
     assert tc.row_diff(tc.align(tc.PairSpec("p", left, right, ["k"]))).count() == 1
+
+
+def test_a_batch_goes_on_past_what_fails_while_it_runs(spark, derived, run):
+    good = derived("customer")
+    cast = good.target.withColumn("c_nationkey", F.expr("cast(c_name as int)"))
+    wide = spark.createDataFrame([(1, Decimal(10**38 - 1)), (2, Decimal(10**38 - 1))], "k int, d decimal(38,0)")
+    pairs = [replace(good, name="cast", target=cast), good, tc.PairSpec("wide", wide, wide, ["k"]), replace(good, name="keyless", keys=["nokey"])]
+    rows = tc.validate_batch(pairs, run).collect()
+    status = {(r["pair"], r["check"]) for r in rows if r["status"] == "ERROR"}
+    assert status == {("cast", "row"), ("cast", "column"), ("keyless", "count"), ("keyless", "row"), ("keyless", "column")}
+    alone = tc.validate_batch([good], run).collect()
+    assert Counter(r["status"] for r in rows if r["pair"] == "customer") == Counter(r["status"] for r in alone)
+    assert {r["status"] for r in rows if r["pair"] == "wide"} == {"PASS"}
+
+
+def test_a_pair_beyond_its_deadline_is_cancelled(spark, derived, run, targets):
+    slow = spark.range(0, 10**13, 1, 4).selectExpr("id as k", "sha2(cast(id as string), 256) as v")
+    pairs = [(tc.PairSpec("slow", slow, slow, ["k"]), ("count", "row")), (derived("orders"), ("count",))]
+    tc.run_batch(pairs, run, *targets, deadline=8)
+    rows = [(r["pair"], r["status"], r["message"]) for r in spark.read.parquet(targets[0]).collect()]
+    assert ("slow", "ERROR", "not done within 8 seconds") in rows and ("orders", "FAIL", None) in rows
+
+
+def test_repeated_keys_are_compared_row_by_row_on_demand(spark, run, targets):
+    source, target = (spark.createDataFrame(rows, "k int, v string") for rows in ([(1, "A"), (1, "B")], [(1, "A"), (1, "C")]))
+    spec = tc.PairSpec("x", source, target, ["k"])
+    assert {r["metric"]: r["difference"] for r in tc.validate_row(spec, run).results.collect()}["HASH_MISMATCH"] == 0
+    every = replace(spec, repeats="all")
+    assert {r["metric"]: r["difference"] for r in tc.validate_row(every, run).results.collect()}["HASH_MISMATCH"] == 2
+    tc.run_pair(every, run, *targets)
+    rows = spark.read.parquet(targets[1]).collect()
+    assert sorted((r["source_row_hash"] is None, r["details"]) for r in rows) == [
+        (False, '{"source_record":{"v":"B"},"target_record":null}'),
+        (True, '{"source_record":null,"target_record":{"v":"C"}}'),
+    ]
+
+
+def test_unsafe_plan_rows_are_not_run(spark, run, tmp_path):
+    df = spark.createDataFrame([(1, 1), (2, 2)], "k int, v int")
+    filters = ["v > 1 -- and the rest", "v /* x */ > 1", "v > 1; drop table t", "v > 1"]
+    plan = spark.createDataFrame([(f"p{i}", "a", "b", "row", ["k"], "*", f) for i, f in enumerate(filters)],
+                                 "plan_key string, source string, target string, type string, primary_keys array<string>, concat string, filters string")
+    tc.run_plan(plan, lambda name: df, run, str(tmp_path / "out"))
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r["pair"][-2:]: r["message"] for r in rows if r["status"] == "ERROR"} == {
+        f"p{i}": "R6: the filter holds an unsafe sequence" for i in range(3)
+    }
+    assert {r["status"] for r in rows if r["pair"].endswith("p3")} == {"PASS"}

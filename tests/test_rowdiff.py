@@ -1,10 +1,12 @@
 import json
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 import tablecheck as tc
+from tablecheck.operators import rowdiff
 from tablecheck.operators.rowdiff import cells_by_column
 
 from test_hashing import GOLDEN_HASH, GOLDEN_ROW, GOLDEN_SCHEMA
@@ -47,7 +49,7 @@ def test_captured_run(spark, run):
     others = [(i, f"f{i}", f"l{i}", f"{i}@x.org", "x", "2024-01-01") for i in range(1, 1001) if i != 2]
     source = spark.createDataFrame([GOLDEN_ROW, *others], GOLDEN_SCHEMA)
     target = spark.createDataFrame(others, GOLDEN_SCHEMA)
-    pair = tc.align(tc.PairSpec("customer", source, target, ["id"]))
+    pair = tc.align(tc.PairSpec("customer", source, target, ["id"], hash_mode="compat"))
     assert len(pair.columns) == 5
     rows = tc.with_details(pair, tc.row_diff(pair)).collect()
     assert [tuple(r) for r in rows] == [
@@ -83,9 +85,7 @@ def test_swapping_sides_swaps_the_missing_classes(derived):
 
 def test_partitioning_does_not_matter(derived):
     spec = derived("lineitem")
-    shuffled = tc.PairSpec(
-        "x", spec.source.repartition(7), spec.target.orderBy(F.rand(1)).repartition(3), spec.keys
-    )
+    shuffled = replace(spec, source=spec.source.repartition(7), target=spec.target.orderBy(F.rand(1)).repartition(3))
     one = {tuple(r) for r in tc.row_diff(tc.align(spec)).collect()}
     two = {tuple(r) for r in tc.row_diff(tc.align(shuffled)).collect()}
     assert one == two
@@ -275,10 +275,48 @@ def shuffles(df):
     return plan.count("Exchange hashpartitioning"), plan
 
 
-def test_row_diff_shuffles_once_and_carries_no_payload(derived):
-    n, plan = shuffles(tc.row_diff(tc.align(derived("customer"))))
-    assert n == 1
-    assert "Join" not in plan
+@pytest.mark.parametrize("table", ["customer", "events", "lineitem"])
+def test_row_diff_sorts_nothing_and_shuffles_keys_once_a_step(derived, table):
+    pair = tc.align(derived(table))
+    n, plan = shuffles(rowdiff.screened(pair))
+    assert n == 1 and "Join" not in plan and "sha2" not in plan and "Sort" not in plan
+    n, plan = shuffles(tc.row_diff(pair))
+    assert "Sort" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    n, plan = shuffles(tc.row_diff(replace(pair, screen=False)))
+    assert n == 1 and "Join" not in plan and "Sort" not in plan
+
+
+@pytest.mark.parametrize("screen", [True, False])
+@pytest.mark.parametrize("algo", ["sha256", "xxhash64"])
+def test_rows_left_over_among_repeated_keys(pair_of, screen, algo):
+    source = [(1, "A"), (1, "B"), (2, "A"), (2, "A"), (3, "x"), (4, "y"), (4, "z"), (None, "n"), (None, "n"), (6, "q")]
+    target = [(1, "A"), (1, "C"), (2, "A"), (3, "x"), (4, "z"), (4, "y"), (5, "w"), (None, "n"), (6, "q"), (6, "q"), (6, "r")]
+    pair = pair_of(source, target, ["k"], "k int, v string", screen=screen, hash_algo=algo)
+    found = [(r["k"], r["mismatch_type"], r["source_row_hash"] is not None, r["n_rows"]) for r in tc.row_surplus(pair).collect()]
+    assert sorted(found, key=repr) == sorted(
+        [
+            (1, "HASH_MISMATCH", True, 1),
+            (1, "HASH_MISMATCH", False, 1),
+            (2, "MISSING_IN_TARGET", True, 1),
+            (5, "MISSING_IN_SOURCE", False, 1),
+            (6, "MISSING_IN_SOURCE", False, 1),
+            (6, "MISSING_IN_SOURCE", False, 1),
+            (None, "MISSING_IN_TARGET", True, 2),
+            (None, "MISSING_IN_SOURCE", False, 1),
+        ],
+        key=repr,
+    )
+    if algo == "sha256":
+        rows = {(r["primary_key_value"], r["details"]) for r in tc.with_details(pair, tc.row_surplus(pair)).collect()}
+        assert ('{"k":1}', '{"source_record":{"v":"B"},"target_record":null}') in rows
+        assert ('{"k":1}', '{"source_record":null,"target_record":{"v":"C"}}') in rows and len(rows) == 8
+
+
+def test_screen_leaves_what_only_the_text_decides(pair_of):
+    """Values differ, but their texts agree; and the other way round."""
+    source, target = [(1, None, 0.0), (2, "a||b", 1.0)], [(1, "NULL", 0.0), (2, "a||b", -0.0)]
+    pair = pair_of(source, target, ["k"], "k int, v string, w double", hash_mode="compat")
+    assert [(r["k"], r["mismatch_type"]) for r in tc.row_diff(pair).collect()] == [(2, "HASH_MISMATCH")]
 
 
 def test_presence_reads_keys_only(derived):
@@ -333,6 +371,15 @@ def test_random_tables_against_brute_force(pair_of, seed):
     assert found == every
     extra = sum(len(v) - 1 for v in s.values())
     assert tc.duplicate_count(pair.source, ["k", "l"]).first()[0] == extra
+    assert {tuple(r) for r in tc.row_diff(replace(pair, screen=False)).collect()} == expected
+    left = {}
+    for side, rows, other in (("s", source, target), ("t", target, source)):
+        for row, n in Counter(rows).items():
+            more = n - (0 if row[0] is None else Counter(other)[row])
+            if more > 0:
+                left[side, *row[:2], hashlib.sha256(row[2].encode()).hexdigest()] = more
+    got = {("s" if r["source_row_hash"] else "t", r["k"], r["l"], r["source_row_hash"] or r["target_row_hash"]): r["n_rows"] for r in tc.row_surplus(pair).collect()}
+    assert got == left
     for buckets in (1, 4, 64):
         narrowed = {tuple(r) for r in tc.narrowed_row_diff(pair, buckets).collect()}
         assert narrowed == expected

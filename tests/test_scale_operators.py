@@ -159,3 +159,40 @@ def test_drilldown_finds_what_aggregates_can_show(derived):
 def test_unknown_group_column(derived):
     with pytest.raises(ValueError, match="shared"):
         tc.grouped_drilldown(tc.align(derived("customer")), ["nope"])
+
+
+def test_tree_finds_a_changed_row_in_one_leaf(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr("id as k", "id * 7 as v")
+    changed = rows.withColumn("v", F.expr("if(k = 4711, -1, v)"))
+    one, two = (tc.stored_tree(df, ["k"], ["v"], str(tmp_path), name, depth=3, fanout=8) for df, name in ((rows, "v1"), (changed, "v2")))
+    assert tc.differing_leaves(one, two).count() == 1
+    diff = tc.tree_row_diff(one, two)
+    assert [(r["k"], r["mismatch_type"]) for r in diff.collect()] == [(4711, "HASH_MISMATCH")]
+    assert diff.select("source_row_hash", "target_row_hash").collect() == tc.row_diff(
+        tc.align(tc.PairSpec("x", rows, changed, ["k"]))
+    ).select("source_row_hash", "target_row_hash").collect()
+    # Neither table is read, and of the stored keys only the folder of the leaf's first node.
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan and "dynamicpruning" in plan.lower()
+    assert tc.differing_leaves(one, one).count() == 0 and tc.tree_row_diff(one, one).count() == 0
+
+
+def test_tree_is_built_once_for_a_version(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id as k", "id as v")
+    first = tc.stored_tree(rows, ["k"], ["v"], str(tmp_path), "v1", depth=2, fanout=4)
+    # The version is there: the table given is not even looked at.
+    again = tc.stored_tree(rows.limit(0), ["k"], ["v"], str(tmp_path), "v1", depth=2, fanout=4)
+    assert again.rows.count() == 100 and tc.tree_row_diff(first, again).count() == 0
+    with pytest.raises(ValueError):
+        tc.differing_leaves(first, tc.stored_tree(rows, ["k"], ["v"], str(tmp_path), "deep", depth=3, fanout=4))
+
+
+def test_tree_with_odd_rows(spark, tmp_path):
+    schema = "k int, l string, v string"
+    source = [(1, "a", "x"), (1, "a", "y"), (None, "a", "n"), (2, None, "z"), (3, "c", None), (4, "d", "same"), (4, "d", "same")]
+    target = [(1, "a", "y"), (1, "a", "x"), (None, "a", "n"), (3, "c", "now"), (4, "d", "same"), (5, "e", "new")]
+    pair = tc.align(tc.PairSpec("x", spark.createDataFrame(source, schema), spark.createDataFrame(target, schema), ["k", "l"]))
+    trees = [tc.stored_tree(df, pair.keys, pair.columns, str(tmp_path), name) for df, name in ((pair.source, "s"), (pair.target, "t"))]
+    assert {tuple(r) for r in tc.tree_row_diff(*trees).collect()} == {tuple(r) for r in tc.row_diff(pair).collect()}
+    empty = tc.stored_tree(pair.source.limit(0), pair.keys, pair.columns, str(tmp_path), "none")
+    assert tc.tree_row_diff(trees[0], empty).count() == 5
