@@ -27,7 +27,6 @@ empty table gives an empty table; repeated rows count as often as they are there
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,10 +42,10 @@ from tablecheck.llm.words import stretches
 SCALE, PRIOR = 10**9, 5
 
 #: Terms of a block and groups of a tile.
-BLOCK, TILE = 256, 8
+BLOCK, TILE = 256, 16
 
-#: Entries that a task counts before it hands them on.
-ENTRIES = 400_000
+#: Occurrences that a task gathers before it counts them, and terms that it knows at most.
+TOKENS, ENTRIES = 6_000_000, 1_000_000
 
 _OTHER = bytes(b for b in range(128) if not chr(b).isalpha())
 _SPACED = bytes.maketrans(_OTHER, b" " * len(_OTHER))
@@ -65,36 +64,6 @@ def _named(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     return docs.select(filled(lang, "lang"), filled(source, "source"), filled(text, "text"))
 
 
-def _rows(counts: dict[tuple, int], names: tuple[str, ...]) -> pa.RecordBatch:
-    *keys, term = zip(*counts)
-    arrays = [*(pa.array(k, pa.string()) for k in keys), pa.array(term, pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())]
-    return pa.RecordBatch.from_arrays(arrays, names=list(names))
-
-
-def _flattened(groups: dict[tuple, Counter]) -> dict[tuple, int]:
-    return {(*key, term): n for key, found in groups.items() for term, n in found.items()}
-
-
-def document_counts(docs: DataFrame) -> DataFrame:
-    """``lang``, ``term`` and the number ``df`` of documents that hold it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple, Counter] = {}
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary())):
-                distinct: set[bytes] = set()
-                for words in terms_of(text.as_py()):
-                    distinct.update(words)
-                found.setdefault((lang,), Counter()).update(distinct)
-                if sum(map(len, found.values())) >= ENTRIES:
-                    yield _rows(_flattened(found), ("lang", "term", "df"))
-                    found = {}
-        if any(found.values()):
-            yield _rows(_flattened(found), ("lang", "term", "df"))
-
-    return docs.select("lang", "text").mapInArrow(run, "lang string, term string, df long").groupBy("lang", "term").agg(F.sum("df").alias("df"))
-
-
 def _slots(lang: str, terms: list[bytes]) -> np.ndarray:
     lead = lang.encode() + b"\x00"
     return bitmaps.slots_of(np.fromiter((xxhash.xxh64_intdigest(lead + t) for t in terms), dtype=np.uint64, count=len(terms)))
@@ -109,31 +78,80 @@ def _with_slots(terms: DataFrame) -> DataFrame:
     return terms.select("lang", "term").mapInArrow(run, "slot long")
 
 
+class _Terms:
+    """Numbers of the terms of one language in the order of their arrival; -1 for those not admitted."""
+
+    def __init__(self, lang: str, kept: np.ndarray | None):
+        self.lang, self.kept, self.names = lang, kept, []
+        self.table: dict[bytes, int] = {}
+
+    def __len__(self) -> int:
+        return len(self.table)
+
+    def numbers(self, words: list[bytes] | set[bytes]) -> np.ndarray:
+        new = list((words if isinstance(words, set) else set(words)).difference(self.table))
+        on = np.ones(len(new), dtype=bool) if self.kept is None else bitmaps.admits(self.kept, _slots(self.lang, new))
+        for term, admitted in zip(new, on.tolist()):
+            self.table[term] = len(self.names) if admitted else -1
+            if admitted:
+                self.names.append(term)
+        return np.fromiter(map(self.table.__getitem__, words), dtype=np.int32, count=len(words))
+
+
+def _counted(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], kept: np.ndarray | None, once: bool) -> Iterator[pa.RecordBatch]:
+    """``keys``, ``term`` and ``n``: occurrences of terms by group, or documents that hold them.
+
+    Numbers of terms are gathered and counted when there are many, so that a task hands on few rows
+    for the same term; what it holds is bounded by ``TOKENS`` and ``ENTRIES``.
+    """
+    terms: dict[str, _Terms] = {}
+    found: dict[tuple, list[np.ndarray]] = {}
+    size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        names = {lang: pa.array(t.names, pa.binary()).cast(pa.string()) for lang, t in terms.items()}
+        for group, parts in found.items():
+            numbers = np.concatenate([*parts, np.zeros(0, dtype=np.int32)])
+            n = np.bincount(numbers[numbers >= 0])
+            own = np.flatnonzero(n)
+            if len(own):
+                zeros = pa.array(np.zeros(len(own), dtype=np.int64))
+                arrays = [*(pa.array([x], pa.string()).take(zeros) for x in group), names[group[0]].take(pa.array(own)), pa.array(n[own])]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "term", "n"])
+        found.clear()
+        if sum(map(len, terms.values())) >= ENTRIES:
+            terms.clear()
+
+    for batch in batches:
+        groups = zip(*(batch.column(k).to_pylist() for k in keys))
+        for group, text in zip(groups, batch.column("text").cast(pa.binary())):
+            own = terms.setdefault(group[0], _Terms(group[0], kept))
+            parts = found.setdefault(group, [])
+            lists = terms_of(text.as_py())
+            for words in [set().union(*lists)] if once else lists:
+                parts.append(own.numbers(words))
+                size += len(words)
+                if size >= TOKENS or sum(map(len, terms.values())) >= ENTRIES:
+                    yield from flush()
+                    size, parts = 0, found.setdefault(group, [])
+                    own = terms.setdefault(group[0], _Terms(group[0], kept))
+    yield from flush()
+
+
+def document_counts(docs: DataFrame) -> DataFrame:
+    """``lang``, ``term`` and the number ``df`` of documents that hold it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _counted(batches, ("lang",), None, once=True)
+
+    return docs.select("lang", "text").mapInArrow(run, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("df"))
+
+
 def group_counts(docs: DataFrame, kept: np.ndarray) -> DataFrame:
     """``lang``, ``source``, ``term`` and occurrences ``n`` of the terms that the bitmap admits."""
-    names = ("lang", "source", "term", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple, Counter] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            out: dict[tuple, int] = {}
-            for (lang, source), counts in found.items():
-                terms = list(counts)
-                on = bitmaps.admits(kept, _slots(lang, terms))
-                out.update(((lang, source, t), counts[t]) for t, stays in zip(terms, on) if stays)
-            found.clear()
-            if out:
-                yield _rows(out, names)
-
-        for batch in batches:
-            for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text").cast(pa.binary())):
-                counts = found.setdefault((lang, source), Counter())
-                for words in terms_of(text.as_py()):
-                    counts.update(words)
-                if sum(map(len, found.values())) >= ENTRIES:
-                    yield from flush()
-        yield from flush()
+        return _counted(batches, ("lang", "source"), kept, once=False)
 
     counted = docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, n long")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
