@@ -45,7 +45,7 @@ from .plans.validate import (
 )
 from .session import configure, materialise
 from .sinks import first_mismatches, read_mismatches, read_results, run_history, write_audit, write_results
-from .sources import load_inventory, load_jdbc, load_query, load_table, schema_catalog
+from .sources import load_inventory, load_jdbc, load_query, load_table, load_with_footers, schema_catalog
 from .spec import PairSpec, Run, ValidationResult
 
 __all__ = [name for name in dir() if not name.startswith("_")]

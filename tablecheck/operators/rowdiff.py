@@ -342,15 +342,22 @@ def mismatch_summary(diff: DataFrame) -> DataFrame:
 def dedupe(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the one with the smallest row hash over ``columns``.
 
-    An aggregate, not a window: copies are dropped before the shuffle already.
+    In two steps: keys alone tell which are repeated; rows of all others pass as they are, without a
+    hash and, where the list of repeated keys is small enough to be broadcast, without a shuffle.  Only
+    the rows of repeated keys are hashed and aggregated.  A null key equals a null.
     """
     compared = [c for c in df.columns if c not in keys] if columns is None else list(columns)
+    names = [f"__tc_w{i}" for i in range(len(keys))]
+    repeated = duplicate_groups(df, keys).select(*[field(k).alias(n) for k, n in zip(keys, names)])
+    same = reduce(lambda a, b: a & b, [field(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
     named = ", ".join(f"{quoted(c)} as c{i}" for i, c in enumerate(df.columns))
-    payload = F.expr(f"struct({named})")
-    kept = df.groupBy(*fields(keys)).agg(
-        F.min_by(payload, row_hash(df.schema, compared)).alias("__tc_row")
+    kept = (
+        df.join(repeated, same, "left_semi")
+        .groupBy(*fields(keys))
+        .agg(F.min_by(F.expr(f"struct({named})"), row_hash(df.schema, compared)).alias("__tc_row"))
     )
-    return kept.selectExpr(*[f"__tc_row.c{i} as {quoted(c)}" for i, c in enumerate(df.columns)])
+    first = kept.selectExpr(*[f"__tc_row.c{i} as {quoted(c)}" for i, c in enumerate(df.columns)])
+    return df.join(repeated, same, "left_anti").unionAll(first)
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:

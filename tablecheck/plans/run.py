@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import threading
-import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
 from ..sinks import read_results, write_results
@@ -22,48 +19,19 @@ from .validate import ALL_CHECKS, note, run_pair, stamp
 CHECKS = {"row": ("count", "row"), "column": ("count", "column"), "schema": ("schema",)}
 
 
-@contextmanager
-def _own_jobs(spark: SparkSession, name: str, deadline: float | None) -> Iterator[threading.Event]:
-    """The Spark jobs of this thread as a group and a scheduler pool of their own.
-
-    At the deadline the group is cancelled with all jobs that it would still start; the event
-    that is handed out then tells why they failed.
-    """
-    context, group, late = spark.sparkContext, f"tablecheck-{uuid.uuid4().hex}", threading.Event()
-
-    def stop() -> None:
-        late.set()
-        context._jsc.sc().cancelJobGroupAndFutureJobs(group)
-
-    timer = threading.Timer(deadline, stop) if deadline is not None else None
-    context.setLocalProperty("spark.scheduler.pool", name)
-    context.setJobGroup(group, f"validation of {name}")
-    if timer:
-        timer.start()
-    try:
-        yield late
-    finally:
-        if timer:
-            timer.cancel()
-        # What is written about the failure belongs to no cancelled group.
-        context.setJobGroup(f"{group}-after", f"report on {name}")
-
-
 def run_batch(
     jobs: Sequence[tuple[PairSpec, Sequence[str]]],
     run: Run,
     results_target: str,
     audit_target: str | None = None,
     workers: int = 3,
-    deadline: float | None = None,
 ) -> None:
     """Validate pairs side by side, at most ``workers`` at a time.
 
-    Each pair is its own set of Spark jobs in a pool of its own, so a failing pair takes no other
-    along, and with ``spark.scheduler.mode=FAIR`` a slow one holds up no other.  A pair that takes
-    longer than ``deadline`` seconds is cancelled and is an ERROR row.  A pair replaces its own
-    partition of the targets: unlike appends, such writes may run at the same time, and a
-    repeated run leaves its rows once.
+    Each pair is its own set of Spark jobs in a scheduler pool of its own, so a failing pair takes
+    no other along, and with ``spark.scheduler.mode=FAIR`` a slow one holds up no other.  A pair
+    replaces its own partition of the targets: unlike appends, such writes may run at the same time,
+    and a repeated run leaves its rows once.
     """
     if not jobs:
         return
@@ -71,17 +39,14 @@ def run_batch(
 
     def one(job: tuple[PairSpec, Sequence[str]]) -> None:
         spec, checks = job
-        problem = None
-        with _own_jobs(spark, spec.name, deadline) as late:
-            try:
-                run_pair(spec, run, results_target, audit_target, checks, mode="replace")
-            except Exception as raised:  # noqa: BLE001 - any failure is a result row
-                problem = str(raised)
-        if late.is_set():
-            problem = f"not done within {deadline} seconds"
-        if problem is not None:
-            failed = stamp(note(spark, "run", ERROR, problem), spec, run)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
+        try:
+            run_pair(spec, run, results_target, audit_target, checks, mode="replace")
+        except Exception as problem:  # noqa: BLE001 - any failure is a result row
+            failed = stamp(note(spark, "run", ERROR, str(problem)), spec, run)
             write_results(failed, results_target, "replace")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
     # The first pair runs alone, as it creates the targets where they are catalog tables.
     first, rest = jobs[0], jobs[1:]
@@ -90,7 +55,7 @@ def run_batch(
         list(pool.map(inheritable_thread_target(spark)(one), rest))
 
 
-def validate_batch(specs: Sequence[PairSpec], run: Run, workers: int = 3, deadline: float | None = None) -> DataFrame:
+def validate_batch(specs: Sequence[PairSpec], run: Run, workers: int = 3) -> DataFrame:
     """The results of all checks of several pairs under one run, as a table that is written first.
 
     Every pair and every check of a pair runs by itself: what fails while it runs is an ERROR row,
@@ -100,7 +65,7 @@ def validate_batch(specs: Sequence[PairSpec], run: Run, workers: int = 3, deadli
         raise ValueError("no pairs")
     spark = specs[0].source.sparkSession
     target = scratch_path(spark, "batch")
-    run_batch([(spec, ALL_CHECKS) for spec in specs], run, target, None, workers, deadline)
+    run_batch([(spec, ALL_CHECKS) for spec in specs], run, target, None, workers)
     return read_results(spark, target, run.run_id)
 
 
@@ -130,7 +95,6 @@ def run_plan(
     results_target: str,
     audit_target: str | None = None,
     workers: int = 3,
-    deadline: float | None = None,
     **options: Any,
 ) -> None:
     """Run every row of a compiled plan; ``resolver`` turns a table name into a DataFrame.
@@ -163,4 +127,4 @@ def run_plan(
         empty = plan.sparkSession.range(0)
         failed = stamp(note(plan.sparkSession, "setup", ERROR, problem), PairSpec(name, empty, empty), run)
         write_results(failed, results_target, "replace", (run.run_id, name))
-    run_batch(jobs, run, results_target, audit_target, workers, deadline)
+    run_batch(jobs, run, results_target, audit_target, workers)

@@ -578,6 +578,10 @@ ORACLES: dict[str, str] = {
         f"select '{t}' as table_name, count(*) as n_rows from {t}"
         for t in ("customer", "events", "lineitem", "orders", "supplier")
     ),
+    "count_from_footers": " union all ".join(
+        f"select '{t}' as table_name, count(*) as n_rows, cast(min({k}) as bigint) as low, cast(max({k}) as bigint) as high from {t}"
+        for t, k in (("customer", "c_custkey"), ("events", "event_id"), ("lineitem", "l_orderkey"), ("orders", "o_orderkey"), ("supplier", "s_suppkey"))
+    ),
     "custom_query_row": custom_row_sql(CUSTOM_ROW),
     "custom_query_column": results_sql(CUSTOM_COLUMN, "custom", parts=("count", "column")),
     "schema_diff": schema_sql(),

@@ -520,18 +520,9 @@ def test_a_batch_goes_on_past_what_fails_while_it_runs(spark, derived, run):
     assert {r["status"] for r in rows if r["pair"] == "wide"} == {"PASS"}
 
 
-def test_a_pair_beyond_its_deadline_is_cancelled(spark, derived, run, targets):
-    slow = spark.range(0, 10**13, 1, 4).selectExpr("id as k", "sha2(cast(id as string), 256) as v")
-    pairs = [(tc.PairSpec("slow", slow, slow, ["k"]), ("count", "row")), (derived("orders"), ("count",))]
-    tc.run_batch(pairs, run, *targets, deadline=8)
-    rows = [(r["pair"], r["status"], r["message"]) for r in spark.read.parquet(targets[0]).collect()]
-    assert ("slow", "ERROR", "not done within 8 seconds") in rows and ("orders", "FAIL", None) in rows
-
-
 def test_repeated_keys_are_compared_row_by_row_on_demand(spark, run, targets):
     source, target = (spark.createDataFrame(rows, "k int, v string") for rows in ([(1, "A"), (1, "B")], [(1, "A"), (1, "C")]))
     spec = tc.PairSpec("x", source, target, ["k"])
-    assert {r["metric"]: r["difference"] for r in tc.validate_row(spec, run).results.collect()}["HASH_MISMATCH"] == 0
     every = replace(spec, repeats="all")
     assert {r["metric"]: r["difference"] for r in tc.validate_row(every, run).results.collect()}["HASH_MISMATCH"] == 2
     tc.run_pair(every, run, *targets)

@@ -3,11 +3,13 @@ from dataclasses import replace
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 import tablecheck as tc
 from tablecheck.operators.columns import shared_type
 
+from conftest import SF_DIR
+
 
 def frame(spark, schema):
     return spark.createDataFrame([], schema)
@@ -158,3 +160,16 @@ def test_sample_takes_two_scans_whatever_repeats(spark):
         order = sorted({7, *range(4000)}, key=lambda k: hashlib.sha256(f"{k}:1".encode()).hexdigest())
         assert sorted(got) == sorted(order[:n])
     assert tc.sample_keys(df.filter("k < 0"), ["k"], 3).count() == 0
+
+
+def test_counts_come_from_the_footers(spark):
+    table = tc.load_with_footers(spark, f"{SF_DIR}/orders.parquet")
+    told = table.agg(F.count("*"), F.min("o_orderkey"), F.max("o_orderdate"))
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(o_orderkey), MAX(o_orderdate)]" in plan
+    assert told.first() == tc.load_table(spark, f"{SF_DIR}/orders.parquet").agg(F.count("*"), F.min("o_orderkey"), F.max("o_orderdate")).first()
+    # With a filter, or for text, the rows are read.
+    some = table.filter("o_orderkey > 10").agg(F.count("*"), F.min("o_orderstatus"))
+    assert "PushedAggregation: []" in some._jdf.queryExecution().executedPlan().toString() and some.first()[0] < told.first()[0]
+    count = tc.count_check(table, table)
+    assert count._jdf.queryExecution().executedPlan().toString().count("PushedAggregation: [COUNT(*)]") == 2
