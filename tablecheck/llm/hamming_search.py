@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecheck.llm.batches import map_slices
+from tablecheck.llm.sampling import least
 from tablecheck.llm.scratch import materialise
 
 #: Vectors of the sample on which rotations and radius are learned.
@@ -135,7 +136,7 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, key: str = "vec_id", v
     divisible by ``every``, its k nearest among all other rows.
     """
     rows = _clean(df, key, vector)
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()
+    sample = least(rows, F.xxhash64("id", "v"), SAMPLE).select("v").collect()
     schema = "query_id long, rank int, vec_id long, score double"
     if not sample:
         return df.sparkSession.createDataFrame([], schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.llm.batches import map_slices
-from tablecheck.llm.chunks import Memory
+from tablecheck.llm.sampling import least
 
 #: Elements that stand within a line, have no content, or hold no markup.
 INLINE = frozenset(
@@ -55,17 +55,73 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Block(NamedTuple):
-    """Text with white space joined, the elements around it, and its share of link text."""
+    """Text with white space joined, the elements around it, and its share of link text.
+
+    ``score`` is what the elements around it weigh, where weights were given in place of a path.
+    """
 
     text: str
     path: tuple[tuple[str, str], ...]
     linked: float
+    score: float = 0.0
+
+
+class _Open:
+    """The elements that are open, with what depends on them kept up to date.
 
+    Opening and closing cost what the element itself has, however deep it lies.  With ``weights`` the
+    weight of the features around a block is kept as a sum, each feature once.
+    """
 
-def leaf_blocks(page: str) -> list[Block]:
+    def __init__(self, weights: dict[str, float] | None):
+        self.weights, self.score = weights, 0.0
+        self.stack: list[tuple[str, str]] = []
+        self.outer: list[tuple[str, str]] = []
+        self.names: dict[str, int] = {}
+        self.features: dict[str, int] = {}
+        self.hidden = 0
+
+    def push(self, name: str, words: str) -> None:
+        self.stack.append((name, words))
+        self.names[name] = self.names.get(name, 0) + 1
+        self.hidden += name in HIDDEN
+        if name not in INLINE:
+            self.outer.append((name, words))
+            self._weigh(name, words, 1)
+
+    def cut(self, i: int) -> None:
+        """Close all elements from the i-th on."""
+        while len(self.stack) > i:
+            name, words = self.stack.pop()
+            self.names[name] -= 1
+            self.hidden -= name in HIDDEN
+            if name not in INLINE:
+                self.outer.pop()
+                self._weigh(name, words, -1)
+
+    def _weigh(self, name: str, words: str, step: int) -> None:
+        if self.weights is None:
+            return
+        for feature in element_features(name, words):
+            n = self.features.get(feature, 0)
+            self.features[feature] = n + step
+            if n + step == (step > 0):
+                self.score += step * self.weights.get(feature, 0.0)
+        if not self.outer:
+            self.score = 0.0  # nothing is left of rounding
+
+    def block(self, text: str, linked: float) -> Block:
+        if self.weights is None:
+            return Block(text, tuple(self.outer), linked)
+        last = self.weights.get(f"at {self.outer[-1][0]}", 0.0) if self.outer else 0.0
+        return Block(text, (), linked, self.weights.get("bias", 0.0) + self.score + last)
+
+
+def leaf_blocks(page: str, weights: dict[str, float] | None = None) -> list[Block]:
     """The blocks of a page in order; text of scripts, styles and the like is left out."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    now = _Open(weights)
+    stack, opened = now.stack, now.names
     texts: list[str] = []
     linked = [0]
 
@@ -73,23 +129,23 @@ def leaf_blocks(page: str) -> list[Block]:
         if texts:
             text = " ".join("".join(texts).split())
             if text:
-                path = tuple(x for x in stack if x[0] not in INLINE)
-                out.append(Block(text, path, min(1.0, linked[0] / len(text))))
+                out.append(now.block(text, min(1.0, linked[0] / len(text))))
             texts.clear()
             linked[0] = 0
 
     def end_head() -> None:
-        names = [tag for tag, _ in stack]
-        if "head" in names and not set(names[names.index("head") :]) - {"head", "noscript"}:
-            del stack[names.index("head") :]
+        if opened.get("head"):
+            names = [tag for tag, _ in stack]
+            if not set(names[names.index("head") :]) - {"head", "noscript"}:
+                now.cut(names.index("head"))
 
     def add(raw: str) -> None:
         if raw.strip(" \t\n\f\r"):
             end_head()
-        if raw and not any(tag in HIDDEN for tag, _ in stack):
+        if raw and not now.hidden:
             text = entities.unescape(raw) if "&" in raw else raw
             texts.append(text)
-            if any(tag == "a" for tag, _ in stack):
+            if opened.get("a"):
                 linked[0] += len(text.strip())
 
     at = 0
@@ -106,14 +162,14 @@ def leaf_blocks(page: str) -> list[Block]:
         if found[1] or found[4]:
             if name not in INLINE:
                 flush()
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1 if opened.get(name) else -1, -1, -1):
                 if stack[i][0] == name:
-                    del stack[i:]
+                    now.cut(i)
                     break
                 if name in INLINE and stack[i][0] not in INLINE:
                     break
             continue
-        if name == "head" and any(tag != "html" for tag, _ in stack):
+        if name == "head" and len(stack) > opened.get("html", 0):
             continue  # a second one, or one within the body, is none
         if name not in IN_HEAD:
             end_head()
@@ -128,17 +184,17 @@ def leaf_blocks(page: str) -> list[Block]:
         if name in RAW:
             close = re.compile(f"</{re.escape(name)}", re.IGNORECASE).search(page, at)
             at = close.start() if close else len(page)
-            stack.append((name, words))
+            now.push(name, words)
             continue
         if name in ENDS_ITSELF:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1 if opened.get(name) else -1, -1, -1):
                 if stack[i][0] == name:
-                    del stack[i:]
+                    now.cut(i)
                     break
                 if stack[i][0] not in INLINE and stack[i][0] not in ENDS_ITSELF:
                     break
         if not attributes or not attributes.endswith("/"):
-            stack.append((name, words))
+            now.push(name, words)
     flush()
     return out
 
@@ -157,17 +213,20 @@ HINTS = {
 _HINT = {word: hint for hint, words in HINTS.items() for word in words.split()}
 
 
+def element_features(tag: str, names: str) -> list[str]:
+    """What an element tells of the blocks in it, each once."""
+    words = set(_WORD.findall(names.lower()))
+    hints = {_HINT[word] for word in words if word in _HINT}
+    return [f"in {tag}", *(f"name {word}" for word in words), *(f"hint {hint}" for hint in hints)]
+
+
 def path_features(path: tuple[tuple[str, str], ...]) -> list[str]:
-    out = ["bias"]
+    out = {"bias"}
     for tag, names in path:
-        out.append(f"in {tag}")
-        for word in _WORD.findall(names.lower()):
-            out.append(f"name {word}")
-            if word in _HINT:
-                out.append(f"hint {_HINT[word]}")
+        out.update(element_features(tag, names))
     if path:
-        out.append(f"at {path[-1][0]}")
-    return sorted(set(out))
+        out.add(f"at {path[-1][0]}")
+    return sorted(out)
 
 
 def text_features(block: Block, place: int, total: int) -> list[str]:
@@ -186,22 +245,16 @@ class Field:
 
     def __init__(self, weights: dict[str, float], start: np.ndarray, change: np.ndarray):
         self.weights, self.start, self.change = weights, start.tolist(), change.tolist()
-        self.paths = Memory(lambda path: sum(weights.get(f, 0.0) for f in path_features(path)), 100_000)
-
-    def path_score(self, path: tuple[tuple[str, str], ...]) -> float:
-        if len(path) > 64:
-            return sum(self.weights.get(f, 0.0) for f in path_features(path))
-        return self.paths[path]
 
     def marks(self, blocks: list[Block]) -> list[bool]:
-        """The best sequence of marks by Viterbi."""
+        """The best sequence of marks by Viterbi, for blocks that were weighed."""
         if not blocks:
             return []
         get, change = self.weights.get, self.change
         other, main = self.start
         back: list[tuple[bool, bool]] = []
         for i, block in enumerate(blocks):
-            score = self.path_score(block.path) + sum(get(f, 0.0) for f in text_features(block, i, len(blocks)))
+            score = block.score + sum(get(f, 0.0) for f in text_features(block, i, len(blocks)))
             if i:
                 to_other = (other + change[0][0], main + change[1][0])
                 to_main = (other + change[0][1], main + change[1][1])
@@ -214,7 +267,7 @@ class Field:
         return marks[::-1]
 
     def text(self, page: str) -> str:
-        blocks = leaf_blocks(page)
+        blocks = leaf_blocks(page, self.weights)
         return "\n".join(b.text for b, mark in zip(blocks, self.marks(blocks)) if mark)
 
 
@@ -326,9 +379,9 @@ TRAINING_PAGES = 120
 
 def fitted(df: DataFrame, key: str = "page_id", page: str = "html", sample: int = TRAINING_PAGES) -> Field:
     """A field trained on up to ``sample`` pages, those of least hash."""
-    rows = df.select(F.col(f"`{page}`").cast("string").alias("page"), F.xxhash64(F.col(f"`{key}`"), F.col(f"`{page}`")).alias("order"))
-    rows = rows.where("page is not null and length(page) < 100000").orderBy("order").limit(sample)
-    return train([r.page for r in rows.select("page", "order").collect()])
+    rows = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{page}`").cast("string").alias("page"))
+    rows = rows.where("page is not null and length(page) < 100000")
+    return train([r.page for r in least(rows, F.xxhash64("id", "page"), sample).collect()])
 
 
 def main_text(df: DataFrame, field: Field | None = None, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

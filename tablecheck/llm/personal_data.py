@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tablecheck.llm.batches import map_slices, text_of
 from tablecheck.llm.process import kept
+from tablecheck.llm.sampling import least
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -456,8 +457,7 @@ def trained(df: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str
     the rules, and from made sentences.
     """
     rows = text_of(df, key, text).where(F.col("text").rlike("[0-9@]") & (F.length("text") < LONGEST))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample).collect()
-    texts = sorted(r.text for r in rows)
+    texts = sorted(r.text for r in least(rows, F.xxhash64("doc_id", "text"), sample).collect())
     digest = hashlib.sha256("\0".join(texts).encode()).hexdigest()
     # Training is the same for the same sample; a session that asks again is spared it.
     made = made_examples(np.random.default_rng(17), 1500)

@@ -211,7 +211,8 @@ def source_rows():
 def test_divergence(spark, monkeypatch, tile, block):
     monkeypatch.setattr(divergence, "TILE", tile)
     monkeypatch.setattr(divergence, "BLOCK", block)
-    monkeypatch.setattr(divergence, "ENTRIES", 50)
+    monkeypatch.setattr(divergence, "ENTRIES", 8 * block)
+    monkeypatch.setattr(divergence, "TOKENS", 50)
     rows = source_rows()
     got = divergence.divergence(table(spark, rows), min_documents=12, limit=5)
     assert sorted(map(tuple, got.collect())) == plain_divergence(rows, 12, 5)
@@ -228,3 +229,52 @@ def test_joint_tables_price_as_plain_sums():
     rng = np.random.default_rng(8)
     left, right = rng.integers(1, 6, (90, 4)) * 10**8, rng.integers(1, 9, (90, 3)) * 10**7
     assert np.array_equal(divergence.block_prices(left, right), np.abs(left[:, :, None] - right[:, None, :]).sum(axis=0))
+
+
+def test_slot_map_is_stored_edited_and_read_back(spark, tmp_path):
+    """Two stored versions, each against a plain loop over the slots."""
+    from tablecheck.llm import sharding
+
+    random.seed(11)
+    sizes = [random.choice([0, random.randrange(1, 2000)]) for _ in range(300)]
+    shards, path = 7, str(tmp_path / "map")
+
+    def given(held, n):
+        """Slots without a shard, heaviest first, to the lightest shard."""
+        loads = [sum(sizes[s] for s, h in held.items() if h == i) for i in range(n)]
+        out = dict(held)
+        for s in sorted((s for s in range(len(sizes)) if s not in held), key=lambda s: (-sizes[s], s)):
+            out[s] = loads.index(min(loads))
+            loads[out[s]] += sizes[s]
+        return out
+
+    df = spark.createDataFrame(list(enumerate(sizes)), "virtual_slot int, size long")
+    sharding.write_map(sharding.new_map(df, shards), path)
+    first = {r.virtual_slot: r.shard for r in sharding.read_map(spark, path).collect()}
+    assert first == given({}, shards)
+    sharding.write_map(sharding.rebalanced(sharding.read_map(spark, path), df, shards + 1), path)
+    share, held = sum(sizes) / (shards + 1) * 1.01, {}
+    for i in range(shards):
+        total = 0
+        for s in sorted((s for s, h in first.items() if h == i), key=lambda s: (sizes[s], s)):
+            total += sizes[s]
+            if total <= share:
+                held[s] = i
+    assert {r.virtual_slot: r.shard for r in sharding.read_map(spark, path).collect()} == given(held, shards + 1)
+    assert {r.virtual_slot: r.shard for r in sharding.read_map(spark, path, 1).collect()} == first
+    assert {r.version for r in sharding.read_map(spark, path).collect()} == {2}
+
+
+def test_deeply_nested_pages_take_linear_time():
+    import time
+
+    from tablecheck.llm import html_text
+
+    started = time.process_time()
+    blocks = html_text.leaf_blocks("<div class='x'>word" * 100_000 + "</span></em>" * 100_000, {"in div": 1.0, "name x": 0.5, "at div": 2.0, "bias": 0.25})
+    assert len(blocks) == 100_000 and {b.score for b in blocks} == {3.75}
+    assert time.process_time() - started < 20
+    page = "<body><div class='a b'><p>one <b>two</b><p>three</div><nav><ul><li>m<li><a>n</a></ul></nav>four"
+    weights = {f: i + 0.5 for i, f in enumerate(sorted({f for b in html_text.leaf_blocks(page) for f in html_text.path_features(b.path)}))}
+    for plain, weighed in zip(html_text.leaf_blocks(page), html_text.leaf_blocks(page, weights), strict=True):
+        assert plain.text == weighed.text and weighed.score == sum(weights[f] for f in html_text.path_features(plain.path))
