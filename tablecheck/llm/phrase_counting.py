@@ -179,7 +179,7 @@ def _text_rows(lang: str, length: int, texts: pa.Array, n: np.ndarray) -> pa.Rec
     return pa.RecordBatch.from_arrays(arrays, names=["lang", "length", "phrase", "n"])
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], most: int = 1_500_000) -> Iterator[pa.RecordBatch]:
+def _gathered(batches: Iterator[pa.RecordBatch], most: int = 300_000) -> Iterator[pa.RecordBatch]:
     """Rows of the same phrase put together, ``most`` rows at a time: common phrases are in every unit."""
     waiting: list[pa.RecordBatch] = []
     size = 0
