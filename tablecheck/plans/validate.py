@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
+from typing import Any
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -269,14 +270,19 @@ def validate_custom(
     run: Run,
     keys: Sequence[str] = (),
     sample: int | None = None,
+    options: Mapping[str, Any] | None = None,
     **views: DataFrame,
 ) -> ValidationResult:
-    """Two queries in place of two tables, compared by ``column`` or by ``row``."""
+    """Two queries in place of two tables, compared by ``column`` or by ``row``.
+
+    ``options`` are those of ``PairSpec``, such as the hash mode.
+    """
     spec = PairSpec(
         name,
         load_query(spark, source_sql, **views),
         load_query(spark, target_sql, **views),
         keys,
+        **(options or {}),
     )
     if kind == "row":
         return validate_row(spec, run, sample)

@@ -82,13 +82,15 @@ from .pairs import (
 )
 
 RUN = Run("run-1", datetime(2026, 1, 1, tzinfo=timezone.utc), {"suite": "testbed"})
+# The row hash of the golden record, in which the SQL counterparts are written.
+GOLDEN = {"hash_mode": "compat"}
 
 
 def spec_of(spark: SparkSession, sf_dir: str, pair: DerivedPair, **options) -> PairSpec:
     """The pair with the row hash of the golden record, which SQL writes down as it is."""
     configure(spark)
     source, target = pair.load(spark, sf_dir)
-    return PairSpec(pair.table, source, target, pair.keys, **{"hash_mode": "compat", **options})
+    return PairSpec(pair.table, source, target, pair.keys, **{**GOLDEN, **options})
 
 
 def aligned(spark: SparkSession, sf_dir: str, pair: DerivedPair, **options) -> Aligned:
@@ -148,7 +150,7 @@ def _custom(spark: SparkSession, sf_dir: str, pair: DerivedPair, kind: str):
     table = load_table(spark, f"{sf_dir}/{pair.table}.parquet")
     views = {pair.table: table}
     return validate_custom(
-        spark, "custom", pair.source, pair.target, kind, RUN, pair.keys, **views
+        spark, "custom", pair.source, pair.target, kind, RUN, pair.keys, options=GOLDEN, **views
     )
 
 
@@ -583,7 +585,7 @@ def planned_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return source if side == "src" else target
 
     results, audit = scratch_path(spark, "results"), scratch_path(spark, "audit")
-    run_plan(plan, resolver, RUN, results, audit)
+    run_plan(plan, resolver, RUN, results, audit, **GOLDEN)
     rows = results_of(load_table(spark, results))
     return rows.withColumn("pair", F.element_at(F.split("pair", "#"), 1))
 

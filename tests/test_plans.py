@@ -544,3 +544,32 @@ def test_unsafe_plan_rows_are_not_run(spark, run, tmp_path):
         f"p{i}": "R6: the filter holds an unsafe sequence" for i in range(3)
     }
     assert {r["status"] for r in rows if r["pair"].endswith("p3")} == {"PASS"}
+
+
+def test_a_custom_check_takes_the_hash_mode(spark, run):
+    one = "select 1 as k, 'a' as v, cast(null as string) as w"
+    two = "select 1 as k, 'b' as v, cast(null as string) as w"
+    found = tc.validate_custom(spark, "q", one, two, "row", run, ["k"], options={"hash_mode": "compat"}).mismatches.first()
+    assert found["source_row_hash"] == spark.sql("select sha2('a||NULL', 256)").first()[0]
+
+
+def test_planned_runs_choose_among_repeated_keys_by_the_golden_hash(spark, tmp_path):
+    """The smallest hash stands for a repeated key, so the count of differing keys hangs on the hash."""
+    import duckdb
+
+    from conftest import SF_DIR
+    from tablecheck.testbed.oracle import ORACLES
+    from tablecheck.testbed.queries import QUERIES
+
+    for table in ("lineitem", "supplier"):
+        (tmp_path / f"{table}.parquet").symlink_to(f"{SF_DIR}/{table}.parquet")
+    # Keys that the pair both changes and repeats.
+    named = "concat('Customer#', 4150 * id) as c_name, cast(id as int) as c_nationkey, 100.5D + id as c_acctbal, 'AUTO' as c_mktsegment"
+    rows = spark.sql(f"select 4150 * id as c_custkey, {named} from range(1, 41)")
+    rows.toPandas().to_parquet(tmp_path / "customer.parquet")
+    duck = duckdb.connect()
+    for table in ("customer", "lineitem", "supplier"):
+        duck.execute(f"create view {table} as select * from '{tmp_path}/{table}.parquet'")
+    wanted = duck.execute(f"select metric, source_value from ({ORACLES['run_plan']}) where \"check\" = 'row' and pair like '%CUSTOMER%'")
+    found = QUERIES["run_plan"](spark, str(tmp_path)).where("check = 'row' and pair like '%CUSTOMER%'")
+    assert {(r["metric"], r["source_value"]) for r in found.collect()} == set(wanted.fetchall())
