@@ -94,8 +94,8 @@ def float_pieces_sql(value: str) -> dict[str, str]:
     }
 
 
-def float_total_sql(pieces: str) -> str:
-    """SQL for the double that an array of (e, hi, mid, lo) sums stands for.
+def float_total_sql(pieces: str, start: str = "0D") -> str:
+    """SQL for the double that an array of (e, hi, mid, lo) sums stands for, added to ``start``.
 
     The array is put in order first, so that the result does not depend on that of the rows.
     """
@@ -104,4 +104,39 @@ def float_total_sql(pieces: str) -> str:
         return f"cast(x.{piece} as double) * power(2D, floor((x.e - {shift}) / 2D)) * power(2D, x.e - {shift} - floor((x.e - {shift}) / 2D))"
 
     terms = " + ".join(part(p, FLOAT_PIECE_BITS * (i + 1)) for i, p in reversed(list(enumerate(("hi", "mid", "lo")))))
-    return f"aggregate(array_sort({pieces}), 0D, (total, x) -> total + ({terms}))"
+    return f"aggregate(array_sort({pieces}), {start}, (total, x) -> total + ({terms}))"
+
+
+# Most values are whole multiples of 2**-60 below 2**36: these need no exponent, as pieces of 24 bits at fixed
+# places hold them.  2**39 rows add up exactly as longs.
+GRID_PIECES = 4
+_GRID_BITS, _GRID_TOP = 24, 36
+
+
+def _power(exponent: int) -> str:
+    return f"{2.0**exponent!r}D"
+
+
+def on_grid_sql(value: str) -> str:
+    """SQL for whether the fixed pieces hold a double whole; null for a null."""
+    scaled = f"{value} * {_power(GRID_PIECES * _GRID_BITS - _GRID_TOP)}"
+    return f"(abs({value}) < {_power(_GRID_TOP)} and rint({scaled}) = {scaled})"
+
+
+def grid_steps(value: str, name: str) -> list[dict[str, str]]:
+    """Projections, one after the other, that cut ``value`` into ``{name}p0`` to ``{name}p3``, nothing lost.
+
+    Each goes on from the columns of the one before; ``{name}x`` is what is left to cut.
+    """
+    steps = [{f"{name}x": f"{value} * {_power(_GRID_BITS - _GRID_TOP)}"}]
+    for i in range(GRID_PIECES):
+        # Cut towards zero, so that what is left has no more digits than the value.
+        steps.append({f"{name}p{i}": f"cast({name}x as bigint)"})
+        steps.append({f"{name}x": f"({name}x - cast({name}p{i} as double)) * {_power(_GRID_BITS)}"})
+    return steps[:-1]
+
+
+def grid_total_sql(sums: list[str]) -> str:
+    """SQL for the double that the sums of the fixed pieces stand for."""
+    parts = [f"cast({s} as double) * {_power(_GRID_TOP - _GRID_BITS * (i + 1))}" for i, s in enumerate(sums)]
+    return " + ".join(reversed(parts))

@@ -14,7 +14,16 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import literal, quoted
 from ..functions.hashing import value_sql
-from ..functions.sums import decimal_sum_sql, exact_sum_sql, float_pieces_sql, float_total_sql
+from ..functions.sums import (
+    GRID_PIECES,
+    decimal_sum_sql,
+    exact_sum_sql,
+    float_pieces_sql,
+    float_total_sql,
+    grid_steps,
+    grid_total_sql,
+    on_grid_sql,
+)
 from ..spec import FAIL, PASS
 from .columns import Aligned
 
@@ -128,41 +137,79 @@ def _passes(
     return [[m for m in metrics if m.column in part] for part in parts]
 
 
+# Floating point columns whose fixed pieces are summed side by side; of more, each value is a row of its own.
+_ON_GRID_COLUMNS = 32
+
+
 def _float_sums(df: DataFrame, metrics: Sequence[Metric], group_by: Sequence[str]) -> DataFrame:
     """Metric rows of the sums and means of floating point columns.
 
-    Each value is cut into integers by its exponent, these are summed as longs, and the sums are put
-    together in a fixed order: the result is the same however the rows lie.  A pass of its own
-    over these columns; a task hands on one row per group, column and exponent.
+    Each value is cut into integers, these are summed as longs, and the sums are put together in a fixed
+    order: the result is the same however the rows lie.  Values of common size and precision are cut
+    at fixed places, all columns of a row side by side; any other value becomes a row of its own and
+    is cut by its exponent.  A pass of its own over these columns; a task hands on one row per
+    group, and one per group, column and exponent of the other values.
     """
     columns = list(dict.fromkeys(m.column for m in metrics))
-    names = group_names(group_by)
-    listed = ", ".join(f"struct({i} as c, cast({quoted(c)} as double) as v)" for i, c in enumerate(columns))
-    rows = df.select(*group_columns(group_by), F.expr(f"inline(array({listed}))"))
-    if not group_by:
-        # Without groups there is a result without rows as well.
-        none = df.sparkSession.range(len(columns)).selectExpr("cast(id as int) as c", "cast(null as double) as v")
-        rows = rows.unionAll(none)
+    names, n = group_names(group_by), len(columns)
+    fixed = range(n) if n <= _ON_GRID_COLUMNS else ()
+    values = [f"cast({quoted(c)} as double) as v{i}" for i, c in enumerate(columns)]
+    rows = df.select(*group_columns(group_by), *map(F.expr, values))
+    rows = rows.selectExpr("*", *[f"coalesce({on_grid_sql(f'v{i}')}, true) as g{i}" for i in fixed])
+    # Number -1 stands for the row with the values at their fixed places.  The others are cut inside the lambda:
+    # the generated code of the rows stays small enough to be compiled.
+    none_left = "cast(null as int) as e, " + ", ".join(f"cast(null as bigint) as {p}" for p in ("hi", "mid", "lo"))
+    whole = f"array(struct(-1 as c, cast(null as double) as v, {none_left}))"
     finite = "abs(v) < double('infinity')"
-    pieces = float_pieces_sql("v")
-    cut = rows.selectExpr(*names, "c", "v", *[f"if({finite}, {x}, null) as {n}" for n, x in pieces.items()])
+    own_pieces = ", ".join(f"if({finite}, {x}, null) as {p}" for p, x in float_pieces_sql("v").items())
+    apart = ", ".join(f"struct({f'if(g{i}, -1, {i})' if fixed else i} as c, v{i} as v)" for i in range(n))
+    apart = f"transform(filter(array({apart}), x -> x.c >= 0), x -> transform(array(x.v), v -> struct(x.c as c, v as v, {own_pieces}))[0])"
+    apart = f"concat({whole}, {apart})"
+    if fixed:
+        apart = f"if({' and '.join(f'g{i}' for i in fixed)}, {whole}, {apart})"
+    rows = rows.selectExpr(*names, *[x for i in fixed for x in (f"v{i}", f"g{i}")], f"inline({apart})")
+    cut = rows.selectExpr(*names, "c", "v", "e", "hi", "mid", "lo", *[f"if(c = -1 and g{i}, v{i}, null) as v{i}" for i in fixed])
+    for step in zip(*[grid_steps(f"v{i}", f"v{i}") for i in fixed]):
+        cut = cut.withColumns({k: F.expr(x) for part in step for k, x in part.items()})
+    pieces = [[f"v{i}p{j}" for j in range(GRID_PIECES)] for i in range(n)]
     sums = cut.groupBy(*names, "c", "e").agg(
         *[F.sum(p).alias(p) for p in ("hi", "mid", "lo")],
         F.count("v").alias("n"),
         F.sum(F.when(~F.expr(f"coalesce({finite}, true)"), F.col("v"))).alias("beyond"),
+        *[F.sum(p).alias(p) for i in fixed for p in pieces[i]],
+        *[F.count(f"v{i}").alias(f"n{i}") for i in fixed],
     )
-    totals = sums.groupBy(*names, "c").agg(
-        F.expr("collect_list(if(e is null, null, struct(e, hi, mid, lo)))").alias("parts"), F.sum("n").alias("n"), F.sum("beyond").alias("beyond")
+
+    def part(column: int | str, count: str, others: Sequence[str], places: Sequence[str]) -> str:
+        own = ", ".join(f"{x} as {p}" for p, x in zip(("e", "hi", "mid", "lo", "beyond"), others))
+        at = ", ".join(f"{x} as m{j}" for j, x in enumerate(places))
+        return f"struct({column} as c, {count} as n, {own}, {at})"
+
+    no_others = ["cast(null as int)", *["cast(null as bigint)"] * 3, "cast(null as double)"]
+    no_places = ["cast(null as bigint)"] * GRID_PIECES
+    none = ", ".join(part(i, "0L", no_others, no_places) for i in range(n))
+    single = part("c", "n", ("e", "hi", "mid", "lo", "beyond"), no_places)
+    beside = ", ".join(part(i, f"n{i}", no_others, pieces[i]) for i in fixed) or none
+    told = sums.selectExpr(*names, f"inline(if(c = -1, array({beside}), array({single})))")
+    if not group_by:
+        # Without groups there is a result without rows as well.
+        told = told.unionAll(df.sparkSession.range(1).selectExpr(f"inline(array({none}))"))
+    totals = told.groupBy(*names, "c").agg(
+        F.expr("collect_list(if(e is null, null, struct(e, hi, mid, lo)))").alias("parts"),
+        F.sum("n").alias("n"),
+        F.sum("beyond").alias("beyond"),
+        *[F.max(f"m{j}").alias(f"m{j}") for j in range(GRID_PIECES)],
     )
-    totals = totals.selectExpr(*names, "c", "n", f"if(n = 0, null, coalesce(beyond, {float_total_sql('parts')})) as total")
-    values = {"SUM": "total", "AVG": "total / nullif(n, 0L)"}
+    start = f"coalesce({grid_total_sql([f'm{j}' for j in range(GRID_PIECES)])}, 0D)"
+    totals = totals.selectExpr(*names, "c", "n", f"if(n = 0, null, coalesce(beyond, {float_total_sql('parts', start)})) as total")
+    found = {"SUM": "total", "AVG": "total / nullif(n, 0L)"}
     parts = ", ".join(
         f"struct({columns.index(m.column)} as of, {m.position} as {METRIC_ID}, {literal(m.column)} as column_name, "
-        f"{literal(m.name)} as metric, false as exact, {values[m.name]} as number)"
+        f"{literal(m.name)} as metric, false as exact, {found[m.name]} as number)"
         for m in metrics
     )
-    told = totals.selectExpr(*names, "c", f"inline(array({parts}))").filter("of = c")
-    return told.selectExpr(*names, METRIC_ID, "column_name", "metric", "exact", "number", "cast(number as string) as text")
+    shown = totals.selectExpr(*names, "c", f"inline(array({parts}))").filter("of = c")
+    return shown.selectExpr(*names, METRIC_ID, "column_name", "metric", "exact", "number", "cast(number as string) as text")
 
 
 def _numbered_metrics(

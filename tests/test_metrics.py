@@ -200,3 +200,29 @@ def test_several_passes_give_the_same_metrics(derived):
     for size in (1, 2, 100):
         found = tc.column_comparison(pair, rows=True, columns_per_pass=size)
         assert {tuple(r) for r in found.collect()} == one
+
+
+def test_values_are_cut_whole_at_fixed_places(spark):
+    from fractions import Fraction
+
+    from pyspark.sql import functions as F
+
+    from tablecheck.functions.sums import grid_steps, on_grid_sql
+
+    values = [0.0, 900.01, -0.07, 1e6 / 3, -(2.0**36 - 2.0**-16), 2.0**-60, 0.004, 1e-30, 2.0**36, math.inf, math.nan, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double").selectExpr("x", f"{on_grid_sql('x')} as g")
+    assert [r["g"] for r in df.collect()] == [True] * 7 + [False] * 4 + [None]
+    cut = df.filter("g")
+    for step in grid_steps("x", "y"):
+        cut = cut.withColumns({k: F.expr(e) for k, e in step.items()})
+    for r in cut.collect():
+        assert sum(r[f"yp{i}"] * Fraction(2) ** (12 - 24 * i) for i in range(4)) == Fraction(r["x"])
+
+
+def test_common_values_are_summed_without_a_row_of_their_own(spark):
+    """Rows with ordinary values in several columns: one row of sums for a task, whatever the exponents."""
+    df = spark.sql("select id / 100 as a, -id * 3.07D as b from range(0, 1000, 1, 2)")
+    found = tc.column_metrics(df, ["a", "b"])
+    assert {r["column_name"]: float(r["text"]) for r in found.collect() if r["metric"] == "SUM"} == {
+        "a": math.fsum(i / 100 for i in range(1000)), "b": math.fsum(-i * 3.07 for i in range(1000))}
+    assert "v0p0" in found._jdf.queryExecution().executedPlan().toString()
