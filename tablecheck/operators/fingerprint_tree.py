@@ -6,7 +6,7 @@ the sum of its children.  Two trees are compared from the root down, children on
 differ; then the keys of the leaves that differ are matched.
 
 A tree is built once for a version: one scan of the table and one shuffle of its keys and digests,
-which are stored in the order of the leaves.  Comparing two versions that have trees reads no
+which are stored in the order of the leaves, digests as 32 bytes.  Comparing two versions that have trees reads no
 table: it reads a few node rows for each level and the stored keys of the differing leaves.  A new
 version of one side costs one scan of that side.
 """
@@ -72,18 +72,18 @@ def stored_tree(
     last, so a build that failed half-way is done again.
     """
     spark = df.sparkSession
-    own = [T.StructField(LEAF, T.IntegerType()), T.StructField(DIGEST, T.StringType()), T.StructField(TOP, T.IntegerType())]
+    own = [T.StructField(LEAF, T.IntegerType()), T.StructField(DIGEST, T.BinaryType()), T.StructField(TOP, T.IntegerType())]
     schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys] + own)
-    tree = Tree(spark, f"{path.rstrip('/')}/{version}", tuple(keys), depth, fanout, schema)
+    tree = Tree(spark, f"{path.rstrip('/')}/{version}/binary", tuple(keys), depth, fanout, schema)
     if _exists(spark, f"{tree.path}/nodes/_SUCCESS"):
         return tree
     n_leaves = fanout**depth
     leaf = f"cast(pmod(xxhash64({row_sql(df.schema, keys, 'strict')}), {n_leaves}L) as int) as {LEAF}"
-    digest = f"{hash_sql(df.schema, columns, hash_mode)} as {DIGEST}"
-    rows = df.selectExpr(*map(quoted, keys), leaf, digest).withColumn(TOP, F.expr(f"cast({LEAF} div {fanout ** (depth - 1)} as int)"))
+    digest = f"unhex({hash_sql(df.schema, columns, hash_mode)}) as {DIGEST}"
+    rows = df.selectExpr(*map(quoted, keys), leaf, digest)
     # Ranges of leaves and keys: rows of one key, however many, may lie in several ranges.
-    spread = rows.withColumn("__tc_spread", F.xxhash64(DIGEST)).repartitionByRange(LEAF, "__tc_spread").drop("__tc_spread")
-    spread.sortWithinPartitions(LEAF).write.mode("overwrite").partitionBy(TOP).parquet(f"{tree.path}/rows")
+    spread = rows.repartitionByRange(F.col(LEAF), F.xxhash64(DIGEST)).sortWithinPartitions(LEAF)
+    spread.withColumn(TOP, F.expr(f"cast({LEAF} div {fanout ** (depth - 1)} as int)")).write.mode("overwrite").partitionBy(TOP).parquet(f"{tree.path}/rows")
 
     hashes = [f"xxhash64({salt}, {', '.join(map(quoted, (*keys, DIGEST)))}, {' , '.join(f'{quoted(k)} is null' for k in keys)})" for salt in (0, 1)]
     halves = [half.format(h) for h in hashes for half in ("shiftright({}, 32)", "({}) & 4294967295L")]
@@ -129,5 +129,5 @@ def tree_row_diff(source: Tree, target: Tree) -> DataFrame:
     on = [F.col(TOP) == F.col("__tc_w_top"), F.col(LEAF) == F.col("__tc_w")]
     cut = [tree.rows.join(leaves, reduce(lambda a, b: a & b, on), "left_semi") for tree in (source, target)]
     keys = list(source.keys)
-    s, t = (df.selectExpr(*map(quoted, keys), DIGEST) for df in cut)
+    s, t = (df.selectExpr(*map(quoted, keys), f"lower(hex({DIGEST})) as {DIGEST}") for df in cut)
     return row_diff(Aligned(s, t, keys, [DIGEST], hash_algo=STORED, screen=False))

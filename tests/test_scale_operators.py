@@ -196,3 +196,9 @@ def test_tree_with_odd_rows(spark, tmp_path):
     assert {tuple(r) for r in tc.tree_row_diff(*trees).collect()} == {tuple(r) for r in tc.row_diff(pair).collect()}
     empty = tc.stored_tree(pair.source.limit(0), pair.keys, pair.columns, str(tmp_path), "none")
     assert tc.tree_row_diff(trees[0], empty).count() == 5
+
+
+def test_trees_keep_digests_as_bytes(spark, tmp_path):
+    tree = tc.stored_tree(spark.range(5).selectExpr("id as k", "id as v"), ["k"], ["v"], str(tmp_path), "v1", depth=1, fanout=2)
+    rows = tree.rows.selectExpr("octet_length(__tc_digest) as n", "lower(hex(__tc_digest)) = sha2(concat('V1:', k), 256) as same")
+    assert {tuple(r) for r in rows.collect()} == {(32, True)}
