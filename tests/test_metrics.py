@@ -226,3 +226,10 @@ def test_common_values_are_summed_without_a_row_of_their_own(spark):
     assert {r["column_name"]: float(r["text"]) for r in found.collect() if r["metric"] == "SUM"} == {
         "a": math.fsum(i / 100 for i in range(1000)), "b": math.fsum(-i * 3.07 for i in range(1000))}
     assert "v0p0" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sums_of_very_many_floating_point_columns(spark):
+    df = spark.sql("select " + ", ".join(f"id * {i}.25D as c{i}" for i in range(40)) + ", id % 2 as g from range(4)")
+    rows = tc.column_metrics(df, [f"c{i}" for i in range(40)], ["g"]).filter("metric = 'SUM'").collect()
+    assert {(r["group_key"], r["column_name"]): float(r["text"]) for r in rows} == {
+        (f'{{"g":{g}}}', f"c{i}"): (2 + 2 * g) * (i + 0.25) for i in range(40) for g in (0, 1)}
