@@ -58,4 +58,5 @@ def spaced(text: str) -> list[str] | None:
 
 def missing(memory: Memory, chunks: Iterable[str]) -> list[str]:
     """The chunks not yet remembered, each once, in any order."""
-    return list(set(chunks).difference(memory, memory.old))
+    old = memory.old
+    return [c for c in set(chunks) if c not in memory and c not in old]

@@ -21,36 +21,130 @@ ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import string
 import zlib
-from collections.abc import Iterator, Mapping
-from itertools import chain
+from collections.abc import Callable, Iterator, Mapping
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecheck.llm.batches import map_slices, slices
+from tablecheck.llm.byte_bpe import PairTable
 from tablecheck.llm.chunks import Memory, missing
 from tablecheck.llm.process import kept
 from tablecheck.llm.scratch import materialise
+from tablecheck.llm.token_counts import byte_of
 
 #: Characters that Python's split takes as white space and the vocabulary's pattern not.
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
-#: Fixed value: the vocabulary's pattern of the pieces that are encoded apart, on lower-case text.
-_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Fixed value: the vocabulary's mark of a piece's last byte.
+_LAST = "</w>"
+
+#: UTF-8 bytes of texts that are cut and merged at once; longer texts are encoded word by word.
+CHUNK = 1 << 20
+#: Bytes of a piece, and pieces, that the table of pieces holds at most.  Bounds memory, drops nothing.
+WIDTH, PIECES = 16, 1 << 19
+
+_SPACE, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+#: More than any rank, with room for a place in a piece beside it.
+_NO_RANK = np.int32(1 << 24)
+
+
+def _kinds() -> np.ndarray:
+    """What the vocabulary's pattern takes a byte for; odd ones leave their word to the library."""
+    kind = np.full(256, _ODD, np.uint8)
+    kind[33:127] = _SIGN
+    for chars, x in ((string.ascii_letters, _LETTER), (string.digits, _DIGIT), ("\t\n\v\f\r ", _SPACE), ("'", _ODD)):
+        kind[[ord(c) for c in chars]] = x
+    return kind
+
+
+_KIND = _kinds()
+_LOWER = np.array([ord(chr(i).lower()) if i < 128 else i for i in range(256)], np.uint8)
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+class PieceTable:
+    """Ids of pieces of at most ``WIDTH`` bytes, none of them zero, by open addressing.
+
+    A piece is two numbers, its first eight bytes and the rest.  When the table is full it starts
+    anew.
+    """
+
+    def __init__(self, merge: Callable[[np.ndarray], np.ndarray], kind: str):
+        self.merge, self.kind, self.bits = merge, kind, PIECES.bit_length()
+        self._clear()
+
+    def _clear(self) -> None:
+        size = 1 << self.bits
+        self.low, self.high, self.entry = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+        self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, self.kind)
+
+    def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        x = (low ^ (high * np.uint64(0xBF58476D1CE4E5B9))) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        return (x >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Entries of pieces, -1 for those that have none."""
+        at = self._slot(low, high)
+        out = self.entry[at]
+        left = np.flatnonzero((out >= 0) & ((self.low[at] != low) | (self.high[at] != high)))
+        while len(left):
+            at[left] = (at[left] + 1) & (len(self.entry) - 1)
+            here = at[left]
+            out[left] = self.entry[here]
+            left = left[(out[left] >= 0) & ((self.low[here] != low[left]) | (self.high[here] != high[left]))]
+        return out
+
+    def _add(self, low: np.ndarray, high: np.ndarray) -> None:
+        """Merge and keep pieces that have no entry; all of them differ."""
+        ids = self.merge(np.stack([low, high], axis=1).astype("<u8").view(np.uint8))
+        some = ids >= 0
+        entry = np.arange(len(low)) + len(self.begin) - 1
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(some.sum(axis=1))])
+        self.ids = np.concatenate([self.ids, ids[some].astype(self.kind)])
+        at, left = self._slot(low, high), np.arange(len(low))
+        while len(left):
+            free = left[self.entry[at[left]] < 0]
+            put = free[np.unique(at[free], return_index=True)[1]]
+            self.low[at[put]], self.high[at[put]], self.entry[at[put]] = low[put], high[put], entry[put]
+            left = left[self.entry[at[left]] != entry[left]]
+            at[left] = (at[left] + 1) & (len(self.entry) - 1)
+
+    def __call__(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each piece begin in ``ids``, and their number."""
+        found = self._find(low, high)
+        for clear in (False, True):
+            new = np.flatnonzero(found < 0)
+            if not len(new):
+                break
+            new = new[np.lexsort((high[new], low[new]))]
+            a, b = low[new], high[new]
+            new = new[np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])]
+            if clear or len(self.begin) - 1 + len(new) <= PIECES:
+                self._add(low[new], high[new])
+                found = self._find(low, high)
+                break
+            self._clear()
+            found[:] = -1
+        return self.begin[found], self.begin[found + 1] - self.begin[found]
 
 
 class WordEncoder:
     """Ids of texts under a vocabulary that drops white space, so that words are encoded apart.
 
-    Words of Latin letters are cut further, where the vocabulary's pattern cuts them; what is new
-    goes to the library many at once, a special token between each two.
+    Words of letters up to U+00FF, digits and signs are cut further, where the vocabulary's pattern
+    cuts them, and their new pieces merged in a matrix, many at once.  Other words, which normal forms
+    or the pattern's suffixes may concern, go to the library, a special token between each two.
     """
 
     def __init__(self, path: str):
@@ -61,50 +155,143 @@ class WordEncoder:
         self.type = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.mark, token = next((i, x) for i, x in self.tokenizer.get_added_tokens_decoder().items() if x.special)
         self.between = token.content
-        self.cut = regex.compile(_PIECES).findall
-        self.pieces = Memory(lambda p: self._encode([p])[0])
-        self.words = Memory(self._word)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        vocab = model["vocab"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        shown = {b: c for c, b in byte_of().items()}
+        self.inner, self.last = (np.array([vocab[shown[b] + end] for b in range(256)], np.int32) for end in ("", _LAST))
+        self.rank = PairTable({(vocab[x], vocab[y]): k for k, (x, y) in enumerate(merges)})
+        self.merged = np.array([vocab[x + y] for x, y in merges], np.int32)
+        self.pieces = PieceTable(self._merge, self.type)
+        self.words = Memory(lambda w: self._encode([w])[0], 100_000)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.type).tobytes() for x in found]
 
-    def _apart(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece; none holds the text of a special token."""
+    def _apart(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; none holds the text of a special token."""
         out: list[bytes] = []
-        for start in range(0, len(pieces), 512):
-            joined = self.tokenizer.encode_batch_fast([self.between.join(pieces[start : start + 512])], add_special_tokens=False)
+        for start in range(0, len(words), 512):
+            joined = self.tokenizer.encode_batch_fast([self.between.join(words[start : start + 512])], add_special_tokens=False)
             ids = np.array(joined[0].ids, self.type)
             data, width = ids.tobytes(), ids.itemsize
             marks = (np.flatnonzero(ids == self.mark) * width).tolist()
             out.extend(data[x:y] for x, y in zip([0, *(m + width for m in marks)], [*marks, len(data)]))
         return out
 
-    def _pieces_of(self, word: str) -> list[str]:
-        """Beyond Latin-1 letters, normal forms may join characters: such words stay whole."""
-        if not word.isascii() and max(word) >= "\u0100":
-            return [word]
-        return [word.lower()] if word.isalpha() else self.cut(word.lower())
+    def _by_word(self, words: list[str]) -> list[bytes]:
+        """Ids of each word by the library; very long ones are not remembered."""
+        new = [w for w in missing(self.words, words) if len(w) <= 64]
+        self.words.keep_all(dict(zip(new, self._apart(new))))
+        return list(map(self.words.__getitem__, words))
 
-    def _word(self, word: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self._pieces_of(word)))
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.minimum(self.rank(a.ravel(), b.ravel()), _NO_RANK).reshape(a.shape)
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of new words; very long ones are encoded where they are asked for."""
-        pieces = [self._pieces_of(w) for w in words]
-        new = [p for p in missing(self.pieces, chain.from_iterable(pieces)) if len(p) <= 64]
-        self.pieces.keep_all(dict(zip(new, self._apart(new))))
-        get = self.pieces.__getitem__
-        ids = [get(own[0]) if len(own) == 1 else b"".join(map(get, own)) for own in pieces]
-        self.words.keep_all(dict(zip(words, ids)))
+    def _merge(self, data: np.ndarray) -> np.ndarray:
+        """Ids of the pieces in the rows, -1 behind them; zero bytes fill up the rows.
+
+        Pieces are the columns of a matrix here.  Each round merges in every column the pair of least
+        rank, the leftmost of equals.
+        """
+        size = (data != 0).sum(axis=1)
+        ids = np.where(data != 0, self.inner[data], np.int32(-1))
+        row = np.arange(len(data))
+        ids[row, size - 1] = self.last[data[row, size - 1]]
+        out = np.full(ids.shape, -1, np.int32)
+        ids = np.ascontiguousarray(ids.T)
+        rank = self._ranks(ids[:-1], ids[1:])
+        while len(row):
+            places = np.arange(len(rank), dtype=np.int32)[:, None]
+            least = ((rank << 4) | places).min(axis=0, initial=_NO_RANK << 4)
+            open_ = least < _NO_RANK << 4
+            if not open_.all():
+                out[row[~open_], : len(ids)] = ids[:, ~open_].T
+                most = max(1, int((ids[:, open_] >= 0).sum(axis=0).max(initial=1)))
+                ids, rank, row, least = ids[:most, open_], rank[: most - 1, open_], row[open_], least[open_]
+                places = places[: most - 1]
+                if not len(row):
+                    break
+            at, column = least & 15, np.arange(len(row))
+            ids = np.where(places > at, ids[1:], ids[:-1])
+            ids[at, column] = self.merged[least >> 4]
+            rank = np.where(places[:-1] >= at, rank[1:], rank[:-1])
+            right, left = np.flatnonzero(at < len(rank)), np.flatnonzero(at)
+            rank[at[right], right] = self._ranks(ids[at[right], right], ids[at[right] + 1, right])
+            rank[at[left] - 1, left] = self._ranks(ids[at[left] - 1, left], ids[at[left], left])
+        return out
+
+    def _together(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts, all cut at once."""
+        raw = b" ".join([*texts, b""])
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        data = np.frombuffer(raw, np.uint8)
+        kind, low = _KIND[data], np.zeros(len(data) + WIDTH, np.uint8)
+        low[: len(data)] = _LOWER[data]
+        # U+00C0 to U+00FF are letters but for two signs; the capitals lie 32 below.
+        lead = np.flatnonzero(data == 0xC3)
+        lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+        kind[lead] = kind[lead + 1] = _LETTER
+        low[lead[data[lead + 1] <= 0x9E] + 1] += 32
+
+        cut = kind == _DIGIT
+        cut[0] = True
+        cut[1:] |= kind[1:] != kind[:-1]
+        begins = np.flatnonzero(cut)
+        sizes, some = np.diff(np.append(begins, len(data))), kind[begins] != _SPACE
+        begins, sizes = begins[some], sizes[some]
+        odd = np.concatenate([np.flatnonzero(kind == _ODD), begins[sizes > WIDTH]])
+        if len(odd):
+            blank = np.concatenate([[True], kind == _SPACE])
+            first, end = np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
+            word = np.unique(np.searchsorted(first, odd, "right") - 1)
+            first, end = first[word], end[word]
+            inside = np.zeros(len(data) + 1, np.int8)
+            inside[first], inside[end] = 1, -1
+            plain = np.cumsum(inside, dtype=np.int8)[begins] == 0
+            begins, sizes = begins[plain], sizes[plain]
+
+        eight = np.ndarray(len(low) - 7, "<u8", low.data, strides=(1,))
+        at, count = self.pieces(eight[begins] & _FIRST[np.minimum(sizes, 8)], eight[begins + 8] & _FIRST[np.maximum(sizes - 8, 0)])
+        ids = self.pieces.ids
+        if len(odd):
+            words = [raw[x:y].decode().split() for x, y in zip(first.tolist(), end.tolist())]
+            found = iter(self._by_word(list(chain.from_iterable(words))))
+            each = [b"".join(islice(found, len(w))) for w in words]
+            more = np.array([len(x) for x in each]) // ids.itemsize
+            order = np.argsort(begins := np.concatenate([begins, first]), kind="stable")
+            at = np.concatenate([at, len(ids) + np.cumsum(more) - more])[order]
+            begins, count = begins[order], np.concatenate([count, more])[order]
+            ids = np.concatenate([ids, np.frombuffer(b"".join(each), self.type)])
+        before = np.concatenate([[0], np.cumsum(count)])
+        taken = ids[np.repeat(at - before[:-1], count) + np.arange(before[-1])].tobytes()
+        cuts = [0, *(before[np.searchsorted(begins, ends)] * ids.itemsize).tolist()]
+        return [taken[x:y] for x, y in zip(cuts, cuts[1:])]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        cut = [None if "<|" in t or any(c in t for c in _SEPARATORS) else t.split() for t in texts]
-        new = missing(self.words, chain.from_iterable(words for words in cut if words is not None))
-        self._learn([w for w in new if len(w) <= 64])
-        whole = iter(self._encode([t for t, words in zip(texts, cut) if words is None]))
-        get = self.words.__getitem__
-        return [next(whole) if words is None else b"".join(map(get, words)) for words in cut]
+        out, waiting, held = [b""] * len(texts), [], 0
+
+        def work() -> None:
+            for (i, _), ids in zip(waiting, self._together([t for _, t in waiting])):
+                out[i] = ids
+            waiting.clear()
+
+        for i, text in enumerate(texts):
+            if "<|" in text or any(c in text for c in _SEPARATORS):
+                out[i] = self._encode([text])[0]
+            elif len(data := text.encode()) > CHUNK:
+                out[i] = b"".join(self._by_word(text.split()))
+            else:
+                if waiting and held + len(data) + 1 > CHUNK:
+                    work()
+                    held = 0
+                waiting.append((i, data))
+                held += len(data) + 1
+        if waiting:
+            work()
+        return out
 
 
 def _encoded(df: DataFrame, path: str, end_id: int, key: str, text: str, source: str) -> DataFrame:

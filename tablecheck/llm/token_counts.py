@@ -32,7 +32,7 @@ from tablecheck.llm.process import kept
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 
-def _byte_of() -> dict[str, int]:
+def byte_of() -> dict[str, int]:
     rest = [b for b in range(256) if b not in _PRINTABLE]
     return {chr(b): b for b in _PRINTABLE} | {chr(256 + i): b for i, b in enumerate(rest)}
 
@@ -43,7 +43,7 @@ class Vocabulary:
     def __init__(self, path: str, pattern: str):
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
-        byte = _byte_of()
+        byte = byte_of()
         plain = lambda t: bytes(byte[c] for c in t)
         self.pattern = regex.compile(pattern)
         specials = sorted((t["content"] for t in content["added_tokens"]), key=len, reverse=True)

@@ -424,3 +424,28 @@ def test_words_are_encoded_as_the_library_does():
     texts = ["".join(random.choices(parts, k=random.randint(0, 12))) for _ in range(6000)]
     expected = [np.array(library.encode(t, add_special_tokens=False).ids, encoder.type).tobytes() for t in texts]
     assert encoder.encode_all(texts) == expected and encoder.encode_all(texts[:100]) == expected[:100]
+
+
+def test_new_words_are_merged_without_the_library(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library = packing.WordEncoder(path), Tokenizer.from_file(path)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("aeinrstÉéßü", k=rng.randint(1, 8))) + rng.choice(["", ",", "...", "7"]) for _ in range(50)) for _ in range(40)]
+    monkeypatch.setattr(encoder, "_encode", None)
+    monkeypatch.setattr(encoder, "_apart", lambda words: [b""] * len(words) if not words else pytest.fail(words[0]))
+    assert [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_odd_words_in_a_small_table_of_pieces(monkeypatch):
+    monkeypatch.setattr(packing, "PIECES", 64)
+    monkeypatch.setattr(packing, "CHUNK", 200)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library = packing.WordEncoder(path), Tokenizer.from_file(path)
+    rng = random.Random(9)
+    parts = [
+        "a", "TH", "'re", "'", "'s", "''", " ", " ", "\n", "é", "É", "ß", "×", "÷", "Ÿ", "ª", "µ", "漢", "12", "!", "...", "\0", "\x85", "\xa0", "\u2003",
+        "İ", "Σ", "e\u0301", "\u0301", " world", "x" * 17, "y" * 16, "z" * 15 + "é", "z" * 300, "<", "|", "\x7f", "½", "Å", "K", "<|endoftext|>", "\x1c",
+    ]
+    for _ in range(40):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(20)] + [""]
+        assert [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
