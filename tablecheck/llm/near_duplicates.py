@@ -49,6 +49,8 @@ BASE = 1.001
 RATE = 20.0
 #: Members of a band that one block holds at most; larger bands are compared block by block.
 BLOCK = 512
+#: Words whose hashes a process remembers at most.  Bounds memory, drops nothing.
+WORDS = 200_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -109,7 +111,7 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
 
 
 def _hashes() -> Memory:
-    return kept("word hashes", lambda: Memory(xxhash.xxh3_64_intdigest))
+    return kept("word hashes", lambda: Memory(xxhash.xxh3_64_intdigest, WORDS))
 
 
 def sketches(df: DataFrame, shingle: int, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import weakref
 import zlib
 from collections import Counter
 
@@ -26,6 +27,7 @@ from tablecheck.llm import (
     sharding,
     token_counts,
 )
+from tablecheck.llm.process import kept
 
 from conftest import SF_DIR
 
@@ -449,3 +451,16 @@ def test_odd_words_in_a_small_table_of_pieces(monkeypatch):
     for _ in range(40):
         texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(20)] + [""]
         assert [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_process_keeps_one_object():
+    class Model:
+        pass
+
+    first = kept("a", Model)
+    assert kept("a", Model) is first
+    gone = weakref.ref(first)
+    del first
+    kept("b", Model)
+    left = gone() is not None
+    assert not left
