@@ -31,6 +31,7 @@ from ..functions import (
     row_hash,
 )
 from ..functions.hashing import fast_hash_sql, hash_sql, value_sql
+from ..session import materialise
 from ..spec import HASH_MISMATCH, MISSING_IN_SOURCE, MISSING_IN_TARGET
 from .columns import Aligned
 
@@ -150,26 +151,30 @@ def keyed_hashes(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
     return found.selectExpr(*lead, APART, N_SOURCE, N_TARGET, *[text(h) for h, _ in sides])
 
 
-def only_keys(pair: Aligned, keys: DataFrame, within: Sequence[str] = ()) -> Aligned:
+def only_keys(pair: Aligned, keys: DataFrame, within: Sequence[str] = (), sided: bool = True) -> Aligned:
     """The pair cut down to the rows of some keys, given as ``screened`` gives them.
 
-    Null equals null; a row without a whole key belongs to the keys of its own side.  No hint is
-    given: Catalyst broadcasts the keys when they are under the session's size limit.
+    Null equals null; a row without a whole key belongs to the keys of its own side, or to those of
+    both if not ``sided``.  Both sides read the same keys, without a filter of their own, so that
+    Spark finds them once.  No hint is given: Catalyst broadcasts the keys when they are under the
+    session's size limit.
     """
     names = [*pair.keys, *within]
     wanted = keys.select(*[field(c).alias(f"__tc_w{i}") for i, c in enumerate(names)], F.col(APART).alias("__tc_apart_of"))
+    any_null = reduce(lambda a, b: a | b, [field(k).isNull() for k in pair.keys])
 
     def cut(df: DataFrame, own: bool) -> DataFrame:
         same = [field(c).eqNullSafe(F.col(f"__tc_w{i}")) for i, c in enumerate(names)]
-        here = wanted.filter(F.coalesce("__tc_apart_of", F.lit(own)) == own)
-        return df.join(here, reduce(lambda a, b: a & b, same), "left_semi")
+        if sided:
+            same.append(F.when(any_null, F.lit(own)).eqNullSafe(F.col("__tc_apart_of")))
+        return df.join(wanted, reduce(lambda a, b: a & b, same), "left_semi")
 
     return pair.with_rows(cut(pair.source, True), cut(pair.target, False))
 
 
 def open_keys(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
     """The keys of ``screened`` whose rows are not the same."""
-    return screened(pair, within).filter(~F.col(SAME))
+    return screened(pair, within).filter(~F.col(SAME)).select(*_group(pair, within))
 
 
 def differing_hashes(pair: Aligned, within: Sequence[str] = ()) -> DataFrame:
@@ -314,18 +319,21 @@ def row_surplus(pair: Aligned) -> DataFrame:
     return compared(replace(pair, repeats="all"))[1]
 
 
-def compared(pair: Aligned, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
+def compared(pair: Aligned, keep: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Row counts by key, and the differing keys (or rows, where ``repeats`` is ``"all"``).
 
-    ``keep`` may cut down and materialise the counts; it must leave the keys that are not the
-    same, and what the reader of the counts needs.
+    ``keep`` cuts down and materialises the counts; it must leave the keys that are not the
+    same, and what the reader of the counts needs.  Without it the keys that are not the same are
+    materialised alone: only a known size spares the tables a shuffle in the second read.
     """
     if pair.repeats not in ("smallest", "all"):
         raise ValueError(f"unknown treatment of repeated keys {pair.repeats!r}")
     every, cut = pair.repeats == "all", pair
+    alone, keep = keep is None, keep or (lambda df: df)
     if pair.screen and pair.hash_algo == "sha256":
         found = keep(screened(pair))
-        cut = only_keys(pair, found.filter(~F.col(SAME)))
+        differing = found.filter(~F.col(SAME)).select(*_group(pair))
+        cut = only_keys(pair, materialise(differing, "open") if alone else differing)
     elif every:
         found = keep(key_presence(pair).withColumn(SAME, F.lit(False)))
     else:
@@ -381,7 +389,7 @@ def _records(pair: Aligned, diff: DataFrame, record: Column) -> DataFrame:
     """
     names = [f"__tc_k{i}" for i in range(len(pair.keys))]
     listed = diff.select(*fields(pair.keys), F.lit(None).cast("boolean").alias(APART)).distinct()
-    near = only_keys(pair, listed)
+    near = only_keys(pair, listed, sided=False)
     rows = both_sides(near, *map(quoted, pair.keys + pair.columns), f"cast({_hash_sql(pair)} as string) as {HASH}")
     wanted = diff.select(
         *[field(k).alias(n) for k, n in zip(pair.keys, names)],

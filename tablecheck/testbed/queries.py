@@ -22,6 +22,7 @@ from ..operators.metrics import (
 )
 from ..operators.rowdiff import (
     cell_diff,
+    compared,
     dedupe,
     duplicate_count,
     duplicate_groups,
@@ -350,7 +351,7 @@ def dedupe_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for name in ("customer", "orders", "events", "lineitem"):
-        found = mismatch_summary(row_diff(aligned(spark, sf_dir, PAIRS[name])))
+        found = mismatch_summary(compared(aligned(spark, sf_dir, PAIRS[name]))[1])
         rows = found.select(F.lit(name).alias("pair"), "mismatch_type", "n_keys")
         out = rows if out is None else union_results(out, rows)
     return out

@@ -383,3 +383,13 @@ def test_random_tables_against_brute_force(pair_of, seed):
     for buckets in (1, 4, 64):
         narrowed = {tuple(r) for r in tc.narrowed_row_diff(pair, buckets).collect()}
         assert narrowed == expected
+
+
+def test_keys_that_differ_are_found_once(derived):
+    """Neither side of the second read finds them again, and no table is shuffled for them."""
+    pair = tc.align(derived("customer"))
+    for diff in (rowdiff.compared(pair)[1], tc.row_surplus(pair)):
+        plan = diff._jdf.queryExecution().executedPlan().toString()
+        assert "__tc_x0" not in plan and plan.count("BroadcastHashJoin") >= 2 and "LeftSemi" in plan
+    plan = shuffles(tc.row_diff(pair))[1]
+    assert "ReusedExchange" in plan
