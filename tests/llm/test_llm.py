@@ -268,6 +268,62 @@ def test_search_against_brute_force(spark):
     assert hamming_search.nearest(few.limit(0)).count() == 0
 
 
+def test_index_finds_all_within_the_radius():
+    rng = np.random.default_rng(3)
+    codes = rng.integers(0, 1 << 16, (5000, 16)).astype(np.uint16)
+    codes[:600] = codes[0] ^ (1 << rng.integers(0, 16, (600, 16))).astype(np.uint16) * (rng.random((600, 16)) < 0.5)
+    index = hamming_search.Index(codes)
+    asked = codes[[0, 1, 700, 4999]]
+    far = np.bitwise_count(codes ^ asked[:, None]).sum(axis=2, dtype=int)
+    assert (index.far(asked) == far).all()
+    assert index.probed(20) and not index.probed(113)
+    for radius in (0, 5, 20, 31, 60, 113, 256):
+        assert (index.within(asked, radius) == (far <= radius)).all()
+        for line, f in zip(index.nearest(asked, radius, 30), far):
+            reach = radius
+            while (f <= reach).sum() < 30:
+                reach = min(256, reach + max(8, reach // 8))
+            assert (line == (f <= reach)).all()
+
+
+def test_search_of_many_blocks(spark, monkeypatch):
+    """Blocks and chunks in any number give what each block gives by itself, without copies of the queries for each block."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1500, 12))
+    x[200:260] = x[200]
+    x[300:700] = x[300] + 0.01 * rng.standard_normal((400, 12))
+    x[700] *= 1e25
+    x[800] *= 1e180
+    ids = np.append(np.arange(1300), rng.integers(0, 40, 200))
+    rows = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    models = []
+    learned = hamming_search.learn
+    monkeypatch.setattr(hamming_search, "learn", lambda *a: models.append(learned(*a)) or models[0])
+    monkeypatch.setattr(hamming_search, "BLOCK", 100)
+    monkeypatch.setattr(hamming_search, "CHUNK", 16)
+    answer = hamming_search.nearest(rows, k=5, every=10)
+    got = sorted(map(tuple, answer.collect()))
+    plan = answer._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan and "Broadcast" not in plan
+
+    dealt = rows.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(15)).alias("block")).collect()
+    found = {int(i): set() for i in ids if i % 10 == 0}
+    for b in range(15):
+        block = [r for r in dealt if r.block == b]
+        vectors = np.array([r.embedding for r in block])
+        codes = models[0].codes(vectors)
+        for r in dealt:
+            if r.vec_id % 10 == 0:
+                far = np.bitwise_count(codes ^ models[0].codes(np.array([r.embedding]))).sum(axis=1, dtype=int)
+                reach = models[0].radius
+                while (far <= reach).sum() < 6 and reach < 256:
+                    reach = min(256, reach + max(8, reach // 8))
+                score = np.sqrt(((vectors - np.array(r.embedding)) ** 2).sum(axis=1))
+                near = sorted((float(s), o.vec_id) for s, o, f in zip(score, block, far) if f <= reach and o.vec_id != r.vec_id)
+                found[r.vec_id].update(near[:5])
+    assert got == sorted((q, k, i, s) for q, near in found.items() for k, (s, i) in enumerate(sorted(near)[:5], 1))
+
+
 def plain_spans(text):
     out = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
